@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_tree
+from . import bpe_tree, quality_rules, secrets
 from .runtime import documents
 
 
@@ -17,7 +17,19 @@ def op1_byte_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.token_digests(bpe_tree.encode_documents(documents(spark, sf_dir), path, public_tokenizers.PATTERN))
 
 
+def op3_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets by pattern and by the randomness battery in every whole text."""
+    return secrets.secret_report(documents(spark, sf_dir))
+
+
+def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every whole text and the verdict of the rule cascade."""
+    return quality_rules.quality_report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe_tree": op1_byte_bpe_tree,
+    "op3_secret_randomness": op3_secret_randomness,
+    "op7_quality_cascade": op7_quality_cascade,
 }
 ORACLE_SQL: dict[str, str] = {}
