@@ -167,11 +167,12 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     return keys.mapInArrow(coded, schema)
 
 
-def token_digests(coded: DataFrame) -> DataFrame:
-    """Counts and digests of what :func:`encode_documents` returns."""
+def token_digests(coded: DataFrame, *also: str) -> DataFrame:
+    """Counts and digests of what :func:`encode_documents` returns, and columns of it that ``also`` names."""
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *also,
     )

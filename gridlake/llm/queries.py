@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_tree, quality_rules, secrets
+from . import bpe_tree, quality_rules, secrets, simhash, suffixes
 from .runtime import documents
 
 
@@ -22,6 +22,16 @@ def op3_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(documents(spark, sf_dir))
 
 
+def op6_simhash_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of every whole text and the components of near fingerprints."""
+    return simhash.near_duplicate_report(documents(spark, sf_dir))
+
+
+def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every whole text."""
+    return suffixes.contamination_report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every whole text and the verdict of the rule cascade."""
     return quality_rules.quality_report(documents(spark, sf_dir))
@@ -30,6 +40,8 @@ def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe_tree": op1_byte_bpe_tree,
     "op3_secret_randomness": op3_secret_randomness,
+    "op6_simhash_slices": op6_simhash_slices,
     "op7_quality_cascade": op7_quality_cascade,
+    "op10_suffix_decontamination": op10_suffix_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
