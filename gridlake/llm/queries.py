@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_tree, quality_rules, secrets, simhash, suffixes
+from . import attention_mil, bpe_tree, quality_rules, secrets, sentence_spans, simhash, suffixes, token_shards
 from .runtime import documents
 
 
@@ -22,11 +22,26 @@ def op3_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(documents(spark, sf_dir))
 
 
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of every whole text that repeat a passage of an earlier document or place."""
+    return sentence_spans.dedup_report(documents(spark, sf_dir))
+
+
 def op6_simhash_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of every whole text and the components of near fingerprints."""
     return simhash.near_duplicate_report(documents(spark, sf_dir))
 
 
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, written to binary shards with a perfect hash index and read back."""
+    return token_shards.shard_report(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every whole text."""
+    return attention_mil.quality_scores(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every whole text."""
     return suffixes.contamination_report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
@@ -40,8 +55,11 @@ def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe_tree": op1_byte_bpe_tree,
     "op3_secret_randomness": op3_secret_randomness,
+    "op5_sentence_spans": op5_sentence_spans,
     "op6_simhash_slices": op6_simhash_slices,
     "op7_quality_cascade": op7_quality_cascade,
+    "op8_token_shards": op8_token_shards,
+    "op9_attention_mil": op9_attention_mil,
     "op10_suffix_decontamination": op10_suffix_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
