@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention_mil, bpe_tree, quality_rules, secrets, sentence_spans, simhash, suffixes, token_shards
+from . import attention_mil, bpe_tree, licences, quality_rules, quote_links, secrets, sentence_spans, simhash, suffixes, token_shards
 from .runtime import documents
 
 
@@ -17,11 +17,21 @@ def op1_byte_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.token_digests(bpe_tree.encode_documents(documents(spark, sf_dir), path, public_tokenizers.PATTERN))
 
 
+def op2_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences among the canonical units of every whole text."""
+    return licences.licence_report(documents(spark, sf_dir))
+
+
 def op3_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets by pattern and by the randomness battery in every whole text."""
     return secrets.secret_report(documents(spark, sf_dir))
 
 
+def op4_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without quotes, with what it replies to and its place in reply order."""
+    return quote_links.conversation_report(documents(spark, sf_dir, "conversations"))
+
+
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences of every whole text that repeat a passage of an earlier document or place."""
     return sentence_spans.dedup_report(documents(spark, sf_dir))
@@ -54,7 +64,9 @@ def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe_tree": op1_byte_bpe_tree,
+    "op2_licence_digests": op2_licence_digests,
     "op3_secret_randomness": op3_secret_randomness,
+    "op4_quote_links": op4_quote_links,
     "op5_sentence_spans": op5_sentence_spans,
     "op6_simhash_slices": op6_simhash_slices,
     "op7_quality_cascade": op7_quality_cascade,
