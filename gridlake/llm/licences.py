@@ -8,7 +8,7 @@ each line, so a licence counts as the document itself, as a pasted block or as a
 Units whose canonical length no known licence has are dropped before they are hashed. The known table is broadcast if
 it has at most ``MAX_BROADCAST`` rows, else joined by a shuffle. Counts are grouped per document after the join.
 
-Null and empty texts have no units. Rows alike in id and text are counted together and each get the common result.
+Null and empty texts have no units. Rows alike in id and text are one document, whose units count once for each.
 Other columns are ignored.
 """
 

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import attention_mil, bpe_tree, licences, quality_rules, quote_links, secrets, sentence_spans, simhash, suffixes, token_shards
+from .oracles import ORACLE_SQL as ORACLE_SQL
 from .runtime import documents
 
 
@@ -74,4 +75,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_attention_mil": op9_attention_mil,
     "op10_suffix_decontamination": op10_suffix_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {}
