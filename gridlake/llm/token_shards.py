@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,14 +34,17 @@ from .runtime import new_folder, slices, written
 
 MARK = b"IDSHARD1"
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS, CACHED_LETTERS = 500_000, 1_000_000
 GAMMA = 2.0
-#: White space by any reading; the tokenizer itself sees to all other.
-BLANKS = re.compile(r"[ \t\n]+")
+PUNCTUATION = ".,;:!?#$%&*|<>()"
 
 
 class Coder:
-    """Ids of texts by a tokenizer that drops white space: each distinct word is encoded once while it is in the cache."""
+    """Ids of texts by a tokenizer that drops white space and never joins letters to punctuation.
+
+    Each distinct word is encoded once while it is in the cache. A word of Latin letters with punctuation after it is
+    its letters, in lower case, and its punctuation; so words that differ in these alone share their letters' ids.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,23 +52,63 @@ class Coder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
-        self.type = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
+        vocabulary = self.model.get_vocab()
+        self.type = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {"": b""}
+        self.letters: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[w for w in BLANKS.split(t) if w] for t in texts]
+        cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         if len(self.words) > CACHED_WORDS:
-            self.words = {}
-        new = list({w for words in cut for w in words if w not in self.words})
-        for start in range(0, len(new), 256):
-            part = new[start : start + 256]
+            self.words = {"": b""}
+        if len(self.letters) > CACHED_LETTERS:
+            self.letters = {}
+        distinct: set[str] = set()
+        for words in cut:
+            distinct.update(words)
+        known = self.words
+        new = [(w, *parts(w)) for w in distinct.difference(known)]
+        wanted = {x for _, letters, rest in new for x in (letters, rest) if x and x not in self.letters}
+        plain = [x for x in wanted if is_plain(x)]
+        for start in range(0, len(plain), 512):
+            self._learn_plain(plain[start : start + 512])
+        self._learn([x for x in wanted if not is_plain(x)])
+        held = self.letters
+        for w, letters, rest in new:
+            known[w] = held[letters] + held[rest] if letters and rest else held[letters or rest]
+        get = known.__getitem__
+        return [b"".join(map(get, words)) for words in cut]
+
+    def _learn_plain(self, words: list[str]) -> None:
+        """Words of letters alone: one piece each, whose last token, and no other, closes a word."""
+        ids = np.array(self.model.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.type)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(words):
+            return self._learn(words)
+        for w, a, b in zip(words, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            self.letters[w] = ids[a:b].tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        for start in range(0, len(words), 256):
+            part = words[start : start + 256]
             found = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
             ids, owner = np.array(found.ids, self.type), np.array(found.word_ids, np.int64)
             edges = np.searchsorted(owner, np.arange(len(part) + 1))
             for i, w in enumerate(part):
-                self.words[w] = ids[edges[i] : edges[i + 1]].tobytes()
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+                self.letters[w] = ids[edges[i] : edges[i + 1]].tobytes()
+
+
+def is_plain(word: str) -> bool:
+    """Letters of Latin-1 alone, which every version of Unicode calls letters."""
+    return word.isalpha() and max(word) <= "\u00ff"
+
+
+def parts(word: str) -> tuple[str, str]:
+    """Letters in lower case and the punctuation after them; all in the second part if a word isn't like that."""
+    letters = word.rstrip(PUNCTUATION)
+    return (letters.lower(), word[len(letters) :]) if letters and is_plain(letters) else ("", word)
 
 
 @lru_cache(maxsize=2)
@@ -212,7 +254,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         kind = code.type if end_id < 1 << (8 * code.type.itemsize) else np.dtype("<u4")
         end = np.array([end_id], kind).tobytes()
         shard, file, out = TaskContext.get().partitionId(), f"{folder}/{uuid.uuid4().hex}.ids", None
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", 8 << 20):
             out = out or ShardWriter(file, kind)
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), code.encode(part.column("text").to_pylist()), strict=True):
                 out.add(doc_id, (ids if kind == code.type else np.frombuffer(ids, code.type).astype(kind).tobytes()) + end)
