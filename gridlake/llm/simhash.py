@@ -231,12 +231,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows that share the id that stays are told apart by fingerprint and reduced to one as well.
     """
     found = near_duplicates(docs, id_col, text_col, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = found.groupBy("component_id").agg(F.min("fingerprint").alias("_fingerprint"), F.count("*").alias("_rows"))
-    kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col("component_id")))
-    single = kept.where("_rows = 1").select(*docs.columns)
-    several = kept.where("_rows > 1")
+    own = {"component_id": "__component", "fingerprint": "__fingerprint"}
+    stay = found.withColumnsRenamed(own).groupBy("__component").agg(F.min("__fingerprint").alias("__fingerprint"), F.count("*").alias("__rows"))
+    kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col("__component")))
+    single = kept.where("__rows = 1").select(*docs.columns)
+    several = kept.where("__rows > 1")
     if several.isEmpty():
         return single
-    marked = fingerprints(several.withColumn("_text", F.col(text_col)), text_col)
-    own = marked.where(F.col("fingerprint") == F.col("_fingerprint")).withColumnRenamed("_text", text_col).select(*docs.columns)
-    return single.unionByName(own.dropDuplicates([id_col]))
+    texts = several.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(docs.columns)], "__fingerprint", F.col(text_col).alias("__text"))
+    least = fingerprints(texts, "__text").where(F.col("fingerprint") == F.col("__fingerprint"))
+    one = least.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)]).dropDuplicates([id_col])
+    return single.unionByName(one)
