@@ -2,9 +2,9 @@
 
 Base kinds are found by pattern. Other runs of at least ``MIN_RUN`` key characters that no base span touches are
 candidates if their characters fit an encoding (hexadecimal, base 32, base 36, base 62, base 64 and its URL form).
-The battery tests a candidate against "characters are drawn evenly from that alphabet": chi-squared on pooled
-characters, a runs test about the middle of the alphabet, and lag-1 serial correlation; Fisher's method combines the
-three p-values. Whatever isn't rejected as written by people and can hold ``MIN_BITS`` bits is a secret.
+The battery tests a candidate against "characters are drawn evenly from that alphabet": chi-squared on the shares of
+lower case, upper case and digits and on the characters within each, a runs test on those classes, and lag-1 serial
+correlation; Fisher's method combines the p-values. Whatever isn't rejected as written by people and can hold ``MIN_BITS`` bits is a secret.
 
 Rejection is a weighted Benjamini-Hochberg step over the candidates of all documents: short strings give tests little
 power, so a candidate's share of the error budget is its length over the mean length. Counts for it are two
@@ -82,27 +82,45 @@ def two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
 
+def class_of(c: str) -> str:
+    return "digit" if c in DIGITS else "upper" if c in UPPER else "lower" if c in LOWER else "other"
+
+
 def battery(run: str, alphabet: str) -> float:
     """log10 of the combined p-value of "evenly drawn from the alphabet"."""
     n, k = len(run), len(alphabet)
+    members: dict[str, list[str]] = {}
+    for c in alphabet:
+        members.setdefault(class_of(c), []).append(c)
+    kinds = [class_of(c) for c in run]
+    # Chi-squared of the shares of classes, and of the characters within each class, pooled to five expected ones.
+    between = within = 0.0
+    free = 0
+    for kind, letters in members.items():
+        own = [letters.index(c) for c, x in zip(run, kinds, strict=True) if x == kind]
+        expected = n * len(letters) / k
+        between += (len(own) - expected) ** 2 / expected
+        cells = min(len(letters), len(own) // 5)
+        if cells >= 2:
+            seen, room = [0] * cells, [0] * cells
+            for i in range(len(letters)):
+                room[i * cells // len(letters)] += 1
+            for i in own:
+                seen[i * cells // len(letters)] += 1
+            within += sum((o - len(own) * r / len(letters)) ** 2 / (len(own) * r / len(letters)) for o, r in zip(seen, room, strict=True))
+            free += cells - 1
+    tests = [chi2_tail(between, len(members) - 1), *([chi2_tail(within, free)] if free else [])]
+    # Runs of one class: how often neighbours are alike.
+    shares = [len(x) / k for x in members.values()]
+    alike, thrice = sum(p**2 for p in shares), sum(p**3 for p in shares)
+    same = sum(a == b for a, b in zip(kinds, kinds[1:], strict=False))
+    tests.append(two_sided((same - (n - 1) * alike) / math.sqrt((n - 1) * alike * (1 - alike) + 2 * (n - 2) * (thrice - alike**2))))
     at = [alphabet.index(c) for c in run]
-    cells = max(2, min(k, n // 5))
-    seen, room = [0] * cells, [0] * cells
-    for i in range(k):
-        room[i * cells // k] += 1
-    for i in at:
-        seen[i * cells // k] += 1
-    uniform = chi2_tail(sum((o - n * r / k) ** 2 / (n * r / k) for o, r in zip(seen, room, strict=True)), cells - 1)
-    high = [2 * i >= k for i in at]
-    runs = 1 + sum(a != b for a, b in zip(high, high[1:], strict=False))
-    p = sum(2 * i >= k for i in range(k)) / k
-    change = 2 * p * (1 - p)
-    mixed = two_sided((runs - 1 - (n - 1) * change) / math.sqrt((n - 1) * change * (1 - change) + 2 * (n - 2) * (p * (1 - p) - change * change) + 1e-9))
     mean, spread = (k - 1) / 2, (k * k - 1) / 12
     lagged = sum((a - mean) * (b - mean) for a, b in zip(at, at[1:], strict=False)) / spread
-    serial = two_sided(lagged / math.sqrt(n - 1))
-    fisher = -2 * sum(math.log(max(x, 1e-300)) for x in (uniform, mixed, serial))
-    return math.log10(max(chi2_tail(fisher, 6), 1e-300))
+    tests.append(two_sided(lagged / math.sqrt(n - 1)))
+    fisher = -2 * sum(math.log(max(x, 1e-300)) for x in tests)
+    return math.log10(max(chi2_tail(fisher, 2 * len(tests)), 1e-300))
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
@@ -119,9 +137,9 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
-def _tested(docs: DataFrame, text_col: str) -> DataFrame:
-    """All columns, ``_base`` and ``_found``, written so that the scan runs once."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("_base", T.ArrayType(SPAN)), T.StructField("_found", T.ArrayType(CANDIDATE))])
+def _tested(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """The columns to keep, ``_base`` and ``_found``, written so that the scan runs once."""
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("_base", T.ArrayType(SPAN)), T.StructField("_found", T.ArrayType(CANDIDATE))])
 
     def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = pa.list_(pa.struct([(f, pa.int32()) for f in ("start", "kind", "end")]))
@@ -133,7 +151,7 @@ def _tested(docs: DataFrame, text_col: str) -> DataFrame:
                 found = base_spans(text)
                 base.append([dict(zip(("start", "kind", "end"), x, strict=True)) for x in found])
                 more.append([dict(zip(("start", "kind", "end", "log_p"), x, strict=True)) for x in candidates(text, found)])
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(base, spans), pa.array(more, scored)], [*part.schema.names, "_base", "_found"])
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(base, spans), pa.array(more, scored)], [*keep, "_base", "_found"])
 
     return written(docs.mapInArrow(tested, schema), "secrets")
 
@@ -155,14 +173,15 @@ def _threshold(tested: DataFrame, fdr: float) -> tuple[float, float]:
     return mean, cut
 
 
-def with_spans(docs: DataFrame, text_col: str = "text", fdr: float = FDR) -> DataFrame:
-    """All columns and ``base`` and ``spans``: arrays of (start, kind, end) by start, then kind; code points, end exclusive."""
-    tested = _tested(docs, text_col)
+def with_spans(docs: DataFrame, text_col: str = "text", fdr: float = FDR, keep: list[str] | None = None) -> DataFrame:
+    """All columns (or those to keep) and ``base`` and ``spans``: arrays of (start, kind, end) by start, then kind; code points, end exclusive."""
+    keep = docs.columns if keep is None else keep
+    tested = _tested(docs, text_col, keep)
     mean, cut = _threshold(tested, fdr)
     size = lambda c: c["end"] - c["start"]
     kept = F.filter("_found", lambda c: c["log_p"] - F.log10(size(c) / F.lit(mean)) > F.lit(cut))
     added = F.transform(kept, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
-    return tested.select(*docs.columns, F.col("_base").alias("base"), F.array_sort(F.concat("_base", added)).alias("spans"))
+    return tested.select(*keep, F.col("_base").alias("base"), F.array_sort(F.concat("_base", added)).alias("spans"))
 
 
 def spelled(spans: Column) -> Column:
@@ -171,7 +190,7 @@ def spelled(spans: Column) -> Column:
 
 
 def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: float = FDR) -> DataFrame:
-    found = with_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", fdr)
+    found = with_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", fdr, ["doc_id"])
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return found.select(
         "doc_id",
