@@ -74,7 +74,7 @@ def parse_instant(c: str | Column, *formats: str) -> Column:
 def nanos_instant(c: str | Column) -> Column:
     """Epoch nanoseconds as an instant."""
     nanos = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_micros(((nanos - F.pmod(nanos, F.lit(1000))) / 1000).cast("long"))
+    return F.timestamp_micros(F.floor(nanos.cast("decimal(20,0)") / 1000).cast("long"))
 
 
 def on_hour(left: DataFrame, *rights: DataFrame, how: str = "left", on: Sequence[str] = HOUR) -> DataFrame:
