@@ -117,7 +117,7 @@ def dgp_system_analysis(lake: Lake) -> DataFrame:
 
 def forecast_error(lake: Lake) -> DataFrame:
     made = lake["generation"].select(*HOUR, zero("wind_generation_mwh").alias("wind_mwh"), zero("solar_generation_mwh").alias("solar_mwh")).withColumn("actual_res_mwh", C("wind_mwh") + C("solar_mwh"))
-    told = lake["res_forecast"].select(*HOUR, "forecasted_res_mwh", C("actual_res_generation_mwh").alias("epias_actual_res_mwh"))
+    told = lake["res_forecast"].select(*HOUR, "forecasted_res_mwh", C("actual_res_generation_mwh").alias("published_actual_res_mwh"))
     error = C("forecasted_res_mwh") - C("actual_res_mwh")
     each = told.join(made, HOUR, "full").withColumns({
         "forecast_error_mwh": error, "abs_error_mwh": F.abs(error), "error_pct": ratio(F.abs(error), "actual_res_mwh") * 100,

@@ -146,7 +146,7 @@ MART_TWINS: dict[str, str] = {
     "MA-4": twin(SPREAD, *_h, "price_cascade", "system_direction", "gip_transaction_count"),
     "MA-5": twin(DGP, *_h),
     "MA-6": twin(DGP, *_h),
-    "MA-7": twin("""WITH j AS (SELECT date, hour, forecasted_res_mwh, w + s AS actual_res_mwh, w AS wind_mwh, s AS solar_mwh, actual_res_generation_mwh AS epias_actual_res_mwh FROM res_forecast FULL JOIN (SELECT date, hour, coalesce(wind_generation_mwh, 0) AS w, coalesce(solar_generation_mwh, 0) AS s FROM generation) USING (date, hour)),
+    "MA-7": twin("""WITH j AS (SELECT date, hour, forecasted_res_mwh, w + s AS actual_res_mwh, w AS wind_mwh, s AS solar_mwh, actual_res_generation_mwh AS published_actual_res_mwh FROM res_forecast FULL JOIN (SELECT date, hour, coalesce(wind_generation_mwh, 0) AS w, coalesce(solar_generation_mwh, 0) AS s FROM generation) USING (date, hour)),
         e AS (SELECT *, forecasted_res_mwh - actual_res_mwh AS forecast_error_mwh, abs(forecasted_res_mwh - actual_res_mwh) AS abs_error_mwh, abs(forecasted_res_mwh - actual_res_mwh) / nullif(actual_res_mwh, 0) * 100 AS error_pct, CASE WHEN forecasted_res_mwh > actual_res_mwh THEN 'Aşırı Tahmin' WHEN forecasted_res_mwh < actual_res_mwh THEN 'Eksik Tahmin' ELSE 'Eşleşme' END AS error_direction FROM j)
         SELECT *, round(sqrt(avg(forecast_error_mwh ** 2) OVER (PARTITION BY date)), 2) AS daily_rmse_mwh, round(avg(error_pct) OVER (PARTITION BY date), 2) AS daily_mape_pct FROM e""", *_h, "error_direction"),
     "MA-8": twin(RESIDUAL, *_h, "datetime"),
