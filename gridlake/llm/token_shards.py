@@ -15,6 +15,7 @@ Null and empty texts have the end id alone; a null id is a key of its own and st
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import uuid
@@ -34,7 +35,7 @@ from .runtime import new_folder, slices, written
 
 MARK = b"IDSHARD1"
 END_ID = 1
-CACHED_WORDS, CACHED_LETTERS = 500_000, 1_000_000
+CACHED_WORDS, CACHED_LETTERS = 800_000, 1_000_000
 GAMMA = 2.0
 PUNCTUATION = ".,;:!?#$%&*|<>()"
 
@@ -60,9 +61,17 @@ class Coder:
         self.letters: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        # Millions of short-lived tuples and no cycles: the cycle collector would only walk them.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if len(self.words) > CACHED_WORDS:
-            self.words = {"": b""}
         if len(self.letters) > CACHED_LETTERS:
             self.letters = {}
         distinct: set[str] = set()
@@ -70,16 +79,18 @@ class Coder:
             distinct.update(words)
         known = self.words
         new = [(w, *parts(w)) for w in distinct.difference(known)]
-        wanted = {x for _, letters, rest in new for x in (letters, rest) if x and x not in self.letters}
-        plain = [x for x in wanted if is_plain(x)]
+        held = self.letters
+        plain = list({letters for _, letters, _ in new}.difference(held, ("",)))
         for start in range(0, len(plain), 512):
             self._learn_plain(plain[start : start + 512])
-        self._learn([x for x in wanted if not is_plain(x)])
-        held = self.letters
+        self._learn(list({rest for _, _, rest in new}.difference(held, ("",))))
         for w, letters, rest in new:
             known[w] = held[letters] + held[rest] if letters and rest else held[letters or rest]
         get = known.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        out = [b"".join(map(get, words)) for words in cut]
+        if len(known) > CACHED_WORDS:
+            self.words = {"": b""} | {w: known[w] for w in distinct}
+        return out
 
     def _learn_plain(self, words: list[str]) -> None:
         """Words of letters alone: one piece each, whose last token, and no other, closes a word."""
@@ -102,7 +113,7 @@ class Coder:
 
 def is_plain(word: str) -> bool:
     """Letters of Latin-1 alone, which every version of Unicode calls letters."""
-    return word.isalpha() and max(word) <= "\u00ff"
+    return word.isalpha() and (word.isascii() or max(word) <= "\u00ff")
 
 
 def parts(word: str) -> tuple[str, str]:
