@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.expressions import rounded
 from ..sources.bindings import Silver
-from . import marts, model_queries, oracles, report_queries, source_queries, staging
+from . import marts, model_queries, more_queries, oracles, report_queries, source_queries, staging
 from .oracles import AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,6 @@ STAGED: dict[str, Callable[[staging.Lake], DataFrame]] = {
 }
 
 QUERIES, ORACLE_SQL = _queries()
-for part in (report_queries, source_queries, model_queries):
+for part in (report_queries, source_queries, model_queries, more_queries):
     QUERIES |= part.QUERIES
     ORACLE_SQL |= part.ORACLE_SQL
