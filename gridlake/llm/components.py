@@ -15,15 +15,17 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """Of edges (a, b): each node that has an edge, as ``node``, and the least node that it reaches, as ``root``.
 
-    Every step is a grouped minimum and a join on the node, written out, so no component is held in one place.
+    Every step is a grouped minimum and a join on the node, so no component is held in one place. Minima are written, so
+    that the join's sides are plain exchanges and Spark can split the partition of a node with very many edges.
     """
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     was, state = None, _state(now)
     while state != was and state[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = written(large, "large-star")
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         now = written(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
         was, state = state, _state(now)

@@ -11,12 +11,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a new local one where that is unset (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        app = spark.sparkContext.applicationId
+        found = _own_dirs.setdefault(app, _own_dirs.get(app) or "file://" + tempfile.mkdtemp(prefix="spark-shared-"))
     return found.rstrip("/")
 
 

@@ -101,10 +101,11 @@ def span_table(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> D
 def later_places(table: DataFrame) -> DataFrame:
     """The places of repeated spans that aren't their first ones, and the document of the first."""
     key = ["hash", "size"]
-    repeated = table.groupBy(*key).count().where("count > 1").select(*key)
+    # Written, so that both sides of the joins are plain exchanges and Spark can split a hot span's partition.
+    repeated = written(table.groupBy(*key).count().where("count > 1").select(*key), "repeated-keys")
     places = written(table.join(repeated, key, "left_semi"), "repeated-spans")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_key", "first")
-    first = places.groupBy(*key).agg(F.min(place).alias("origin"))
+    first = written(places.groupBy(*key).agg(F.min(place).alias("origin")), "first-places")
     return places.join(first, key).where(place != F.col("origin")).select("doc_id", "doc_key", "first", "stop", F.col("origin.doc_id").alias("origin_id"))
 
 

@@ -216,7 +216,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = found.join(classes, "fingerprint")
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = linked.join(least, "root").select("fingerprint", "component_id")
-    every = classes.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "first").alias("component_id"))
+    # Written, so that both sides of the last join are plain exchanges and Spark can split a hot fingerprint's partition.
+    every = written(classes.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "first").alias("component_id")), "class-components")
     return marked.join(every, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 

@@ -35,7 +35,7 @@ from .runtime import new_folder, slices, written
 
 MARK = b"IDSHARD1"
 END_ID = 1
-CACHED_WORDS, CACHED_LETTERS = 800_000, 1_000_000
+CACHED_WORDS, CACHED_LETTERS = 600_000, 800_000
 GAMMA = 2.0
 PUNCTUATION = ".,;:!?#$%&*|<>()"
 
