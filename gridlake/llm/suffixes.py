@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .runtime import slices, written
 
 WIDTH = 10
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 
 IS_WORD = np.array([0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 LOWERED = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
