@@ -118,17 +118,16 @@ class Model:
         coded = np.tanh(x @ w["encode"] + w["encode0"])
         told, gate = np.tanh(coded @ w["tell"]), _sigmoid(coded @ w["gate"])
         raw = (told * gate) @ w["attend"]
-        top = np.full(bags, -np.inf)
-        np.maximum.at(top, owner, raw)
-        lifted = np.exp(raw - top[owner])
-        share = lifted / np.bincount(owner, lifted, minlength=bags)[owner]
-        bag = np.zeros((bags, coded.shape[1]))
-        np.add.at(bag, owner, share[:, None] * coded)
+        # Passages stand in the order of their documents, and each document has one at least.
+        first = np.searchsorted(owner, np.arange(bags))
+        lifted = np.exp(raw - np.maximum.reduceat(raw, first)[owner])
+        share = lifted / np.add.reduceat(lifted, first)[owner]
+        bag = np.add.reduceat(share[:, None] * coded, first, axis=0)
         return {"coded": coded, "told": told, "gate": gate, "share": share, "bag": bag, "score": _sigmoid(bag @ w["score"] + w["score0"][0])}
 
     def score(self, features: np.ndarray, owner: np.ndarray, bags: int) -> np.ndarray:
-        if self.constant is not None:
-            return np.full(bags, self.constant)
+        if self.constant is not None or not bags:
+            return np.full(bags, self.constant or 0.0)
         return self.forward((features - self.mean) / self.spread, owner, bags)["score"]
 
 
@@ -177,8 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_label
         for part in slices(batches, "text"):
             found, owner = passages(part.column("text"))
             rows = []
-            for i in range(part.num_rows):
-                own = found[owner == i].astype("<f4")
+            for own in np.split(found.astype("<f4"), np.searchsorted(owner, np.arange(1, part.num_rows))):
                 if len(own) > max_passages:
                     own = own[np.linspace(0, len(own) - 1, max_passages).astype(int)]
                 rows.append(own.tobytes())
