@@ -28,7 +28,7 @@ from .runtime import slices
 from .suffixes import BYTE_KEYS, place_keys, text_bytes
 
 PASSAGE, MAX_LABELLED, MAX_PASSAGES = 50, 8000, 256
-HIDDEN, ATTENTION, ROUNDS, RATE, DECAY = 16, 8, 300, 0.02, 1e-4
+HIDDEN, ATTENTION, ROUNDS, RATE, DECAY = 16, 8, 150, 0.02, 1e-4
 
 #: Kinds of bytes that passages count.
 KINDS = ["space", "line", "lower", "upper", "digit", "stop", "shout", "quote", "symbol", "other", "high"]
