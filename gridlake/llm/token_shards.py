@@ -52,7 +52,6 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         vocabulary = self.model.get_vocab()
         self.type = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)

@@ -317,6 +317,17 @@ def test_words_are_encoded_as_whole_texts_are():
         assert np.frombuffer(code.encode([text])[0], code.type).tolist() == code.model.encode(text, add_special_tokens=False).ids
 
 
+def test_special_token_strings_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    model, code, rng = Tokenizer.from_file(WORDS), token_shards.Coder(WORDS), random.Random(7)
+    assert np.frombuffer(code.encode(["first part <|endoftext|> second"])[0], code.type).tolist() == [874, 1551, 49407, 2241]
+    pieces = ["a", "ab,", "É", " ", "\n", "!", "<|startoftext|>", "<|endoftext|>", "<|", "|>", "<|ENDOFTEXT|>", "漢", "'s"]
+    for _ in range(1500):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 25)))
+        assert np.frombuffer(code.encode([text])[0], code.type).tolist() == model.encode(text, add_special_tokens=False).ids
+
+
 def test_perfect_hash():
     keys = token_shards.key_hashes([*range(5000), None])
     index = token_shards.PerfectHash.of(keys)
