@@ -6,9 +6,12 @@ The battery tests a candidate against "characters are drawn evenly from that alp
 lower case, upper case and digits and on the characters within each, a runs test on those classes, and lag-1 serial
 correlation; Fisher's method combines the p-values. Whatever isn't rejected as written by people and can hold ``MIN_BITS`` bits is a secret.
 
+A run that fits no encoding is split at its separators, and pieces that are long enough are candidates.
+
 Rejection is a weighted Benjamini-Hochberg step over the candidates of all documents: short strings give tests little
-power, so a candidate's share of the error budget is its length over the mean length. Counts for it are two
-aggregates and a histogram of ``BINS`` rows; the threshold is a bin's edge, on the safe side.
+power, so a candidate's share of the error budget is its length over the mean length, but at most 1: an evenly drawn
+string of any length is discarded with a chance of at most ``FDR``. Counts for it are two aggregates and a histogram of
+``BINS`` rows; the threshold is a bin's edge, on the safe side.
 
 Null and empty texts have no spans. Repeated rows each get theirs. Other columns pass through :func:`with_spans`.
 """
@@ -123,6 +126,19 @@ def battery(run: str, alphabet: str) -> float:
     return math.log10(max(chi2_tail(fisher, 2 * len(tests)), 1e-300))
 
 
+def pieces(run: str, start: int = 0) -> Iterator[tuple[int, str, str]]:
+    """(start, piece, alphabet) of the run if it fits an encoding, else of its pieces between separators of one encoding."""
+    if len(run) < MIN_RUN:
+        return
+    if alphabet := encoding_of(run):
+        yield start, run, alphabet
+        return
+    splits = [[(start + m.start(), m[0]) for m in re.finditer(f"[^{seps}]+", run)] for seps in ("+/", "_-") if set(seps) & set(run)]
+    if splits:
+        for at, piece in max(splits, key=lambda s: max((len(x) for _, x in s if encoding_of(x)), default=0)):
+            yield from pieces(piece, at)
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
     """(start, kind, end, log10 p) of runs that fit an encoding, can hold enough bits and touch no base span."""
     out = []
@@ -131,9 +147,9 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     for m in RUN.finditer(text):
         if any(a < m.end() and m.start() < b for a, _, b in taken):
             continue
-        alphabet = encoding_of(m[0])
-        if alphabet and len(m[0]) * math.log2(len(alphabet)) >= MIN_BITS:
-            out.append((m.start(), 3, m.end(), battery(m[0], alphabet)))
+        for start, piece, alphabet in pieces(m[0], m.start()):
+            if len(piece) * math.log2(len(alphabet)) >= MIN_BITS:
+                out.append((start, 3, start + len(piece), battery(piece, alphabet)))
     return out
 
 
@@ -156,6 +172,10 @@ def _tested(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     return written(docs.mapInArrow(tested, schema), "secrets")
 
 
+def _weight(size: Column, mean: float) -> Column:
+    return F.least(F.lit(1.0), size / F.lit(mean))
+
+
 def _threshold(tested: DataFrame, fdr: float) -> tuple[float, float]:
     """The mean candidate length, and the weighted log10 p-value up to which candidates are rejected."""
     each = tested.select(F.explode("_found").alias("c")).select(F.col("c.log_p").alias("log_p"), (F.col("c.end") - F.col("c.start")).alias("size"))
@@ -163,7 +183,7 @@ def _threshold(tested: DataFrame, fdr: float) -> tuple[float, float]:
     if not m:
         return 1.0, -math.inf
     step = 20.0 / BINS
-    weighted = F.col("log_p") - F.log10(F.col("size") / F.lit(mean))
+    weighted = F.col("log_p") - F.log10(_weight(F.col("size"), mean))
     up = F.least(F.lit(0), F.greatest(F.lit(-BINS), F.ceil(weighted / step))).cast("int")
     below, cut = 0, -math.inf
     for edge, n in sorted((r["edge"], r["n"]) for r in each.groupBy(up.alias("edge")).agg(F.count("*").alias("n")).collect()):
@@ -179,7 +199,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", fdr: float = FDR, keep:
     tested = _tested(docs, text_col, keep)
     mean, cut = _threshold(tested, fdr)
     size = lambda c: c["end"] - c["start"]
-    kept = F.filter("_found", lambda c: c["log_p"] - F.log10(size(c) / F.lit(mean)) > F.lit(cut))
+    kept = F.filter("_found", lambda c: c["log_p"] - F.log10(_weight(size(c), mean)) > F.lit(cut))
     added = F.transform(kept, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
     return tested.select(*keep, F.col("_base").alias("base"), F.array_sort(F.concat("_base", added)).alias("spans"))
 

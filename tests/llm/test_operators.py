@@ -141,6 +141,25 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert all(found[100 + i]["spans"] == "" for i in range(len(named)))
 
 
+def test_random_strings_of_any_length_are_found_among_many_identifiers(spark):
+    rng = random.Random(8)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [(n, "".join(rng.choice(alphabet) for _ in range(n))) for n in (40, 64, 200, 700) for _ in range(300)]
+    words = ["User", "Profile", "Setting", "Version", "Controller", "Handler", "Index", "Final"]
+    named = ["".join(rng.choice(words) for _ in range(4))[:22] + "12" for _ in range(9000)]
+    rows = [(i, f"use {k} now") for i, (_, k) in enumerate(keys)] + [(10_000 + i, f"see {n} there") for i, n in enumerate(named)]
+    found = by_id(secrets.secret_report(spark.createDataFrame(rows, "doc_id long, text string")))
+    for n in (40, 64, 200, 700):
+        assert sum(found[i]["spans"] == f"random:4:{4 + n}" for i, (k, _) in enumerate(keys) if k == n) >= 275
+    assert sum(found[10_000 + i]["spans"] == "" for i in range(9000)) >= 8000
+
+
+def test_runs_of_mixed_alphabets_are_split(spark):
+    key = "q7Zp2Lx9Vb4Tn8Rk3Wd6Ym1Hs5Jc0GfAeUoXiQzBtNvPlKhM"
+    assert [(a, x) for a, x, _ in secrets.pieces(f"path/to_my-{key}/x+y")] == [(5, f"to_my-{key}")]
+    assert [(a, x) for a, x, _ in secrets.pieces(f"the_name-{key[:20]}+/{key[20:]}")] == [(9, f"{key[:20]}+/{key[20:]}")]
+
+
 def test_redaction(spark):
     rows = [(1, "a token = 'abcdef123' b", 5), (2, "clean", 5), (3, None, 5), (4, "key " + "0123456789abcdef" * 2 + " secret: " + "f" * 30 + " z", 5)]
     out = by_id(secrets.redacted(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")))
