@@ -270,6 +270,14 @@ def test_simhash_odd_rows(odd, empty):
     assert simhash.near_duplicates(empty).count() == simhash.one_of_each(empty).count() == 0
 
 
+def test_ids_play_no_part_in_what_is_linked(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (None, texts[5]), (None, texts[0])]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) == Counter(rows[:6])
+
+
 def test_buckets_find_all_links_of_any_radius():
     rng = np.random.default_rng(1)
     seeds = rng.integers(0, 1 << 63, 30, np.uint64)
