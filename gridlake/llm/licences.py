@@ -2,8 +2,9 @@
 
 A text is brought to canonical form: lower case, without copyright lines, equivalent spellings made one, and letters
 and digits alone, joined by single blanks in each line. The digest of the canonical text is hash-joined to the digests
-of known licences in the same form. What is looked up entire is the whole text, each block between empty lines, and
-each line, so a licence counts as the document itself, as a pasted block or as a one-line notice, but never by a part.
+of known licences in the same form. What is looked up entire is the whole text, with and without a title line, each
+block between empty lines, each run of as many blocks as a known licence has paragraphs, and each line, so a licence
+counts as the document itself, as pasted blocks or as a one-line notice, but never by a part.
 
 Units whose canonical length no known licence has are dropped before they are hashed. The known table is broadcast if
 it has at most ``MAX_BROADCAST`` rows, else joined by a shuffle. Counts are grouped per document after the join.
@@ -19,7 +20,13 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST = 100_000
 
-COPYRIGHT_LINES = r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: Copyright lines, but not lines of a licence that a wrap lets begin with "copyright notice" or a list with "(c)".
+COPYRIGHT_LINES = (
+    r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright(?![ \t]+(?:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or|to|in|on|is|of|interests?)\b)"
+    r"|\(c\)[ \t]*(?:copyright|by\b|©|\d{4})|©|all rights reserved)[^\n]*$"
+)
+#: A first line that names a licence and says nothing else.
+TITLE = r"^(?:the )?(?:[a-z0-9]+ ){0,4}license(?: [a-z0-9]+){0,4}$"
 #: Spellings that mean the same, and the one that stands for them.
 SPELLINGS = [
     (r"\b(sub)?-?licence(s|d)?\b", "$1license$2"),
@@ -45,6 +52,23 @@ _ISC_WARRANTY = (
     "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR "
     "IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
 )
+_BSD_TERMS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.\n"
+)
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission.\n"
+)
+_BSD_WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, '
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS "
+    "BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 #: Published licence texts and notices, with their usual short names.
 KNOWN = [
     ("MIT", "Released under the MIT License."),
@@ -78,6 +102,8 @@ KNOWN = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("BSD-2-Clause", _BSD_TERMS + _BSD_WARRANTY),
+    ("BSD-3-Clause", _BSD_TERMS + _BSD_THIRD + _BSD_WARRANTY),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
@@ -99,19 +125,34 @@ def joined(lines: Column) -> Column:
 
 
 def known_licences(spark: SparkSession, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
-    """(licence, size, digest) of distinct known texts, given as pairs or as a table (licence, text)."""
+    """(licence, size, digest, numbers of paragraphs) of distinct known texts, given as pairs or as a table (licence, text)."""
     rows = known if isinstance(known, DataFrame) else spark.createDataFrame(KNOWN if known is None else known, "licence string, text string")
-    whole = rows.select("licence", joined(canonical(F.col("text"))).alias("text")).where("text <> ''")
-    return whole.groupBy(F.md5("text").alias("digest")).agg(F.min("licence").alias("licence"), F.min(F.char_length("text")).alias("size"))
+    whole = rows.select("licence", canonical(F.col("text")).alias("lines")).withColumn("text", joined(F.col("lines"))).where("text <> ''")
+    parts = F.array(F.size(F.split("lines", "\n+")), F.size(F.split("lines", "\n\n+")))
+    return whole.groupBy(F.md5("text").alias("digest")).agg(
+        F.min("licence").alias("licence"), F.min(F.char_length("text")).alias("size"), F.array_distinct(F.flatten(F.collect_set(parts))).alias("parts")
+    )
 
 
-def licence_units(docs: DataFrame, sizes: list[int]) -> DataFrame:
+def licence_units(docs: DataFrame, sizes: list[int], runs: tuple[int, ...] = ()) -> DataFrame:
     """Rows (doc_id, doc_key, unit, text) of canonical units of the given lengths; a document without any has one with nulls."""
     lines = docs.select("doc_id", "doc_key", canonical(F.col("text")).alias("text"))
     unit = lambda kind: lambda x: F.struct(F.lit(kind).alias("unit"), joined(x).alias("text"))
     blocks, single = F.split("text", "\n\n+"), F.split("text", "\n")
+    none = F.array().cast("array<struct<unit:string,text:string>>")
+    titled = F.element_at(single, 1).rlike(TITLE) & (F.size(single) > 1)
+    # A run that is the whole text, or all of it but its title, is looked up as the text.
+    run = lambda n: F.when(
+        F.size(blocks) > n,
+        F.transform(
+            F.filter(F.sequence(F.lit(1), F.size(blocks) - n + 1), lambda i: ~(titled & (F.element_at(blocks, 1) == F.element_at(single, 1)) & (i == 2) & (F.size(blocks) == n + 1))),
+            lambda i: unit("run")(F.array_join(F.slice(blocks, i, n), "\n")),
+        ),
+    ).otherwise(none)
     every = F.concat(
         F.transform(F.array("text"), unit("text")),
+        F.when(titled, F.transform(F.array(F.regexp_replace("text", r"^[^\n]*\n+", "")), unit("text"))).otherwise(none),
+        *[run(n) for n in runs],
         F.when(F.size(blocks) > 1, F.transform(blocks, unit("block"))).otherwise(F.array().cast("array<struct<unit:string,text:string>>")),
         F.when(F.size(single) > 1, F.transform(single, unit("line"))).otherwise(F.array().cast("array<struct<unit:string,text:string>>")),
     )
@@ -123,8 +164,9 @@ def licence_report(docs: DataFrame, known: list[tuple[str, str]] | DataFrame | N
     """Per document: licence of the whole text (or null), all licences found, and how many units matched."""
     table = known_licences(docs.sparkSession, known)
     sizes = [r["size"] for r in table.select("size").distinct().limit(MAX_BROADCAST + 1).collect()]
+    runs = tuple(sorted(r["n"] for r in table.select(F.explode("parts").alias("n")).distinct().where("n > 1").collect()))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    units = licence_units(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_key"), text.alias("text")), sizes)
+    units = licence_units(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_key"), text.alias("text")), sizes, runs)
     if table.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
         table = F.broadcast(table)
     found = units.withColumn("digest", F.md5("text")).join(table.select("digest", "licence"), "digest", "left")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -108,6 +109,19 @@ def test_licences(spark, odd, empty):
     assert licences.licence_report(odd, spark.createDataFrame([], "licence string, text string")).where("n_matches > 0").count() == 0
 
 
+def test_published_licence_files(spark):
+    full = {name: text for name, text in licences.KNOWN if len(text) > 500 and name != "Apache-2.0"}
+    files = {k: f"{k} License\n\nCopyright (c) 2020 Somebody\n\n" + "\n\n".join(textwrap.fill(p, 78) for p in text.split("\n")) for k, text in full.items()}
+    isc = full["ISC"].replace("the above copyright", "the above\ncopyright").replace("\n", "\n\n").replace("above\n\ncopyright", "above\ncopyright")
+    rows = [(k, text) for k, text in files.items()] + [(f"pasted {k}", f"Intro.\n\n{text}\n\nOutro.") for k, text in files.items()] + [("wrapped", isc)]
+    found = by_id(licences.licence_report(spark.createDataFrame(rows, "doc_id string, text string")))
+    assert set(files) == {"MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause"}
+    for k in files:
+        assert (found[k]["whole_licence"], found[k]["licences"], found[k]["n_matches"]) == (k, k, 1)
+        assert (found[f"pasted {k}"]["whole_licence"], found[f"pasted {k}"]["licences"], found[f"pasted {k}"]["n_matches"]) == (None, k, 1)
+    assert found["wrapped"]["whole_licence"] == "ISC"
+
+
 # 3. Secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
