@@ -1,7 +1,7 @@
 """Substring dedup by sliding spans of sentences.
 
-A span starts at each sentence and takes the fewest sentences that are at least ``SENTENCES`` and hold at least
-``WORDS`` words, so that short stock phrases alone never count. Sentences end at ``.``, ``!`` or ``?`` before white
+A span starts or ends at each sentence and takes the fewest sentences that are at least ``SENTENCES`` and hold at least
+``WORDS`` words, so that short stock phrases alone never count and a passage is covered to its last sentence. Sentences end at ``.``, ``!`` or ``?`` before white
 space and at line ends; one of over ``LONG`` words is cut where its words' checksums say so, so that equal passages
 are cut alike wherever they stand. Spans are compared by the 64-bit hash and the length of their words, lower-cased
 and joined by single blanks.
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from .runtime import slices, written
 
-SENTENCES, WORDS, LONG, PIECE = 2, 20, 32, 8
+SENTENCES, WORDS, LONG, PIECE = 2, 20, 32, 4
 CUT = re.compile(r"(?<=[.!?])\s+|\n\s*")
 WORD = re.compile(r"\S+")
 
@@ -62,9 +62,9 @@ def _add(out: list[tuple[int, int, str, int]], text: str, start: int, stop: int,
 
 
 def spans(text: str, least: int = SENTENCES, words: int = WORDS) -> list[tuple[int, int, int, int]]:
-    """(first sentence, one past the last, hash, length) of the span from each sentence that has enough after it."""
+    """(first sentence, one past the last, hash, length) of the shortest spans that start and that end at each sentence."""
     found = sentences(text)
-    out = []
+    runs = set()
     stop = count = 0
     for i in range(len(found)):
         while stop < len(found) and (stop - i < least or count < words):
@@ -72,9 +72,20 @@ def spans(text: str, least: int = SENTENCES, words: int = WORDS) -> list[tuple[i
             stop += 1
         if stop - i < least or count < words:
             break
+        runs.add((i, stop))
+        count -= found[i][3]
+    first = count = 0
+    for stop in range(1, len(found) + 1):
+        count += found[stop - 1][3]
+        while stop - first > least and count - found[first][3] >= words:
+            count -= found[first][3]
+            first += 1
+        if stop - first >= least and count >= words:
+            runs.add((first, stop))
+    out = []
+    for i, stop in sorted(runs):
         run = " ".join([s[2] for s in found[i:stop]]).encode("utf-8", "replace")
         out.append((i, stop, xxhash.xxh64_intdigest(run) - (1 << 63), len(run)))
-        count -= found[i][3]
     return out
 
 

@@ -239,6 +239,27 @@ def test_repeated_passages_go_and_short_phrases_stay(spark):
     assert found[9]["n_removed"] == found[10]["n_removed"] == found[11]["n_removed"] == 0
 
 
+def test_the_end_of_a_passage_is_covered():
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    text = lambda sizes: " ".join(" ".join(word() for _ in range(n)) + "." for n in sizes)
+    passage = text((12, 30, 12, 5))
+    one, two = (sentence_spans.spans(f"{passage} {text((9, 25))}") for _ in range(2))
+    shared = {x[2:] for x in one} & {x[2:] for x in two}
+    assert {k for a, b, *x in one if tuple(x) in shared for k in range(a, b)} == {0, 1, 2, 3}
+
+
+def test_passages_without_full_stops_share_spans():
+    rng = random.Random(10)
+    run = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    caught = 0
+    for _ in range(300):
+        passage = run(60)
+        one, two = (sentence_spans.spans(f"{run(90)} {passage} {run(90)}") for _ in range(2))
+        caught += bool({x[2:] for x in one} & {x[2:] for x in two})
+    assert caught >= 291
+
+
 # 6. SimHash
 
 
