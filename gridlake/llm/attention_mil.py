@@ -20,15 +20,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import slices
+from .runtime import slices, written
 from .suffixes import BYTE_KEYS, place_keys, text_bytes
 
-PASSAGE, MAX_LABELLED, MAX_PASSAGES = 50, 8000, 256
-HIDDEN, ATTENTION, ROUNDS, RATE, DECAY = 16, 8, 150, 0.02, 1e-4
+#: ``MAX_PASSAGES`` is the sum over the labelled rows; rows are taken whole until it is reached.
+PASSAGE, MAX_LABELLED, MAX_PASSAGES = 50, 8000, 256_000
+HIDDEN, ATTENTION, ROUNDS, RATE, DECAY = 16, 8, 300, 0.02, 1e-4
 
 #: Kinds of bytes that passages count.
 KINDS = ["space", "line", "lower", "upper", "digit", "stop", "shout", "quote", "symbol", "other", "high"]
@@ -177,13 +178,16 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_label
             found, owner = passages(part.column("text"))
             rows = []
             for own in np.split(found.astype("<f4"), np.searchsorted(owner, np.arange(1, part.num_rows))):
-                if len(own) > max_passages:
-                    own = own[np.linspace(0, len(own) - 1, max_passages).astype(int)]
                 rows.append(own.tobytes())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "features"])
 
     schema = T.StructType([texts.schema["doc_id"], T.StructField("label", T.DoubleType()), T.StructField("features", T.BinaryType())])
-    rows = sorted(texts.mapInArrow(described, schema).dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
+    every = written(texts.mapInArrow(described, schema).dropDuplicates(["doc_id"]), "bags")
+    # One partition of at most max_labelled rows of two numbers; at least the first row is taken, however long it is.
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    size = every.select("doc_id", (F.octet_length("features") / (4 * N_FEATURES)).alias("n"))
+    fit_in = size.select("doc_id", F.sum("n").over(order).alias("until"), F.row_number().over(order).alias("at")).where((F.col("until") <= max_passages) | (F.col("at") == 1))
+    rows = sorted(every.join(F.broadcast(fit_in.select("doc_id")), "doc_id").collect(), key=lambda r: r["doc_id"])
     bags = [np.frombuffer(r["features"], "<f4").reshape(-1, N_FEATURES).astype(np.float64) for r in rows]
     owner = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     return fit(np.concatenate(bags) if bags else np.zeros((0, N_FEATURES)), owner, np.array([r["label"] for r in rows]))

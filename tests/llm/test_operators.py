@@ -408,6 +408,15 @@ def test_attention_scores_held_out_documents(spark):
     assert sum(r["predicted"] == known[r["doc_id"]] for r in found) >= 0.95 * len(found)
 
 
+def test_attention_is_fitted_on_whole_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(attention_mil, "fit", lambda x, owner, labels: seen.append(np.bincount(owner).tolist()))
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:2]
+    docs = spark.createDataFrame([(ids[0], "some word " * 10_000), (ids[1], "a short text")], "doc_id long, text string")
+    attention_mil.train(docs, spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int"))
+    assert seen == [[400, 1]]
+
+
 def test_attention_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(3, 1, 0), (4, 0, 0), (4, 0, 1), (6, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     assert attention_mil.quality_scores(odd, labels).count() == len(ODD)
