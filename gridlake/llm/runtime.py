@@ -36,6 +36,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores after those that a column of ``df`` has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

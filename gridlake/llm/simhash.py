@@ -12,16 +12,11 @@ and a block stops early once no pair in it is within the radius. Links that a bu
 
 A text of fewer words than a shingle is one shingle; one without words, or null, has fingerprint 0 and links like any
 other. Repeated rows are alike and link.
-
-:func:`one_of_each` keeps one of each group of texts with a Jaccard similarity of at least 0.8 over 5-word shingles.
-Fingerprints of such pairs differ in about 10 bits, too many for bit ranges, so its candidates share a key of 5 least
-hashes (a pair at 0.8 has none of the 32 in common with probability 3e-6) and are confirmed on their whole sets.
-Texts without words are alike. Other columns pass through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -37,10 +32,6 @@ from .runtime import slices, written
 SHINGLE, SEED, RADIUS = 4, 42, 4
 MAX_BUCKET = 8192
 BLOCK_ROWS = 1 << 16
-STAGE_WORDS, STAGE_SIMILARITY = 5, 0.8
-BANDS, ROWS = 32, 5
-_random = np.random.default_rng(SEED)
-LOW_FACTORS, HIGH_FACTORS = (_random.integers(0, 1 << 32, (BANDS * ROWS, 1), np.uint32) | np.uint32(1) for _ in range(2))
 
 
 def fingerprint(text: bytes, width: int = SHINGLE) -> int:
@@ -93,11 +84,11 @@ def bucket_keys(fp: Column, blocks: int, radius: int) -> Column:
 
 
 def planes_of(fps: np.ndarray) -> np.ndarray:
-    """Bit planes: word w of plane b holds bit b of rows 64 w to 64 w + 63."""
-    n = -(-len(fps) // 64) * 64
-    padded = np.zeros(n, np.uint64)
-    padded[: len(fps)] = fps
-    bits = np.unpackbits(padded.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
+    """Bit planes: word w of plane b holds bit b of rows 64 w to 64 w + 63. Fingerprints are words, or rows of words."""
+    width = 64 * (fps.shape[1] if fps.ndim > 1 else 1)
+    padded = np.zeros((-(-len(fps) // 64) * 64, width // 64), np.uint64)
+    padded[: len(fps)] = fps.reshape(len(fps), width // 64)
+    bits = np.unpackbits(padded.view(np.uint8), axis=1, bitorder="little")
     return np.packbits(bits.T.copy(), axis=1, bitorder="little").view(np.uint64)
 
 
@@ -114,31 +105,53 @@ def shifted(planes: np.ndarray, d: int) -> np.ndarray:
     return out
 
 
-def near_lanes(planes: np.ndarray, d: int, wanted: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes i of ``wanted`` (packed) whose row differs from row i + d in at most ``radius`` (under 8) bits."""
-    ones, twos, fours = (np.zeros(planes.shape[1], np.uint64) for _ in range(3))
-    over = np.zeros(planes.shape[1], np.uint64)
-    for b in range(0, 64, 8):
-        for differs in planes[b : b + 8] ^ shifted(planes[b : b + 8], d):
-            carry = ones & differs
-            ones ^= differs
-            carry2 = twos & carry
-            twos ^= carry
-            over |= fours & carry2
-            fours ^= carry2
+def added(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A carry-save adder: sum and carry of three planes."""
+    odd = a ^ b
+    return odd ^ c, (a & b) | (odd & c)
+
+
+def near_lanes(differing: Callable[[int], np.ndarray], bits: int, wanted: np.ndarray, radius: int) -> np.ndarray:
+    """Lanes of ``wanted`` (packed) with at most ``radius`` ones over all planes; ``differing(b)`` gives planes b to b + 7.
+
+    Eight planes at a time run through carry-save adders into vertical counters of 64 lanes a word. The block is left
+    as soon as every wanted lane is beyond the radius.
+    """
+    size = max(3, radius.bit_length())
+    counters = [np.zeros(len(wanted), np.uint64) for _ in range(size)]
+    over, alive = np.zeros(len(wanted), np.uint64), wanted
+    for b in range(0, bits, 8):
+        d = differing(b)
+        counters[0], two1 = added(counters[0], d[0], d[1])
+        counters[0], two2 = added(counters[0], d[2], d[3])
+        counters[1], four1 = added(counters[1], two1, two2)
+        counters[0], two1 = added(counters[0], d[4], d[5])
+        counters[0], two2 = added(counters[0], d[6], d[7])
+        counters[1], four2 = added(counters[1], two1, two2)
+        counters[2], carry = added(counters[2], four1, four2)
+        for i in range(3, size):
+            counters[i], carry = counters[i] ^ carry, counters[i] & carry
+        over |= carry
         more, equal = over.copy(), ~over
-        for counter, bit in ((fours, 4), (twos, 2), (ones, 1)):
-            if radius & bit:
-                equal &= counter
+        for i in reversed(range(size)):
+            if radius >> i & 1:
+                equal &= counters[i]
             else:
-                more |= equal & counter
-                equal &= ~counter
+                more |= equal & counters[i]
+                equal &= ~counters[i]
         alive = wanted & ~more
         if not alive.any():
             return np.empty(0, np.int64)
     return np.flatnonzero(np.unpackbits(alive.view(np.uint8), bitorder="little"))
 
 
+def packed_lanes(lanes: np.ndarray, words: int) -> np.ndarray:
+    """Booleans as bits of so many words."""
+    out = np.zeros(words * 64, bool)
+    out[: len(lanes)] = lanes
+    return np.packbits(out, bitorder="little").view(np.uint64)
+
+
 def bucket_links(fps: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect all near fingerprints of each group (rows sorted by group): pairs (fingerprint, its root)."""
     root = np.arange(len(fps))
@@ -154,10 +167,8 @@ def bucket_links(fps: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tu
 
     d, planes = 1, planes_of(fps)
     while len(rows) > d:
-        same = group[rows[:-d]] == group[rows[d:]]
-        lanes = np.zeros(planes.shape[1] * 64, bool)
-        lanes[: len(same)] = same
-        found = near_lanes(planes, d, np.packbits(lanes, bitorder="little").view(np.uint64), radius)
+        same = packed_lanes(group[rows[:-d]] == group[rows[d:]], planes.shape[1])
+        found = near_lanes(lambda b: planes[b : b + 8] ^ shifted(planes[b : b + 8], d), 64, same, radius)  # noqa: B023  called at once
         a, b = rows[found], rows[found + d]
         differ = root[a] != root[b]
         for i, j in zip(a[differ].tolist(), b[differ].tolist(), strict=True):
@@ -199,8 +210,6 @@ def _compared(radius: int):
 
 def links(classes: DataFrame, radius: int = RADIUS, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """Edges (a, b) that connect all distinct fingerprints within ``radius`` bits of each other."""
-    if radius > 7:
-        raise ValueError("distances are counted up to 7")
     blocks = blocks_for(classes.count(), radius)
     rows = classes.select("fingerprint", F.explode(bucket_keys(F.col("fingerprint"), blocks, radius)).alias("k")).select("k.table", "k.key", "fingerprint")
     large = rows.groupBy("table", "key").count().where(F.col("count") > max_bucket)
@@ -235,132 +244,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def shingle_set(text: bytes, width: int = STAGE_WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of UTF-8 text; words are those of :func:`fingerprint`."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    plain = b" ".join(words)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    starts = np.cumsum(sizes + 1) - sizes - 1
-    ends = (starts + sizes)[min(width, len(words)) - 1 :].tolist()
-    digest = xxhash.xxh64_digest
-    return np.unique(np.frombuffer(b"".join([digest(plain[a:b], SEED) for a, b in zip(starts.tolist(), ends)]), np.uint64))  # noqa: B905  the last starts have no end
-
-
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """``BANDS`` keys; two sets of similarity s share none with probability (1 - s ** ROWS) ** BANDS."""
-    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
-    low, high = hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint32)
-    for start in range(0, len(hashes), 512):
-        mixed = LOW_FACTORS * low[start : start + 512] + HIGH_FACTORS * high[start : start + 512]
-        np.minimum(least, mixed.min(axis=1), out=least)
-    return np.array([xxhash.xxh64_intdigest(band.tobytes(), b) for b, band in enumerate(least.reshape(BANDS, ROWS))], np.uint64)
-
-
-def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Per row: ``id``, ``text_hash``, ``node`` (a hash of its set of shingles), ``size``, ``keys`` and ``hashes`` of the set."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    kinds = [("node", T.LongType()), ("size", T.IntegerType()), ("keys", T.ArrayType(T.LongType())), ("hashes", T.BinaryType())]
-    schema = T.StructType([rows.schema["id"], rows.schema["text_hash"], *[T.StructField(*k) for k in kinds]])
-
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            sets = [shingle_set(x, width) for x in part.column("text").cast(pa.binary()).to_pylist()]
-            held = [x.tobytes() for x in sets]
-            node = np.array([xxhash.xxh64_intdigest(x, SEED) for x in held], np.uint64).view(np.int64)
-            keys = pa.array([band_keys(x).view(np.int64) if len(x) else [] for x in sets], pa.list_(pa.int64()))
-            columns = [pa.array(node), pa.array([len(x) for x in sets], pa.int32()), keys, pa.array(held, pa.binary())]
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), *columns], schema.names)
-
-    return rows.mapInArrow(sketched, schema)
-
-
-def _similar(similarity: float):
-    """Keep pairs whose sets have at least this Jaccard similarity."""
-
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices([batch], "x"):
-                keep = []
-                for x, y in zip(part.column("x").to_pylist(), part.column("y").to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return similar
-
-
-def similar_links(sketched: DataFrame, similarity: float) -> DataFrame:
-    """(node, root) of sets that links of at least ``similarity`` connect to others.
-
-    Pairs that share a band's key are candidates, and each link is confirmed on the whole sets. A large group of near
-    copies would have a square of pairs, nearly all of them implied by others, so one member of each bucket is first
-    compared with all others, for as long as this halves the pairs left; then every pair of components that is left is compared.
-    """
-    nodes = sketched.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
-    rows = written(nodes.select("node", "size", F.explode("keys").alias("key")), "band-keys")
-    shared = written(rows.groupBy("key").count().where("count > 1").select("key"), "shared-keys")
-    rows = written(rows.join(shared, "key", "left_semi"), "band-rows")
-    sets = sketched.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes"))
-    sets = written(sets, "shingle-sets")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        fit = pairs.where(F.least("size", "other_size") >= F.lit(similarity - 1e-9) * F.greatest("size", "other_size"))
-        fit = written(fit.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "candidates")
-        both = fit.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-        return written(both.select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long"), "confirmed")
-
-    edges = None
-    turn, before = 0, None
-    while True:
-        if edges is None:
-            now, open_pairs = rows.withColumn("root", F.col("node")), None
-        else:
-            found = written(components(edges), "roots")
-            now = written(rows.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "band-roots")
-            sizes = now.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-            open_keys = written(sizes.where("n * n > own").select("key", (F.col("n") * F.col("n") - F.col("own")).alias("open")), "open-keys")
-            now = written(now.join(open_keys.select("key"), "key", "left_semi"), "open-rows")
-            open_pairs = open_keys.agg(F.sum("open")).collect()[0][0] or 0
-            if not open_pairs:
-                return found
-        last = turn and (open_pairs <= 64 * now.count() or (before and open_pairs > before / 2))
-        before = open_pairs
-        if last:
-            pairs = now.alias("l").join(now.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root")), "key").where("root < other_root")
-        else:
-            centre = now.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "size", "root")).alias("c"))
-            centre = written(centre.select("key", F.col("c.node").alias("other"), F.col("c.size").alias("other_size"), F.col("c.root").alias("other_root")), "centres")
-            pairs = now.join(centre, "key").where("root <> other_root")
-        more = confirmed(pairs)
-        edges = more if edges is None else edges.unionByName(more)
-        if last:
-            return components(edges)
-        turn += 1
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = STAGE_WORDS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
-    """One document of each component of texts whose sets of ``width``-word shingles are similar, the one with the least id, with all columns.
-
-    Ids play no part in what is linked: rows without one, or that share one, stay apart unless their texts are near. Rows
-    without an id come last, and rows alike in id and text are reduced to one.
-    """
-    sketched = written(sketches(docs, id_col, text_col, width), "sketches")
-    found = similar_links(sketched, similarity)
-    rooted = sketched.select("id", "text_hash", "node").join(found, "node", "left").select("id", "text_hash", F.coalesce("root", "node").alias("root"))
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
-    rows = rooted.groupBy("root", "id", "text_hash").agg(F.count("*").alias("n"))
-    least = rows.groupBy("root").agg(F.min(F.struct(*[place[c].alias(c) for c in ("none", "id", "text_hash")], "n")).alias("p"))
-    stay = least.select(F.col("p.id").alias("__id"), F.col("p.text_hash").alias("__hash"), F.col("p.n").alias("__rows"))
-    kept = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = kept.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")))
-    single = kept.where("__rows = 1").select(*docs.columns)
-    several = kept.where("__rows > 1")
-    if several.isEmpty():
-        return single
-    return single.unionByName(several.dropDuplicates([id_col, "__text"]).select(*docs.columns))

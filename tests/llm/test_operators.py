@@ -11,16 +11,13 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from brute import ODD, base, brute_matches, jaccard_roots
 
-from gridlake.llm import attention_mil, bpe_tree, licences, quality_rules, quote_links, secrets, sentence_spans, simhash, suffixes, token_shards
+from gridlake.llm import attention_mil, bpe_tree, licences, near_copies, quality_rules, quote_links, secrets, sentence_spans, simhash, suffixes, token_shards
 from gridlake.llm.runtime import documents
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
-ODD = [
-    (1, None), (2, ""), (3, "Just a few words here."), (3, "Just a few words here."), (4, "long " * 30_000 + "end. " + "x" * 50_000), (5, " \n\t "), (6, "Ünï¢ødé ŧëxt 漢字 🎉 token: abcdef1 !!"),
-    (None, "No id, but a text of several words. And a second sentence follows it."), (7, "No id, but a text of several words. And a second sentence follows it."), (8, "Released under the MIT License."),
-]
 CLASH = {"fingerprint": 1, "spans": "x", "n_words": 2, "component_id": 3, "score": 0.5, "hash": "h", "first": 9, "items": "i", "ids": "j", "kept": False, "lang": None}
 
 
@@ -124,16 +121,6 @@ def test_published_licence_files(spark):
 
 # 3. Secrets
 
-ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
-
-
-def base(text):
-    out = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
-    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
-    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(out))
-
-
 def test_secret_base_spans(docs, texts, odd, empty):
     for i, row in by_id(secrets.secret_report(docs)).items():
         assert row["base_sha256"] == hashlib.sha256(base(texts[i]).encode()).hexdigest()
@@ -300,16 +287,16 @@ def test_simhash(docs, texts, max_bucket):
 def test_simhash_odd_rows(odd, empty):
     found = Counter((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(odd).collect())
     assert found == Counter({(1, 1): 1, (2, 1): 1, (5, 1): 1, (3, 3): 2, (4, 4): 1, (6, 6): 1, (None, 7): 1, (7, 7): 1, (8, 8): 1})
-    kept = simhash.one_of_each(odd)
+    kept = near_copies.one_of_each(odd)
     assert kept.columns == odd.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 6, 7, 8]
-    assert simhash.near_duplicates(empty).count() == simhash.one_of_each(empty).count() == 0
+    assert simhash.near_duplicates(empty).count() == near_copies.one_of_each(empty).count() == 0
 
 
 def test_ids_play_no_part_in_what_is_linked(spark):
     rng = random.Random(6)
     texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(6)]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (None, texts[5]), (None, texts[0])]
-    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert Counter(map(tuple, kept)) == Counter(rows[:6])
 
 
@@ -317,13 +304,45 @@ def test_buckets_find_all_links_of_any_radius():
     rng = np.random.default_rng(1)
     seeds = rng.integers(0, 1 << 63, 30, np.uint64)
     values = np.array([s ^ np.uint64(sum(1 << int(k) for k in rng.choice(64, int(rng.integers(0, 8)), replace=False))) for s in seeds for _ in range(12)], np.uint64)
-    for radius in (0, 2, 4, 6):
+    for radius in (0, 2, 4, 6, 9, 17):
         a, b = simhash.bucket_links(values, np.zeros(len(values), int), radius)
         root = roots([int(v) for v in values], radius)
         up = {int(x): int(y) for x, y in zip(a, b, strict=True)}
         assert len({up.get(int(v), int(v)) for v in values}) == len({int(values[r]) for r in root if True})
 
 
+def test_planes_count_wide_distances():
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 1 << 63, (300, 4), np.uint64)
+    flips = np.packbits(rng.random((300, 256)) < rng.random((300, 1)) / 2, axis=1, bitorder="little").view(np.uint64)
+    one, two = simhash.planes_of(a), simhash.planes_of(a ^ flips)
+    far = np.bitwise_count(flips).sum(axis=1)
+    wanted = rng.random(300) < 0.9
+    for radius in (0, 5, 39, 80, 127, 255):
+        found = simhash.near_lanes(lambda b: one[b : b + 8] ^ two[b : b + 8], 256, simhash.packed_lanes(wanted, one.shape[1]), radius)
+        assert found.tolist() == np.flatnonzero(wanted & (far <= radius)).tolist()
+
+
+@pytest.mark.parametrize("chunk", [2048, 7])
+def test_near_copies(spark, chunk, monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(near_copies, "CHUNK", chunk)
+    texts = []
+    for n in (4, 5, 9, 30, 100, 300):
+        for share in (0.01, 0.02, 0.03, 0.05, 0.1):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            texts += [" ".join(words), " ".join(words[:-1])]
+            texts += [" ".join(f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in words) for _ in range(4)]
+    # A group whose members are all a little under and over the similarity from each other.
+    words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    texts += [" ".join(f"x{rng.randrange(10**6)}" if rng.random() < 0.014 else w for w in words) for _ in range(60)]
+    root = jaccard_roots(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for max_broadcast in (10**6, 0):
+        assert sorted(r["doc_id"] for r in near_copies.one_of_each(docs, max_broadcast=max_broadcast).collect()) == sorted(set(root))
+    assert 40 < len(set(root)) < len(texts) - 40
+
+
 # 7. Quality rules
 
 
@@ -435,25 +454,6 @@ def test_gradients():
 # 10. Decontamination
 
 
-def brute_matches(texts, items, width=10):
-    find = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
-    index = defaultdict(set)
-    for i, text in items:
-        words = find(text)
-        for k in range(len(words) - width + 1) if len(words) >= width else range(bool(words)):
-            index[tuple(words[k : k + width])].add(str(i))
-    out = []
-    for i, text in texts:
-        words, hit, names = find(text), set(), set()
-        for n in {len(k) for k in index}:
-            for k in range(len(words) - n + 1):
-                if (w := tuple(words[k : k + n])) in index:
-                    hit.update(range(k, k + n))
-                    names |= index[w]
-        out.append((i, len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)))
-    return out
-
-
 def test_contamination(docs, texts, spark, sf):
     bench = documents(spark, sf, "benchmark")
     expected = multiset(brute_matches(texts.items(), [tuple(r) for r in bench.collect()]))
