@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import bpe_tree, quality_rules, secrets, simhash, suffixes
+from gridlake.llm import bpe_tree, near_copies, quality_rules, secrets, suffixes
 from gridlake.llm.runtime import documents, written
 
 
@@ -21,7 +21,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return simhash.one_of_each(docs)
+    return near_copies.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
