@@ -48,3 +48,79 @@ def brute_matches(texts, items, width=10):
                     names |= index[w]
         out.append((i, len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)))
     return out
+
+
+def _level(line):
+    m = re.match(r"((?:[ \t]?>)+)[ \t]?", line)
+    return (m[1].count(">"), line[m.end() :]) if m else (0, line)
+
+
+def _normal(text):
+    return re.sub(r"\s+", " ", text.lower()).strip(" ")
+
+
+def _own(text):
+    if not re.search(r"(?m)^[ \t]?>", text):
+        return text
+    lines = text.split("\n")
+    tells = re.compile(r"\b(?:wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$", re.I)
+    kept = [x for i, x in enumerate(lines) if not _level(x)[0] and not (tells.search(x) and i + 1 < len(lines) and _level(lines[i + 1])[0])]
+    return "\n".join(kept).strip()
+
+
+def conversations(rows, least_line=12):
+    """(conv_id, turn, role, own text, reply_to, position, passages, linked, depth) of each (conv_id, turn, role, text)."""
+    rows = [(c, t, r, x or "") for c, t, r, x in rows]
+    said = {}
+    for c, t, _, x in rows:
+        if c is None or t is None:
+            continue
+        own = _own(x)
+        for unit in [own, *re.split(r"\n\s*\n", own), *own.split("\n")]:
+            key = (c, _normal(unit))
+            if key[1]:
+                said[key] = min(said.get(key, t), t)
+    quotes = {}
+    for row in rows:
+        c, t, _, x = row
+        runs = []
+        for line in x.split("\n"):
+            level, bare = _level(line)
+            if runs and runs[-1][0] == level:
+                runs[-1][1].append(bare)
+            else:
+                runs.append((level, [bare]))
+        found = []
+        for level, lines in runs:
+            units = [(True, _normal("\n".join(lines)))] + [(False, _normal(x)) for x in lines if len(_normal(x)) >= least_line]
+            units = [u for u in units if u[1]]
+            if not level or not units:
+                continue
+            hits = [(whole, said[c, u]) for whole, u in units if t is not None and (c, u) in said and said[c, u] < t]
+            found.append((level, max(hits)[1] if hits else None))
+        quotes[row] = found
+    linked = {}
+    for (c, t, _, _), found in quotes.items():
+        hits = [(level, -o) for level, o in found if o is not None]
+        if hits:
+            linked[c, t] = max(linked.get((c, t), -1), -min(hits)[1])
+    place, reply = {}, {}
+    for c in {r[0] for r in rows} - {None}:
+        turns = sorted({r[1] for r in rows if r[0] == c and r[1] is not None})
+        order = []
+        for k, t in enumerate(turns):
+            before = turns[k - 1] if k else None
+            reply[c, t] = linked.get((c, t), before)
+        # A chain goes on from the turn before; an opened branch stands right after what it replies to.
+        opens = {t for k, t in enumerate(turns) if k and reply[c, t] < turns[k - 1]}
+        kids = {}
+        for t in opens:
+            kids.setdefault(reply[c, t], []).append(t)
+        goes_on = {a: b for a, b in zip(turns, turns[1:]) if b not in opens}  # noqa: B905
+        stack = turns[:1]
+        while stack:
+            t = stack.pop()
+            order.append(t)
+            stack += ([goes_on[t]] if t in goes_on else []) + sorted(kids.get(t, []), reverse=True)
+        place.update({(c, t): k for k, t in enumerate(order)})
+    return [(c, t, r, _own(x), reply.get((c, t)), place.get((c, t)), len(quotes[c, t, r, x]), sum(o is not None for _, o in quotes[c, t, r, x]), max((n for n, _ in quotes[c, t, r, x]), default=0)) for c, t, r, x in rows]

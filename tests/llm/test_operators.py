@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
-from brute import ODD, base, brute_matches, jaccard_roots
+from brute import ODD, base, brute_matches, conversations, jaccard_roots
 
 from gridlake.llm import attention_mil, bpe_tree, licences, near_copies, quality_rules, quote_links, secrets, sentence_spans, simhash, suffixes, token_shards
 from gridlake.llm.runtime import documents
@@ -179,10 +179,10 @@ def test_quote_links(spark):
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     found = {(r["conv_id"], r["turn"]): r for r in quote_links.linked_conversations(table).collect()}
     assert [found[1, t]["reply_to"] for t in range(7)] == [None, 0, 1, 1, 3, 0, 3]
-    assert [t for _, t in sorted((found[1, t]["order_key"], t) for t in range(7))] == [0, 5, 1, 3, 6, 4, 2]
+    assert [t for _, t in sorted((found[1, t]["position"], t) for t in range(7))] == [0, 5, 1, 3, 6, 4, 2]
     assert [found[1, t]["text"] for t in (1, 3, 5)] == ["Use sorted().", "Does it copy?", "hi"]
     assert (found[1, 3]["n_passages"], found[1, 3]["n_linked"], found[1, 3]["quote_depth"]) == (2, 2, 2)
-    assert (found[2, 5]["reply_to"], found[2, 5]["n_linked"], found[2, 0]["text"], found[None, 1]["order_key"]) == (0, 0, "", None)
+    assert (found[2, 5]["reply_to"], found[2, 5]["n_linked"], found[2, 0]["text"], found[None, 1]["position"]) == (0, 0, "", None)
     assert quote_links.linked_conversations(table).count() == len(rows)
     assert quote_links.conversation_report(table.where("false")).count() == 0
 
@@ -192,7 +192,41 @@ def test_turns_over_several_stretches(spark, monkeypatch):
     turns = spark.createDataFrame([(1, t * 2, 2 if t == 7 else None) for t in range(12)], "conv_id long, turn long, linked long")
     found = {r["turn"]: r for r in quote_links.reply_tree(turns).collect()}
     assert [found[t * 2]["reply_to"] for t in range(12)] == [None, 0, 2, 4, 6, 8, 10, 2, 14, 16, 18, 20]
-    assert [t for _, t in sorted((r["order_key"], t) for t, r in found.items())] == [0, 2, 14, 16, 18, 20, 22, 4, 6, 8, 10, 12]
+    assert [t for _, t in sorted((r["position"], t) for t, r in found.items())] == [0, 2, 14, 16, 18, 20, 22, 4, 6, 8, 10, 12]
+
+
+def test_quote_links_of_repeated_rows(spark):
+    rows = [(1, 0, "user", "Yes.\nNo."), (1, 1, "assistant", "well"), (1, 2, "user", "> Yes.\n> No.\nboth"), (1, 2, "user", "> Yes.\n> No.\nboth")]
+    found = quote_links.linked_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert multiset(map(tuple, found)) == multiset(conversations(rows))
+    assert [r["reply_to"] for r in found if r["turn"] == 2] == [0, 0]
+
+
+@pytest.mark.parametrize("stretch", [512, 3])
+def test_generated_threads(spark, stretch, monkeypatch):
+    """Nested quotes, repeated rows, null and very long texts and keys, clashing columns, and branches in branches."""
+    monkeypatch.setattr(quote_links, "STRETCH", stretch)
+    rng = random.Random(stretch)
+    rows = [(None, 3, "user", "> lost"), (77, None, "user", "no turn"), (50, 0, "user", None), (50, 1, None, "> \n>> x"), (51, 0, "user", "word " * 40_000), (51, 4, "user", "> " + "word " * 40_000 + "\nmany"), (52, 1, "user", ">" * 40 + " deep")]
+    for c in range(25):
+        texts = []
+        for t in range(rng.randint(1, 30)):
+            own = "\n".join(f"Line {rng.randrange(40)} of somebody who talks." for _ in range(rng.randint(1, 3)))
+            text = own
+            if texts and rng.random() < 0.6:
+                far = rng.choice(texts)
+                quoted = "\n".join("> " + x for x in (far.split("\n") if rng.random() < 0.7 else rng.sample(far.split("\n"), 1)))
+                text = rng.choice(["", "Ann wrote:\n", "so\n"]) + quoted + "\n\n" + own
+            texts.append(text)
+            rows += [(c, t * rng.choice([1, 1, 1]), rng.choice(["user", "assistant"]), text)] * rng.choice([1, 1, 1, 2])
+    # Alternate replies that nest as deep as the thread is long.
+    deep = ["The very first message of all."]
+    for t in range(1, 24):
+        deep.append(f"Answer {t} is a line of its own.\n" if t % 2 else f"> Answer {t - 3} is a line of its own.\nMore {t} on that.\n" if t > 3 else f"More {t} on that.")
+    rows += [(99, t, "user", x) for t, x in enumerate(deep)]
+    schema = "conv_id long, turn long, role string, text string, key int, own string, position string, place int, linked string"
+    table = spark.createDataFrame([(*r, 1, "o", "p", 2, "l") for r in rows], schema)
+    assert multiset(map(tuple, quote_links.linked_conversations(table).collect())) == multiset(conversations(rows))
 
 
 # 5. Sentence spans
