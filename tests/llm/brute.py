@@ -1,6 +1,7 @@
 """Plain-Python versions of what the operators compute, and awkward rows."""
 
 import hashlib
+import math
 import re
 from collections import defaultdict
 
@@ -124,3 +125,43 @@ def conversations(rows, least_line=12):
             stack += ([goes_on[t]] if t in goes_on else []) + sorted(kids.get(t, []), reverse=True)
         place.update({(c, t): k for k, t in enumerate(order)})
     return [(c, t, r, _own(x), reply.get((c, t)), place.get((c, t)), len(quotes[c, t, r, x]), sum(o is not None for _, o in quotes[c, t, r, x]), max((n for n, _ in quotes[c, t, r, x]), default=0)) for c, t, r, x in rows]
+
+
+def battery(run, alphabet, letters):
+    """-log10 of the combined p-values of "drawn evenly from the alphabet", character by character."""
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    chi2 = lambda x, df: tail(((x / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    kind = lambda c: "d" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "o"
+    sound = lambda c: ("v" if c.lower() in "aeiouy" else "c") if c.isalpha() else "o"
+    n, k = len(run), len(alphabet)
+    members = {t: [c for c in alphabet if kind(c) == t] for t in "ludo"}
+    members = {t: sorted(v, key=lambda c: letters.index(c.lower())) if t in "lu" else v for t, v in members.items() if v}
+    tests, between, within, free = [], 0, 0, 0
+    for t, own in members.items():
+        got = [c for c in run if kind(c) == t]
+        between += (len(got) - n * len(own) / k) ** 2 / (n * len(own) / k)
+        pools = 4 if len(got) >= 20 else 2 if len(got) >= 10 else 0
+        if pools and t != "o":
+            for p in range(pools):
+                inside = [c for i, c in enumerate(own) if i * pools // len(own) == p]
+                wanted = len(got) * len(inside) / len(own)
+                within += (sum(c in inside for c in got) - wanted) ** 2 / wanted
+            free += pools - 1
+    tests.append(chi2(between, len(members) - 1) if len(members) > 1 else 1)
+    tests.append(chi2(within, free) if free else 1)
+    for f in (kind, sound):
+        shares = [sum(f(c) == t for c in alphabet) / k for t in {f(c) for c in alphabet}]
+        a, b = sum(p**2 for p in shares), sum(p**3 for p in shares)
+        if len(shares) > 1:
+            same = sum(f(x) == f(y) for x, y in zip(run, run[1:]))  # noqa: B905
+            tests.append(2 * tail(abs(same - (n - 1) * a) / math.sqrt((n - 1) * a * (1 - a) + 2 * (n - 2) * (b - a**2))))
+    at = [alphabet.index(c) - (k - 1) / 2 for c in run]
+    tests.append(2 * tail(abs(sum(x * y for x, y in zip(at, at[1:]))) * 12 / (k * k - 1) / math.sqrt(n - 1)))  # noqa: B905
+    return -math.log10(max(1e-300, chi2(-2 * sum(math.log(max(t, 1e-300)) for t in tests), 2 * len(tests))))
+
+
+def benjamini_hochberg(p, weights, fdr):
+    """Which hypotheses the weighted step-up procedure rejects."""
+    q = sorted((x / w, i) for i, (x, w) in enumerate(zip(p, weights, strict=True)))
+    last = max((k for k, (x, _) in enumerate(q, 1) if len(p) * x <= fdr * k), default=0)
+    return {i for _, i in q[:last]}
