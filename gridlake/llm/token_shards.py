@@ -22,9 +22,11 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -35,16 +37,37 @@ from .runtime import new_folder, slices, written
 
 MARK = b"IDSHARD1"
 END_ID = 1
-CACHED_WORDS, CACHED_LETTERS = 600_000, 800_000
+#: Stands for null among the bounds of shards.
+NO_ID = -(1 << 63)
+CACHED_LETTERS = 800_000
 GAMMA = 2.0
-PUNCTUATION = ".,;:!?#$%&*|<>()"
+#: Letters of Latin-1 alone, which every version of Unicode calls letters, and punctuation after them.
+PLAIN = r"^(?P<letters>[A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+)(?P<rest>[.,;:!?#$%&*|<>()]*)$"
+#: Fixed value: the pattern by which the known tokenizer cuts text.
+SPLITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def drops_white_space(path: str) -> bool:
+    """True for a tokenizer file of which this is known: lower case, no piece across white space or from letters to punctuation."""
+    with open(path, encoding="utf-8") as lines:
+        told = json.load(lines)
+    steps = [(x["type"], x.get("pattern"), x.get("content")) for x in (told.get("normalizer") or {}).get("normalizers", [])]
+    cuts = [(x["type"], x.get("pattern"), x.get("behavior"), x.get("invert"), x.get("add_prefix_space")) for x in (told.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    model = told["model"]
+    return (
+        steps == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
+        and cuts == [("Split", {"Regex": SPLITS}, "Removed", True, None), ("ByteLevel", None, None, None, False)]
+        and (model["type"], model.get("end_of_word_suffix"), model.get("dropout"), model.get("unk_token"), told.get("truncation"), told.get("padding")) == ("BPE", "</w>", None, None, None, None)
+        and all(not any(x[k] for k in ("single_word", "lstrip", "rstrip", "normalized")) and not any(c.isspace() for c in x["content"]) for x in told.get("added_tokens", []))
+    )
 
 
 class Coder:
-    """Ids of texts by a tokenizer that drops white space and never joins letters to punctuation.
+    """Ids of texts. Of a tokenizer that drops white space, distinct words alone are encoded; of any other one, whole texts.
 
-    Each distinct word is encoded once while it is in the cache. A word of Latin letters with punctuation after it is
-    its letters, in lower case, and its punctuation; so words that differ in these alone share their letters' ids.
+    Words are told apart by Arrow's dictionary encoding. A word of Latin letters with punctuation after it is its
+    letters, in lower case, and its punctuation; so words that differ in these alone share their letters' ids. Ids of
+    letters stay in a cache.
     """
 
     def __init__(self, path: str):
@@ -52,15 +75,18 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        vocabulary = self.model.get_vocab()
+        vocabulary = self.model.get_vocab(with_added_tokens=True)
         self.type = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
+        self.by_word = drops_white_space(path)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {"": b""}
         self.letters: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        # Millions of short-lived tuples and no cycles: the cycle collector would only walk them.
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        if not self.by_word:
+            return [np.array(x.ids, self.type).tobytes() for x in self.model.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        # Many short-lived strings and no cycles: the cycle collector would only walk them.
         collecting = gc.isenabled()
         gc.disable()
         try:
@@ -69,27 +95,32 @@ class Coder:
             if collecting:
                 gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+    def _encode(self, texts: pa.Array) -> list[bytes]:
+        cut = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, "\n", " "), "\t", " "), " ")
+        words = pc.dictionary_encode(cut.flatten())
         if len(self.letters) > CACHED_LETTERS:
             self.letters = {}
-        distinct: set[str] = set()
-        for words in cut:
-            distinct.update(words)
-        known = self.words
-        new = [(w, *parts(w)) for w in distinct.difference(known)]
+        distinct = words.dictionary
+        parts = pc.extract_regex(distinct, PLAIN)
+        plain = pc.is_valid(parts)
+        letters = pc.dictionary_encode(pc.if_else(plain, pc.utf8_lower(pc.struct_field(parts, "letters")), ""))
+        rest = pc.dictionary_encode(pc.if_else(plain, pc.struct_field(parts, "rest"), distinct))
+        heads, tails = letters.dictionary.to_pylist(), rest.dictionary.to_pylist()
         held = self.letters
-        plain = list({letters for _, letters, _ in new}.difference(held, ("",)))
-        for start in range(0, len(plain), 512):
-            self._learn_plain(plain[start : start + 512])
-        self._learn(list({rest for _, _, rest in new}.difference(held, ("",))))
-        for w, letters, rest in new:
-            known[w] = held[letters] + held[rest] if letters and rest else held[letters or rest]
-        get = known.__getitem__
-        out = [b"".join(map(get, words)) for words in cut]
-        if len(known) > CACHED_WORDS:
-            self.words = {"": b""} | {w: known[w] for w in distinct}
-        return out
+        held[""] = b""
+        new = [x for x in heads if x not in held]
+        for start in range(0, len(new), 512):
+            self._learn_plain(new[start : start + 512])
+        self._learn([x for x in tails if x not in held])
+        pool = [held[x] for x in heads] + [held[x] for x in tails]
+        # Ids of all words in their order: of each the piece of its letters and that of the rest.
+        at = words.indices.to_numpy()
+        pieces = np.column_stack([letters.indices.to_numpy()[at], rest.indices.to_numpy()[at] + len(heads)]).ravel()
+        sizes = np.fromiter(map(len, pool), np.int64, len(pool)) // self.type.itemsize
+        ids = np.frombuffer(b"".join(pool), self.type)[spread(np.cumsum(sizes) - sizes, sizes, pieces)]
+        ends = np.append(0, np.cumsum(sizes[pieces].reshape(-1, 2).sum(axis=1)))[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        data, wide = memoryview(ids.tobytes()), self.type.itemsize
+        return [bytes(data[a * wide : b * wide]) for a, b in zip(ends, ends[1:])]  # noqa: B905  the last end has no next
 
     def _learn_plain(self, words: list[str]) -> None:
         """Words of letters alone: one piece each, whose last token, and no other, closes a word."""
@@ -110,15 +141,10 @@ class Coder:
                 self.letters[w] = ids[edges[i] : edges[i + 1]].tobytes()
 
 
-def is_plain(word: str) -> bool:
-    """Letters of Latin-1 alone, which every version of Unicode calls letters."""
-    return word.isalpha() and (word.isascii() or max(word) <= "\u00ff")
-
-
-def parts(word: str) -> tuple[str, str]:
-    """Letters in lower case and the punctuation after them; all in the second part if a word isn't like that."""
-    letters = word.rstrip(PUNCTUATION)
-    return (letters.lower(), word[len(letters) :]) if letters and is_plain(letters) else ("", word)
+def spread(begin: np.ndarray, size: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The places of all members of the chosen ranges, one range after the other."""
+    many = size[chosen]
+    return np.repeat(begin[chosen] - (np.cumsum(many) - many), many) + np.arange(many.sum())
 
 
 @lru_cache(maxsize=2)
@@ -254,10 +280,16 @@ class ShardReader:
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
-    """Write the shards of all documents; a row (shard, file, n_docs, n_tokens, start) for each file."""
+    """Write the shards of all documents; a row (shard, file, n_docs, n_tokens, low, high, start) for each file.
+
+    ``low`` and ``high`` are the first and the last id (``NO_ID`` for null). Rows of one id are spread over shards by
+    their texts, so that an id, or null, may have any share of all rows.
+    """
     folder = new_folder(docs.sparkSession, "shards")
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    placed = keyed.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    keyed = keyed.withColumn("part", F.xxhash64("text"))
+    placed = keyed.repartitionByRange("doc_id", "part").sortWithinPartitions("doc_id", "part", "text").drop("part")
+    names = ["shard", "file", "n_docs", "n_tokens", "low", "high"]
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(path)
@@ -266,59 +298,79 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         shard, file, out = TaskContext.get().partitionId(), f"{folder}/{uuid.uuid4().hex}.ids", None
         for part in slices(batches, "text", 8 << 20):
             out = out or ShardWriter(file, kind)
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), code.encode(part.column("text").to_pylist()), strict=True):
+            for doc_id, ids in zip(part.column("doc_id").to_pylist(), code.encode(part.column("text")), strict=True):
                 out.add(doc_id, (ids if kind == code.type else np.frombuffer(ids, code.type).astype(kind).tobytes()) + end)
         if out:
             n = out.close()
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [file], "n_docs": [len(out.ids)], "n_tokens": [n]}, pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
+            ends = [NO_ID if x is None else x for x in (out.ids[0], out.ids[-1])]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.string() if isinstance(x, str) else pa.int64()) for x in (shard, file, len(out.ids), n, *ends)], names)
 
-    shards = written(placed.mapInArrow(put, "shard int, file string, n_docs long, n_tokens long"), "shard-list")
+    shards = written(placed.mapInArrow(put, "shard long, file string, n_docs long, n_tokens long, low long, high long"), "shard-list")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return shards.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")))
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
-    """Per document of the files: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32``; each id is looked up in the index."""
+    """Per document of the files: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32``; each key of a file is looked up in its index."""
     kinds = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "n_tokens", "ids_crc32")])
 
     def got(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 shard = ShardReader(row["file"])
-                first, many = shard.places(shard.ids)
+                keys = list(dict.fromkeys(shard.ids))
+                first, many = shard.places(keys)
+                owner, found = np.repeat(np.arange(len(keys)), many), spread(first, many, np.arange(len(keys)))
+                if not np.array_equal(found, np.arange(len(shard.ids))):
+                    raise ValueError(f"the index of {row['file']} doesn't have its documents")
                 done = 0
-                while done < len(shard.ids):
+                while done < len(found):
                     stop = max(done + 1, int(np.searchsorted(shard.offsets, shard.offsets[done] + (4 << 20), "right")) - 1)
                     tokens, base = shard.tokens(done, stop - done), int(shard.offsets[done])
                     out = []
                     for i in range(done, stop):
-                        if not first[i] <= i < first[i] + many[i]:
-                            raise ValueError(f"the index of {row['file']} has no document {shard.ids[i]}")
-                        a, b = int(shard.offsets[i]), int(shard.offsets[i + 1])
-                        out.append((shard.ids[i], row["start"] + a, b - a, zlib.crc32(tokens[a - base : b - base].astype("<u4").tobytes())))
+                        a, b = int(shard.offsets[found[i]]), int(shard.offsets[found[i] + 1])
+                        out.append((keys[owner[i]], row["start"] + a, b - a, zlib.crc32(tokens[a - base : b - base].astype("<u4").tobytes())))
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=kinds)
                     done = stop
 
     n = shards.count()
-    spread = shards.select("file", "start").repartition(max(1, n), "file")
-    return spread.mapInArrow(got, T.StructType([T.StructField(c, T.LongType()) for c in kinds.names]))
+    spaced = shards.select("file", "start").repartition(max(1, n), "file")
+    return spaced.mapInArrow(got, T.StructType([T.StructField(c, T.LongType()) for c in kinds.names]))
 
 
 def lookup(shards: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The ids of the documents that have the keys, as binary by file: a task opens its shard and asks the index.
+    """(doc_id, ids as binary) of the documents that have the keys, any number of them; a null key finds rows without an id.
 
-    The keys are a query set of a bounded size: every shard gets all of them.
+    Shards are ranges of ids in order, so a key goes to the shards whose range holds it, found by binary search in their
+    bounds (a row of a few numbers for each file). Keys are dealt out by file, and a task opens each of its files once.
     """
-    wanted = shards.select("file").crossJoin(F.broadcast(keys.agg(F.collect_set(F.col(id_col).cast("long")).alias("keys"))))
+    listed = shards.orderBy("shard").select("file", "low", "high").collect()
+    low, high = (np.array([r[c] for r in listed], np.int64) for c in ("low", "high"))
+    files = [r["file"] for r in listed]
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                shard = ShardReader(row["file"])
-                out = [(k, shard.tokens(d).astype("<u4").tobytes()) for k, f, n in zip(row["keys"], *[x.tolist() for x in shard.places(row["keys"])], strict=True) for d in range(f, f + n)]
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["doc_id", "ids"])
+            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            begin, stop = np.searchsorted(high, ids, "left"), np.searchsorted(low, ids, "right")
+            many = np.maximum(stop - begin, 0)
+            at = np.repeat(np.arange(len(ids)), many)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), pa.array([files[i] for i in spread(begin, many, np.arange(len(ids)))], pa.string())], ["doc_id", "file"])
 
-    return wanted.mapInArrow(found, "doc_id long, ids binary")
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, shard = None, None
+        for batch in batches:
+            rows = batch.to_pylist()
+            for name, own in groupby(rows, lambda r: r["file"]):
+                if name != file:
+                    file, shard = name, ShardReader(name)
+                keys = [r["doc_id"] for r in own]
+                for key, first, many in zip(keys, *[x.tolist() for x in shard.places(keys)], strict=True):
+                    for d in range(first, first + many):
+                        yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([shard.tokens(d).astype("<u4").tobytes()], pa.binary())], ["doc_id", "ids"])
+
+    wanted = keys.select(F.col(id_col).cast("long").alias("doc_id")).distinct().mapInArrow(placed, "doc_id long, file string")
+    return wanted.repartition("file").sortWithinPartitions("file", "doc_id").mapInArrow(found, "doc_id long, ids binary")
 
 
 def shard_report(docs: DataFrame, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators against brute force, on the smallest tables and on a table of awkward rows."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -461,7 +462,6 @@ def test_token_shards(docs, texts, odd, empty, spark):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(WORDS)
-    model.encode_special_tokens = True
     shards = token_shards.write_shards(docs, WORDS)
     found, start = by_id(token_shards.read_shards(shards)), 0
     for i in sorted(texts):
@@ -475,6 +475,36 @@ def test_token_shards(docs, texts, odd, empty, spark):
     assert token_shards.shard_report(empty, WORDS).count() == 0
 
 
+def test_lookup_of_ids_that_several_shards_hold(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} of some words") for i in range(900)] + [(5, None)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = token_shards.write_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), WORDS)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert shards.where("low <= 7 AND high >= 7").count() > 1
+    assert shards.agg({"n_docs": "max"}).collect()[0][0] < 500
+    code = token_shards.Coder(WORDS)
+    wanted = [(7,), (5,), (None,), (2,), (10**15,), (7,)]
+    found = Counter((r["doc_id"], bytes(r["ids"])) for r in token_shards.lookup(shards, spark.createDataFrame(wanted, "k long"), "k").collect())
+    ids = lambda t: np.append(np.frombuffer(code.encode([t])[0], code.type), 1).astype("<u4").tobytes()
+    assert found == Counter((i, ids(t or "")) for i, t in rows if (i,) in wanted)
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    code, model = token_shards.Coder(path), Tokenizer.from_file(path)
+    texts = ["Two words  and\nlines", "", "É <|endoftext|> 漢"]
+    assert not code.by_word and token_shards.drops_white_space(WORDS)
+    assert [np.frombuffer(x, code.type).tolist() for x in code.encode(texts)] == [model.encode(t, add_special_tokens=False).ids for t in texts]
+    told = json.load(open(WORDS))
+    told["normalizer"]["normalizers"].pop()
+    (tmp_path / "kept-case.json").write_text(json.dumps(told))
+    assert not token_shards.drops_white_space(str(tmp_path / "kept-case.json"))
+
+
 def test_words_are_encoded_as_whole_texts_are():
     code, rng = token_shards.Coder(WORDS), random.Random(2)
     pieces = ["a", "a,", "B!?", "É.", "é", " ", "\n", "'s", "ß", "İ", "Σ", "1", "!", "́", "\t", "\x1c", " ", "漢", "🎉", "<|endoftext|>", "\x85"]
