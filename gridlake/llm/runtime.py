@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -15,12 +17,15 @@ _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a new local one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        app = spark.sparkContext.applicationId
-        found = _own_dirs.setdefault(app, _own_dirs.get(app) or "file://" + tempfile.mkdtemp(prefix="spark-shared-"))
-    return found.rstrip("/")
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where that is unset, a local session (tests) gets a new folder and a cluster an error."""
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+    return _own_dirs[app]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -36,6 +41,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def opened(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, which may be a URI in any store that pyarrow knows."""
+    return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri.removeprefix("file:")))
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, with underscores after those that a column of ``df`` has, in whatever case."""
     taken = {c.lower() for c in df.columns}

@@ -5,9 +5,10 @@ a suffix array. Every suffix of every benchmark item that starts a window is the
 equal ranges give the places of all verbatim matches, and matches that go on along an item give the longest ones.
 A shard's array is sparse: a suffix that cannot begin a window (a word in reach that no item has) is left out.
 
-Documents stay where they were read: nothing is shuffled. The benchmark goes to the executors in blocks of at most
-``BLOCK_BYTES`` of text, one pass for each, and the passes add up, so a benchmark of any size works. Words are
-compared as 64-bit hashes.
+Documents stay where they were read, in one scan, and nothing of them is shuffled. The benchmark's suffixes are sorted in
+blocks of about ``BLOCK_BYTES`` of text by a job of their own and written to the shared folder; a task holds a shard and
+walks through the blocks, one in memory at a time, and results add up. So a benchmark of any size works, and nothing of
+it passes through the driver. Words are compared as 64-bit hashes.
 
 A window is ``WIDTH`` consecutive item words; an item of fewer words, but not none, is one window. Null texts have no
 words. Repeated rows each get their own result; several items with one id count as one item. Other columns pass.
@@ -15,8 +16,12 @@ words. Repeated rows each get their own result; several items with one id count
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import slices, written
+from .runtime import new_folder, opened, slices, written
 
 WIDTH = 10
 BLOCK_BYTES = 4 << 20
@@ -121,10 +126,10 @@ class Matches:
 
 
 class Shard:
-    """The sparse suffix array of some rows of text."""
+    """The sparse suffix array of some rows of text, given by :func:`word_hashes`."""
 
-    def __init__(self, column: pa.Array, test: TestSuffixes):
-        hashed, self.counts = word_hashes(column)
+    def __init__(self, hashed: np.ndarray, counts: np.ndarray, test: TestSuffixes):
+        self.counts = counts
         n, width = len(hashed), test.width
         self.row = np.repeat(np.arange(len(self.counts)), self.counts)
         found = np.minimum(np.searchsorted(test.vocabulary, hashed), max(len(test.vocabulary) - 1, 0))
@@ -216,54 +221,61 @@ def united(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, width: int, block_bytes: int) -> Iterator[TestSuffixes]:
-    """The benchmark in blocks of about ``block_bytes``; the driver holds one at a time."""
+def written_blocks(benchmark: DataFrame, id_col: str, text_col: str, width: int, block_bytes: int) -> list[str]:
+    """The files of the benchmark's sorted suffixes, one for each block of about ``block_bytes`` of distinct items."""
     items = benchmark.select(F.col(id_col).cast("string").alias("name"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    items = items.where("text <> ''").groupBy("name", "text").agg(F.lit(1).alias("one")).drop("one")
     total = items.agg(F.sum(F.octet_length("text").cast("long"))).collect()[0][0] or 0
-    n = max(1, -(-total // block_bytes))
-    for k in range(n):
-        block = items if n == 1 else items.where(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == k)
-        rows = block.orderBy("name", "text").collect()
-        yield TestSuffixes.of([r["name"] or "" for r in rows], [r["text"] for r in rows], width)
+    n, folder = max(1, -(-total // block_bytes)), new_folder(benchmark.sparkSession, "benchmark")
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(n))).repartition(n, "block").sortWithinPartitions("block", "name", "text")
 
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in batch.to_pylist())
+        for _, own in groupby(rows, lambda r: r["block"]):
+            held = list(own)
+            file = f"{folder}/{uuid.uuid4().hex}.block"
+            store, path = opened(file)
+            store.create_dir(path.rpartition("/")[0], recursive=True)
+            with store.open_output_stream(path) as out:
+                out.write(pickle.dumps(TestSuffixes.of([r["name"] or "" for r in held], [r["text"] for r in held], width)))
+            yield pa.RecordBatch.from_pydict({"file": [file]})
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row: ``doc_id``, ``n_words``, ``spans`` (stretches of hit words) and ``items`` (ids, sorted as strings)."""
-    spark = docs.sparkSession
-    out = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<struct<start:int,stop:int>>").alias("spans"),
-        F.array().cast("array<string>").alias("items"),
-    )
-    for k, test in enumerate(blocks(benchmark, "item_id", "text", width, block_bytes)):
-        if k:
-            out = written(out, "contamination")
-        out = out.mapInArrow(_searched(spark.sparkContext.broadcast(test)), out.schema)
-    return out.drop("text")
+    return sorted(r["file"] for r in written(dealt.mapInArrow(put, "file string"), "benchmark-blocks").collect())
 
 
-def _searched(sent):
+@lru_cache(maxsize=1)
+def block_of(file: str) -> TestSuffixes:
+    """A block as written; the last one stays in memory, so a benchmark of one block is read once by a worker."""
+    store, path = opened(file)
+    with store.open_input_stream(path) as stream:
+        return pickle.loads(stream.read())
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per row: ``doc_id``, ``n_words``, ``spans`` (stretches of hit words) and ``items`` (ids, sorted as strings)."""
+    keys = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    files = written_blocks(benchmark, "item_id", "text", width, block_bytes)
+    place = T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "stop")])
+    schema = T.StructType([keys.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(place)), T.StructField("items", T.ArrayType(T.StringType()))])
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = sent.value
         for part in slices(batches, "text"):
-            found = Shard(part.column("text"), test).search(test)
-            spans, items = row_spans(found), row_items(found, test)
-            for i, old in enumerate(part.column("spans").to_pylist()):
-                if old:
-                    spans[i] = united([(x["start"], x["stop"]) for x in old], spans[i])
-            for i, old in enumerate(part.column("items").to_pylist()):
-                if old:
-                    items[i] = sorted({*old, *items[i]})
+            hashed, counts = word_hashes(part.column("text"))
+            spans: list[list[tuple[int, int]]] = [[] for _ in counts]
+            items: list[list[str]] = [[] for _ in counts]
+            for file in files:
+                test = block_of(file)
+                found = Shard(hashed, counts, test).search(test)
+                if len(found.at):
+                    spans = [united(a, b) for a, b in zip(spans, row_spans(found), strict=True)]
+                    items = [sorted({*a, *b}) if a and b else a or b for a, b in zip(items, row_items(found, test), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text"), pa.array(found.counts, pa.int64()), pa.array([[{"start": a, "stop": b} for a, b in x] for x in spans], spans_type), pa.array(items, pa.list_(pa.string()))],
-                part.schema.names,
+                [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array([[{"start": a, "stop": b} for a, b in x] for x in spans], spans_type), pa.array(items, pa.list_(pa.string()))],
+                schema.names,
             )
 
-    return searched
+    return keys.mapInArrow(searched, schema)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -281,42 +293,36 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, width: int = WID
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row for each longest verbatim match: ``doc_id``, ``item_id`` (string), where it starts in words, and its words."""
-    spark = docs.sparkSession
     keys = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    files = written_blocks(benchmark, "item_id", "text", width, block_bytes)
     schema = T.StructType([keys.schema["doc_id"], T.StructField("item_id", T.StringType())] + [T.StructField(c, T.IntegerType()) for c in ("item_word", "doc_word", "n_words")])
-    parts = []
-    for test in blocks(benchmark, "item_id", "text", width, block_bytes):
-        sent = spark.sparkContext.broadcast(test)
-
-        def located(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for part in slices(batches, "text"):
-                ids = part.column("doc_id").to_pylist()
-                rows = [(ids[r], *x) for r, found in enumerate(row_longest(Shard(part.column("text"), sent.value).search(sent.value), sent.value)) for x in found]
+
+    def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            hashed, counts = word_hashes(part.column("text"))
+            ids = part.column("doc_id").to_pylist()
+            for file in files:
+                test = block_of(file)
+                rows = [(ids[r], *x) for r, found in enumerate(row_longest(Shard(hashed, counts, test).search(test), test)) for x in found]
                 columns = list(zip(*rows, strict=True)) or [[]] * 5
                 kinds = [part.schema.field("doc_id").type, pa.string(), pa.int32(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], schema.names)
 
-        parts.append(keys.mapInArrow(located, schema))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    return keys.mapInArrow(located, schema)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents in which no window occurs, with all their columns."""
-    spark = docs.sparkSession
-    out = docs
-    for k, test in enumerate(blocks(benchmark, "item_id", "text", width, block_bytes)):
-        sent = spark.sparkContext.broadcast(test)
-
-        def cleaned(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for part in slices(batches, text_col):
-                texts = part.column(text_col).fill_null("")
-                found = Shard(texts, sent.value).search(sent.value)
-                dirty = np.zeros(part.num_rows, bool)
+    files = written_blocks(benchmark, "item_id", "text", width, block_bytes)
+
+    def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            hashed, counts = word_hashes(part.column(text_col).fill_null(""))
+            dirty = np.zeros(part.num_rows, bool)
+            for file in files:
+                test = block_of(file)
+                found = Shard(hashed, counts, test).search(test)
                 dirty[found.row[found.at]] = True
-                yield part.filter(pa.array(~dirty))
+            yield part.filter(pa.array(~dirty))
 
-        out = (written(out, "decontaminated") if k else out).mapInArrow(cleaned, docs.schema)
-    return out
+    return docs.mapInArrow(cleaned, docs.schema)

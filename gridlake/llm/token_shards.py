@@ -27,13 +27,12 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import new_folder, slices, written
+from .runtime import new_folder, opened, slices, written
 
 MARK = b"IDSHARD1"
 END_ID = 1
@@ -200,11 +199,6 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys, 1001) >> np.uint64(32)).astype("<u4")
 
 
-def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path, which may be a URI in any store that pyarrow knows."""
-    return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri.removeprefix("file:")))
-
-
 class ShardWriter:
     def __init__(self, uri: str, kind: np.dtype):
         store, path = opened(uri)
