@@ -455,6 +455,28 @@ def test_cascade_order_changes_no_verdict(docs):
     assert kept[0] == kept[1] == {i for i, r in by_id(quality_rules.quality_report(docs)).items() if r["kept"]}
 
 
+def test_order_follows_known_costs(spark, docs):
+    """Rules whose work and rejection are known: one that does far more for no more, and one that rejects far more for the same."""
+    Rule = quality_rules.Rule
+    repeated = lambda t, n: F.aggregate(F.sequence(F.lit(1), F.lit(n)), F.lit(0).cast("long"), lambda acc, i: acc + F.length(F.sha2(F.concat(t, i.cast("string")), 256)))
+    dear = Rule("dear", lambda t: repeated(t, 60) < 0)
+    cheap_none = Rule("cheap_none", lambda t: F.char_length(t) < 0)
+    cheap_half = Rule("cheap_half", lambda t: F.crc32(t.cast("binary")) % 2 == 0)
+    for rules in ([dear, cheap_none, cheap_half], [cheap_half, dear, cheap_none]):
+        order = [r.name for r in quality_rules.cascade_order(docs, rules)]
+        assert order[0] == "cheap_half" and order[-1] == "dear"
+    told = lambda sample, rules: [quality_rules.Rating(r, share, cost) for r, (share, cost) in zip(rules, [(0.1, 1.0), (0.5, 10.0), (0.4, 2.0)], strict=True)]
+    assert [r.name for r in quality_rules.cascade_order(docs, [dear, cheap_none, cheap_half], rated=told)] == ["cheap_half", "dear", "cheap_none"]
+
+
+def test_sample_is_bounded_and_from_all_of_the_table(spark):
+    table = spark.createDataFrame([(i, f"text {i} " * (9000 if i == 5 else 1)) for i in range(500)] + [(0, None)], "doc_id long, text string")
+    rows = [r["text"] for r in quality_rules.sampled(table, sample_rows=100, max_chars=50).collect()]
+    assert len(rows) == 100 and max(map(len, rows)) <= 50
+    assert sum(int(t.split()[1]) >= 250 for t in rows if t) > 30
+    assert quality_rules.sampled(table.repartition(7), sample_rows=100, max_chars=50).collect() == [(t,) for t in rows]
+
+
 # 8. Token shards
 
 
