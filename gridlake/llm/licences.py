@@ -6,11 +6,13 @@ of known licences in the same form. What is looked up entire is the whole text,
 block between empty lines, each run of as many blocks as a known licence has paragraphs, and each line, so a licence
 counts as the document itself, as pasted blocks or as a one-line notice, but never by a part.
 
-Units whose canonical length no known licence has are dropped before they are hashed. The known table is broadcast if
-it has at most ``MAX_BROADCAST`` rows, else joined by a shuffle. Counts are grouped per document after the join.
+Units whose canonical length no known licence has are dropped before they are built and hashed; where the known
+licences have more than ``MAX_SIZES`` lengths, the join alone decides. The known table is broadcast if it has at most
+``MAX_BROADCAST`` rows, else joined by a shuffle. Matches are grouped per document and joined to all rows.
 
-Null and empty texts have no units. Rows alike in id and text are one document, whose units count once for each.
-Other columns are ignored.
+A few licences and notices come with the code; :func:`licence_folder` reads whole published files, of any length.
+
+Null and empty texts have no units. Each of several rows alike gets the same result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,19 +20,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BROADCAST = 100_000
+from .runtime import written
+
+MAX_BROADCAST, MAX_SIZES = 100_000, 20_000
 
 #: Copyright lines, but not lines of a licence that a wrap lets begin with "copyright notice" or a list with "(c)".
 COPYRIGHT_LINES = (
-    r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright(?![ \t]+(?:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or|to|in|on|is|of|interests?)\b)"
+    r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright(?![ \t]*(?:[,;.)-]|$)|[ \t]+(?:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or|to|in|on|is|of|interests?)\b)"
     r"|\(c\)[ \t]*(?:copyright|by\b|©|\d{4})|©|all rights reserved)[^\n]*$"
 )
 #: A first line that names a licence and says nothing else.
 TITLE = r"^(?:the )?(?:[a-z0-9]+ ){0,4}license(?: [a-z0-9]+){0,4}$"
 #: Spellings that mean the same, and the one that stands for them.
 SPELLINGS = [
-    (r"\b(sub)?-?licence(s|d)?\b", "$1license$2"),
-    (r"\bsub-license", "sublicense"),
+    (r"licenc", "licens"),
+    (r"\bsub-licens", "sublicens"),
     (r"\borganisation", "organization"),
     (r"\bauthoris", "authoriz"),
     (r"\bfavour", "favor"),
@@ -107,6 +111,25 @@ KNOWN = [
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain.\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this "
+        "software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\nIn jurisdictions that "
+        "recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make "
+        "this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of "
+        "relinquishment in perpetuity of all present and future rights to this software under copyright law.\n"
+        + _WARRANTY.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS")
+        + "\nFor more information, please refer to <https://unlicense.org>",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the "
+        "use of this software.\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions:\n1. The origin of this software must not be misrepresented; you must not claim that you "
+        "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not "
+        "required.\n2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.\n3. This notice may "
+        "not be removed or altered from any source distribution.",
+    ),
 ]
 
 
@@ -134,48 +157,53 @@ def known_licences(spark: SparkSession, known: list[tuple[str, str]] | DataFrame
     )
 
 
-def licence_units(docs: DataFrame, sizes: list[int], runs: tuple[int, ...] = ()) -> DataFrame:
-    """Rows (doc_id, doc_key, unit, text) of canonical units of the given lengths; a document without any has one with nulls."""
+def licence_folder(spark: SparkSession, path: str) -> DataFrame:
+    """A known table (licence, text) of a folder of published licence files; a file's name is its licence."""
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -1), r"(?i)\.(?:txt|md)$", "").alias("licence"), F.col("value").alias("text"))
+
+
+def licence_units(docs: DataFrame, sizes: list[int] | None, runs: tuple[int, ...] = ()) -> DataFrame:
+    """Rows (doc_id, doc_key, place, unit, text) of canonical units of the given lengths (of any for None)."""
     lines = docs.select("doc_id", "doc_key", canonical(F.col("text")).alias("text"))
-    unit = lambda kind: lambda x: F.struct(F.lit(kind).alias("unit"), joined(x).alias("text"))
+    fits = lambda size: F.lit(True) if sizes is None else size.isin(sizes)
+    unit = lambda kind: lambda x: F.struct(F.lit(kind).alias("unit"), x.alias("text"))
     blocks, single = F.split("text", "\n\n+"), F.split("text", "\n")
     none = F.array().cast("array<struct<unit:string,text:string>>")
+    units = lambda kind, texts: F.transform(F.filter(F.transform(texts, joined), lambda x: fits(F.char_length(x))), unit(kind))
     titled = F.element_at(single, 1).rlike(TITLE) & (F.size(single) > 1)
-    # A run that is the whole text, or all of it but its title, is looked up as the text.
+    # A run that is the whole text, or all of it but its title, is looked up as the text. Its length is known before it is built.
+    length = lambda i, n: F.aggregate(F.slice(blocks, i, n), F.lit(n - 1), lambda acc, x: acc + F.char_length(x))
+    whole = lambda i, n: titled & (F.element_at(blocks, 1) == F.element_at(single, 1)) & (i == 2) & (F.size(blocks) == n + 1)
     run = lambda n: F.when(
         F.size(blocks) > n,
-        F.transform(
-            F.filter(F.sequence(F.lit(1), F.size(blocks) - n + 1), lambda i: ~(titled & (F.element_at(blocks, 1) == F.element_at(single, 1)) & (i == 2) & (F.size(blocks) == n + 1))),
-            lambda i: unit("run")(F.array_join(F.slice(blocks, i, n), "\n")),
-        ),
+        F.transform(F.filter(F.sequence(F.lit(1), F.size(blocks) - n + 1), lambda i: fits(length(i, n)) & ~whole(i, n)), lambda i: unit("run")(joined(F.array_join(F.slice(blocks, i, n), "\n")))),
     ).otherwise(none)
     every = F.concat(
-        F.transform(F.array("text"), unit("text")),
-        F.when(titled, F.transform(F.array(F.regexp_replace("text", r"^[^\n]*\n+", "")), unit("text"))).otherwise(none),
+        units("text", F.array("text")),
+        F.when(titled, units("text", F.array(F.regexp_replace("text", r"^[^\n]*\n+", "")))).otherwise(none),
         *[run(n) for n in runs],
-        F.when(F.size(blocks) > 1, F.transform(blocks, unit("block"))).otherwise(F.array().cast("array<struct<unit:string,text:string>>")),
-        F.when(F.size(single) > 1, F.transform(single, unit("line"))).otherwise(F.array().cast("array<struct<unit:string,text:string>>")),
+        F.when(F.size(blocks) > 1, units("block", blocks)).otherwise(none),
+        F.when(F.size(single) > 1, units("line", single)).otherwise(none),
     )
-    fit = F.filter(every, lambda u: F.char_length(u["text"]).isin(sizes))
-    return lines.select("doc_id", "doc_key", F.explode_outer(fit).alias("u")).select("doc_id", "doc_key", F.col("u.unit").alias("unit"), F.col("u.text").alias("text"))
+    return lines.select("doc_id", "doc_key", F.posexplode(every).alias("place", "u")).select("doc_id", "doc_key", "place", "u.*")
 
 
 def licence_report(docs: DataFrame, known: list[tuple[str, str]] | DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: licence of the whole text (or null), all licences found, and how many units matched."""
-    table = known_licences(docs.sparkSession, known)
-    sizes = [r["size"] for r in table.select("size").distinct().limit(MAX_BROADCAST + 1).collect()]
+    """Per row: licence of the whole text (or null), all licences found, and how many units matched."""
+    table = written(known_licences(docs.sparkSession, known), "known-licences")
+    n_rows, n_sizes = table.agg(F.count("*"), F.count_distinct("size")).collect()[0]
+    sizes = [r["size"] for r in table.select("size").distinct().collect()] if n_sizes <= MAX_SIZES else None
     runs = tuple(sorted(r["n"] for r in table.select(F.explode("parts").alias("n")).distinct().where("n > 1").collect()))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    units = licence_units(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_key"), text.alias("text")), sizes, runs)
-    if table.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
-        table = F.broadcast(table)
-    found = units.withColumn("digest", F.md5("text")).join(table.select("digest", "licence"), "digest", "left")
-    return (
-        found.groupBy("doc_id", "doc_key")
-        .agg(
-            F.max(F.when(F.col("unit") == "text", F.col("licence"))).alias("whole_licence"),
-            F.array_join(F.sort_array(F.collect_set("licence")), ",").alias("licences"),
-            F.count("licence").alias("n_matches"),
-        )
-        .drop("doc_key")
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_key"), text.alias("text"))
+    side = table.select("digest", "licence")
+    matched = licence_units(keyed, sizes, runs).withColumn("digest", F.md5("text")).join(F.broadcast(side) if n_rows <= MAX_BROADCAST else side, "digest")
+    # Rows alike have equal units at equal places.
+    found = matched.select("doc_id", "doc_key", "place", "unit", "licence").distinct().groupBy(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key")).agg(
+        F.max(F.when(F.col("unit") == "text", F.col("licence"))).alias("whole_licence"),
+        F.array_join(F.sort_array(F.collect_set("licence")), ",").alias("licences"),
+        F.count("*").alias("n_matches"),
     )
+    every = keyed.select("doc_id", "doc_key").join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_key") == F.col("_key")), "left")
+    return every.select("doc_id", "whole_licence", F.coalesce("licences", F.lit("")).alias("licences"), F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"))

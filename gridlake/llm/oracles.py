@@ -63,8 +63,8 @@ def _canonical(text: str) -> str:
     """The canonical lines of a text, spelled out for this engine."""
     out = rf"regexp_replace(lower({text}), '(?m)^[^\p{{L}}\p{{N}}\n(©]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$', '', 'g')"
     swaps = [
-        (r"\b(sub)?-?licence(s|d)?\b", r"\1license\2"),
-        (r"\bsub-license", "sublicense"),
+        ("licenc", "licens"),
+        (r"\bsub-licens", "sublicens"),
         (r"\borganisation", "organization"),
         (r"\bauthoris", "authoriz"),
         (r"\bfavour", "favor"),
@@ -85,19 +85,17 @@ _quoted = ", ".join("('{}', '{}')".format(a, b.replace("'", "''").replace("\n",
 OP2 = rf"""
 WITH known_texts(licence, text) AS (VALUES {_quoted}),
 known AS (SELECT min(licence) AS licence, k FROM (SELECT licence, regexp_replace({_canonical("text")}, '\n+', ' ', 'g') AS k FROM known_texts) WHERE k <> '' GROUP BY k),
-docs AS (SELECT doc_id, coalesce(text, '') AS source, {_canonical("coalesce(text, '')")} AS text FROM documents),
-grouped AS (SELECT doc_id, md5(source) AS m, text, count(*) AS copies FROM docs GROUP BY ALL),
-cut AS (SELECT *, regexp_split_to_array(text, '\n\n+') AS blocks, string_split(text, chr(10)) AS lines FROM grouped),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_canonical("coalesce(text, '')")} AS text FROM documents),
+cut AS (SELECT *, regexp_split_to_array(text, '\n\n+') AS blocks, string_split(text, chr(10)) AS lines FROM docs),
 units AS (
-  SELECT doc_id, m, copies, 'text' AS unit, regexp_replace(text, '\n+', ' ', 'g') AS k FROM cut
-  UNION ALL SELECT doc_id, m, copies, 'block', regexp_replace(unnest(blocks), '\n+', ' ', 'g') FROM cut WHERE len(blocks) > 1
-  UNION ALL SELECT doc_id, m, copies, 'line', unnest(lines) FROM cut WHERE len(lines) > 1),
-found AS (SELECT doc_id, m, copies, unit, licence FROM units JOIN known USING (k)),
+  SELECT r, 'text' AS unit, regexp_replace(text, '\n+', ' ', 'g') AS k FROM cut
+  UNION ALL SELECT r, 'block', regexp_replace(unnest(blocks), '\n+', ' ', 'g') FROM cut WHERE len(blocks) > 1
+  UNION ALL SELECT r, 'line', unnest(lines) FROM cut WHERE len(lines) > 1),
 per AS (
-  SELECT doc_id, m, max(licence) FILTER (WHERE unit = 'text') AS whole_licence,
-         string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences, (count(*) * any_value(copies))::BIGINT AS n_matches FROM found GROUP BY ALL)
-SELECT g.doc_id, whole_licence, coalesce(licences, '') AS licences, coalesce(n_matches, 0)::BIGINT AS n_matches
-FROM grouped g LEFT JOIN per USING (doc_id, m)
+  SELECT r, max(licence) FILTER (WHERE unit = 'text') AS whole_licence,
+         string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences, count(*) AS n_matches FROM units JOIN known USING (k) GROUP BY r)
+SELECT doc_id, whole_licence, coalesce(licences, '') AS licences, coalesce(n_matches, 0)::BIGINT AS n_matches
+FROM docs LEFT JOIN per USING (r)
 """
 
 ORACLE_SQL = {"op2_licence_digests": OP2, "op7_quality_cascade": OP7, "op10_suffix_decontamination": OP10}

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import os
 import random
 import re
 import textwrap
@@ -105,7 +106,9 @@ def test_licences(spark, odd, empty):
     found = by_id(licences.licence_report(spark.createDataFrame(rows, "doc_id long, text string")))
     assert [(found[i]["whole_licence"], found[i]["licences"], found[i]["n_matches"]) for i in (1, 2, 3, 4)] == [("MIT", "MIT", 1), (None, "MIT", 1), (None, "", 0), (None, "Apache-2.0", 1)]
     assert by_id(licences.licence_report(odd))[8]["whole_licence"] == "MIT"
-    assert licences.licence_report(odd).count() == len(ODD) - 1  # rows alike are one document
+    assert licences.licence_report(odd).count() == len(ODD)
+    again = spark.createDataFrame([(1, mit), (1, mit), (None, mit), (None, None)], "doc_id long, text string")
+    assert multiset(map(tuple, licences.licence_report(again).collect())) == multiset([(1, "MIT", "MIT", 1)] * 2 + [(None, "MIT", "MIT", 1), (None, None, "", 0)])
     assert licences.licence_report(empty).count() == 0
     assert licences.licence_report(odd, spark.createDataFrame([], "licence string, text string")).where("n_matches > 0").count() == 0
 
@@ -116,13 +119,31 @@ def test_published_licence_files(spark):
     isc = full["ISC"].replace("the above copyright", "the above\ncopyright").replace("\n", "\n\n").replace("above\n\ncopyright", "above\ncopyright")
     rows = [(k, text) for k, text in files.items()] + [(f"pasted {k}", f"Intro.\n\n{text}\n\nOutro.") for k, text in files.items()] + [("wrapped", isc)]
     found = by_id(licences.licence_report(spark.createDataFrame(rows, "doc_id string, text string")))
-    assert set(files) == {"MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause"}
+    assert set(files) == {"MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Unlicense", "Zlib"}
     for k in files:
-        assert (found[k]["whole_licence"], found[k]["licences"], found[k]["n_matches"]) == (k, k, 1)
-        assert (found[f"pasted {k}"]["whole_licence"], found[f"pasted {k}"]["licences"], found[f"pasted {k}"]["n_matches"]) == (None, k, 1)
+        n = 3 if k == "Unlicense" else 1  # its first paragraph is a known notice too
+        assert (found[k]["whole_licence"], found[k]["licences"], found[k]["n_matches"]) == (k, k, n)
+        assert (found[f"pasted {k}"]["whole_licence"], found[f"pasted {k}"]["licences"], found[f"pasted {k}"]["n_matches"]) == (None, k, n)
     assert found["wrapped"]["whole_licence"] == "ISC"
 
 
+COMMON = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.isdir(COMMON), reason="no licence files on this machine")
+@pytest.mark.parametrize("max_sizes", [20_000, 0])
+def test_a_folder_of_whole_licences(spark, monkeypatch, max_sizes):
+    monkeypatch.setattr(licences, "MAX_SIZES", max_sizes)
+    names = ["Apache-2.0", "GPL-3", "MPL-2.0"]
+    texts = {n: open(f"{COMMON}/{n}", encoding="utf-8").read() for n in names}
+    rows = [(n, t) for n, t in texts.items()] + [(f"respelled {n}", re.sub(r"(?m)^[ \t]+|[ \t]+$", "", t).replace("License", "Licence").replace("https://", "http://").upper()) for n, t in texts.items()]
+    rows += [(f"pasted {n}", f"Intro.\n\n{t}\n\nOutro.") for n, t in texts.items()] + [(f"part {n}", t[: len(t) // 2]) for n, t in texts.items()]
+    known = licences.licence_folder(spark, COMMON).where(F.col("licence").isin(names))
+    found = {r["doc_id"]: (r["whole_licence"], r["licences"]) for r in licences.licence_report(spark.createDataFrame(rows, "doc_id string, text string"), known).collect()}
+    for n in names:
+        assert [found[f"{k}{n}"] for k in ("", "respelled ", "pasted ", "part ")] == [(n, n), (n, n), (None, n), (None, "")]
+
+
 # 3. Secrets
 
 def test_secret_base_spans(docs, texts, odd, empty):
