@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .runtime import free_names, slices, written
+from .runtime import free_names, kept, slices, written
 from .simhash import SEED, near_lanes, packed_lanes, planes_of, shifted
 
 WORDS, SIMILARITY = 5, 0.8
@@ -247,7 +247,7 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, chunk: in
         edges = written(confirmed(pairs), "confirmed")
         if found is not None:
             edges = edges.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        found = written(components(edges), "roots")
+        found = kept(sketched.sparkSession, lambda: components(edges), "roots")  # noqa: B023  called at once
         if last:
             return found
         turn += 1
@@ -259,23 +259,27 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Ids play no part in what is linked: rows without one, or that share one, stay apart unless their texts are near. Rows
     without an id come last, and rows alike in id and text are reduced to one.
     """
-    sketched = written(sketches(docs, id_col, text_col, width), "sketches")
-    found = similar_links(sketched, similarity)
-    rooted = sketched.select("id", "text_hash", "node").join(found, "node", "left").select("id", "text_hash", F.coalesce("root", "node").alias("root"))
-    rows = rooted.groupBy("root", "id", "text_hash").agg(F.count("*").alias("n"))
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
-    least = written(rows.groupBy("root").agg(F.min(place).alias("p")), "least-places")
-    # Rows that aren't simply kept: those of another place than their group's first, and several rows of the first place.
     own_id, own_hash, first, text = free_names(docs, "own_id", "own_hash", "is_first", "text_hash")
-    marked = rows.join(least, "root").select(F.col("id").alias(own_id), F.col("text_hash").alias(own_hash), (place == F.col("p")).alias(first), "n")
-    marked = written(marked.where(f"NOT {first} OR n > 1").drop("n"), "marked-rows")
+
+    def marks() -> DataFrame:
+        """Rows that aren't simply kept: those of another place than their group's first, and several rows of the first place."""
+        sketched = written(sketches(docs, id_col, text_col, width), "sketches")
+        found = similar_links(sketched, similarity)
+        rooted = sketched.select("id", "text_hash", "node").join(found, "node", "left").select("id", "text_hash", F.coalesce("root", "node").alias("root"))
+        rows = rooted.groupBy("root", "id", "text_hash").agg(F.count("*").alias("n"))
+        place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
+        least = written(rows.groupBy("root").agg(F.min(place).alias("p")), "least-places")
+        marked = rows.join(least, "root").select(F.col("id").alias(own_id), F.col("text_hash").alias(own_hash), (place == F.col("p")).alias(first), "n")
+        return marked.where(f"NOT {first} OR n > 1").drop("n")
+
+    marked = kept(docs.sparkSession, marks, "marked-rows")
     n, again = marked.agg(F.count("*"), F.count_if(first)).collect()[0]
     if not n:
         return docs
     keyed = docs.withColumn(text, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     side = F.broadcast(marked) if n <= max_broadcast else marked
     keyed = keyed.join(side, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(text) == F.col(own_hash)), "left")
-    kept = keyed.where(F.col(first).isNull()).select(*docs.columns)
+    single = keyed.where(F.col(first).isNull()).select(*docs.columns)
     if not again:
-        return kept
-    return kept.unionByName(keyed.where(first).dropDuplicates([id_col, text]).select(*docs.columns))
+        return single
+    return single.unionByName(keyed.where(first).dropDuplicates([id_col, text]).select(*docs.columns))

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import written
+from .runtime import kept, written
 
 STRETCH = 512
 MIN_LINE = 12
@@ -165,7 +165,7 @@ def linked_conversations(messages: DataFrame) -> DataFrame:
     )
     turns = told.select("conv_id", "turn").where("conv_id IS NOT NULL AND turn IS NOT NULL").distinct()
     first = each.groupBy("conv_id", "turn").agg(F.max("linked").alias("linked"))
-    tree = reply_tree(turns.join(first, ["conv_id", "turn"], "left"))
+    tree = kept(messages.sparkSession, lambda: reply_tree(turns.join(first, ["conv_id", "turn"], "left")), "reply-tree")
     counts = each.select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), F.col("key").alias("_key"), "n_passages", "n_linked", "quote_depth")
     same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn")) & (F.col("key") == F.col("_key"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)

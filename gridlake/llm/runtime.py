@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,14 +34,35 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gridlake-{name}-{uuid.uuid4().hex}"
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and reread it: cuts lineage and outlives lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
+    if (made := _scratch.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The table that ``build`` gives, written; the tables that were written on the way to it are deleted then."""
+    made: list[str] = []
+    token, out = _scratch.set(made), None
+    try:
+        out = written(build(), name)
+    finally:
+        _scratch.reset(token)
+        for path in made[:-1] if out is not None else made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    if (outer := _scratch.get()) is not None:
+        outer.append(made[-1])
+    return out
+
+
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path, which may be a URI in any store that pyarrow knows."""
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri.removeprefix("file:")))

@@ -3,12 +3,14 @@
 A span starts or ends at each sentence and takes the fewest sentences that are at least ``SENTENCES`` and hold at least
 ``WORDS`` words, so that short stock phrases alone never count and a passage is covered to its last sentence. Sentences end at ``.``, ``!`` or ``?`` before white
 space and at line ends; one of over ``LONG`` words is cut where its words' checksums say so, so that equal passages
-are cut alike wherever they stand. Spans are compared by the 64-bit hash and the length of their words, lower-cased
-and joined by single blanks.
+are cut alike wherever they stand. Spans are compared by the 128-bit hash of their words, lower-cased and joined by
+single blanks, so that among 10^13 spans a chance match has a probability of about 10^-13.
 
 All spans of all documents are counted by hash, with partial counts before the shuffle. Only repeated ones go on: each
 one's first place (least ``doc_id``, then sentence) is a grouped minimum, and sentences that any later place covers are
-removed from their documents. A hot passage is therefore one row before it is joined, and its join can be split.
+removed from their documents. A hot passage is therefore one row before it is joined, and its join can be split. What is
+to be removed is broadcast if it has at most ``MAX_BROADCAST`` spans; then no text moves. Else texts are joined to it by
+a shuffle.
 
 Null and empty texts have no sentences. Rows alike in id and text are one document and get equal results: what one of
 them keeps, all keep. Other columns are ignored.
@@ -26,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import slices, written
+from .runtime import kept, slices, written
 
 SENTENCES, WORDS, LONG, PIECE = 2, 20, 32, 4
+MAX_BROADCAST = 2_000_000
 CUT = re.compile(r"(?<=[.!?])\s+|\n\s*")
 WORD = re.compile(r"\S+")
 
@@ -62,7 +65,7 @@ def _add(out: list[tuple[int, int, str, int]], text: str, start: int, stop: int,
 
 
 def spans(text: str, least: int = SENTENCES, words: int = WORDS) -> list[tuple[int, int, int, int]]:
-    """(first sentence, one past the last, hash, length) of the shortest spans that start and that end at each sentence."""
+    """(first sentence, one past the last, both halves of the hash) of the shortest spans that start and that end at each sentence."""
     found = sentences(text)
     runs = set()
     stop = count = 0
@@ -85,13 +88,14 @@ def spans(text: str, least: int = SENTENCES, words: int = WORDS) -> list[tuple[i
     out = []
     for i, stop in sorted(runs):
         run = " ".join([s[2] for s in found[i:stop]]).encode("utf-8", "replace")
-        out.append((i, stop, xxhash.xxh64_intdigest(run) - (1 << 63), len(run)))
+        high, low = divmod(xxhash.xxh3_128_intdigest(run), 1 << 64)
+        out.append((i, stop, high - (1 << 63), low - (1 << 63)))
     return out
 
 
 def span_table(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> DataFrame:
-    """Rows (doc_id, doc_key, first, stop, hash, size) of documents given as (doc_id, doc_key, text)."""
-    kinds = [("first", T.IntegerType()), ("stop", T.IntegerType()), ("hash", T.LongType()), ("size", T.IntegerType())]
+    """Rows (doc_id, doc_key, first, stop, high, low) of documents given as (doc_id, doc_key, text)."""
+    kinds = [("first", T.IntegerType()), ("stop", T.IntegerType()), ("high", T.LongType()), ("low", T.LongType())]
     schema = T.StructType([docs.schema["doc_id"], docs.schema["doc_key"], *[T.StructField(*x) for x in kinds]])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +107,7 @@ def span_table(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> D
                 owner += [i] * len(found)
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             whose = pa.array(owner, pa.int32())
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(whose), part.column("doc_key").take(whose), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], schema.names)
 
     return docs.mapInArrow(cut, schema)
@@ -111,7 +115,7 @@ def span_table(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> D
 
 def later_places(table: DataFrame) -> DataFrame:
     """The places of repeated spans that aren't their first ones, and the document of the first."""
-    key = ["hash", "size"]
+    key = ["high", "low"]
     # Written, so that both sides of the joins are plain exchanges and Spark can split a hot span's partition.
     repeated = written(table.groupBy(*key).count().where("count > 1").select(*key), "repeated-keys")
     places = written(table.join(repeated, key, "left_semi"), "repeated-spans")
@@ -120,13 +124,18 @@ def later_places(table: DataFrame) -> DataFrame:
     return places.join(first, key).where(place != F.col("origin")).select("doc_id", "doc_key", "first", "stop", F.col("origin.doc_id").alias("origin_id"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES, words: int = WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES, words: int = WORDS, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """Per row: ``doc_id``, ``text`` without repeated sentences, ``n_sentences``, ``removed`` (sentence numbers), ``repeats_of``."""
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("doc_key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    table = written(span_table(keyed, least, words), "spans")
-    gone = later_places(table).groupBy("doc_id", "doc_key").agg(F.collect_set(F.struct("first", "stop")).alias("gone"), F.sort_array(F.collect_set("origin_id")).alias("repeats_of"))
-    gone = written(gone, "removed").withColumnsRenamed({"doc_id": "_id", "doc_key": "_key"})
-    both = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_key") == F.col("_key")), "left").select("doc_id", "text", "gone", "repeats_of")
+
+    def repeats() -> DataFrame:
+        places = later_places(written(span_table(keyed, least, words), "spans"))
+        return places.groupBy("doc_id", "doc_key").agg(F.collect_set(F.struct("first", "stop")).alias("gone"), F.sort_array(F.collect_set("origin_id")).alias("repeats_of"))
+
+    gone = kept(docs.sparkSession, repeats, "removed").withColumnsRenamed({"doc_id": "_id", "doc_key": "_key"})
+    size = gone.agg(F.sum(F.size("gone") + F.size("repeats_of"))).collect()[0][0] or 0
+    side = F.broadcast(gone) if size <= max_broadcast else gone
+    both = keyed.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_key") == F.col("_key")), "left").select("doc_id", "text", "gone", "repeats_of")
     schema = T.StructType([both.schema["doc_id"], both.schema["text"], T.StructField("n_sentences", T.LongType()), T.StructField("removed", T.ArrayType(T.IntegerType())), both.schema["repeats_of"]])
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .runtime import slices, written
+from .runtime import kept, slices, written
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
 MAX_BUCKET = 8192
@@ -231,13 +231,17 @@ def links(classes: DataFrame, radius: int = RADIUS, max_bucket: int = MAX_BUCKET
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """Per row: ``doc_id``, ``fingerprint`` (long) and ``component_id``, the least id that links reach."""
     marked = written(fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))), "fingerprints")
-    classes = written(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
-    found = components(links(classes, radius, max_bucket)).withColumnRenamed("node", "fingerprint")
-    linked = found.join(classes, "fingerprint")
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "root").select("fingerprint", "component_id")
+
+    def named() -> DataFrame:
+        classes = written(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
+        found = components(links(classes, radius, max_bucket)).withColumnRenamed("node", "fingerprint")
+        linked = found.join(classes, "fingerprint")
+        least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+        told = linked.join(least, "root").select("fingerprint", "component_id")
+        return classes.join(told, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "first").alias("component_id"))
+
     # Written, so that both sides of the last join are plain exchanges and Spark can split a hot fingerprint's partition.
-    every = written(classes.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "first").alias("component_id")), "class-components")
+    every = kept(docs.sparkSession, named, "class-components")
     return marked.join(every, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 

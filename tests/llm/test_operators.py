@@ -219,6 +219,16 @@ def test_secrets_among_written_names(spark, texts):
         assert wrong <= 0.1 * len(keys) and found[10_000 + len(named) - 1]["spans"] == ""
 
 
+def test_scratch_tables_are_deleted(spark, odd):
+    from gridlake.llm import runtime
+
+    made = []
+    out = runtime.kept(spark, lambda: (made.append(runtime.written(odd.select("doc_id"), "step")), made[0].distinct())[1], "end")
+    assert out.count() == len({i for i, _ in ODD})
+    there = lambda df: os.path.exists(df.inputFiles()[0].removeprefix("file://"))
+    assert there(out) and not there(made[0])
+
+
 def test_runs_of_mixed_alphabets_are_split(spark):
     key = "q7Zp2Lx9Vb4Tn8Rk3Wd6Ym1Hs5Jc0GfAeUoXiQzBtNvPlKhM"
     assert [(a, x) for a, _, x, _ in secrets.pieces(f"path/to_my-{key}/x+y")] == [(5, f"to_my-{key}")]
@@ -313,7 +323,9 @@ def test_sentence_spans(docs, texts, odd, empty):
                 gone[i].update(range(a, b))
             else:
                 seen[h, n] = i
-    for i, row in by_id(sentence_spans.deduplicated(docs)).items():
+    rows = [by_id(sentence_spans.deduplicated(docs, max_broadcast=n)) for n in (10**6, 0)]
+    assert rows[0] == rows[1]
+    for i, row in rows[0].items():
         found = sentence_spans.sentences(texts[i])
         kept, at = "", 0
         for k, (start, end, _, _) in enumerate(found):
