@@ -1,12 +1,14 @@
 """Quality classifier by attention-based multiple-instance learning (Ilse et al., 2018).
 
 A document is a bag of passages of ``PASSAGE`` words. A small layer encodes every passage from counts of its
-characters, words and repetitions; gated attention gives each passage a weight among those of its document; the
-weighted sum is scored. Only document labels are known, so attention is learned from them alone.
+characters, words and repetitions and from its words, hashed to ``BUCKETS`` shares; gated attention gives each passage a
+weight among those of its document; the weighted sum is scored. Only document labels are known, so attention is learned
+from them alone.
 
-Training takes at most ``MAX_LABELLED`` labelled documents, those with the least hash of their id, and at most
-``MAX_PASSAGES`` evenly spaced passages of each (documented bounds on what is fitted). Scores come from whole texts of
-all documents, in one scan without a shuffle.
+Training takes at most ``MAX_LABELLED`` labelled documents, those with the least hash of their id, whole and in that
+order until they have ``MAX_PASSAGES`` passages together (documented bounds on the rows that are fitted; one text of an
+id with several, that with the least hash). Their features are all that reaches the driver, at most ``MAX_PASSAGES`` rows
+of ``N_FEATURES`` numbers, about 40 MB. Scores come from whole texts of all documents, in one scan without a shuffle.
 
 Null and empty texts are one passage without words. Repeated rows score alike. Labels that disagree count by majority,
 ties and null labels are left out; with labels of one class or none, every score is the share of ones (0.5 if none).
@@ -35,7 +37,8 @@ HIDDEN, ATTENTION, ROUNDS, RATE, DECAY = 16, 8, 300, 0.02, 1e-4
 KINDS = ["space", "line", "lower", "upper", "digit", "stop", "shout", "quote", "symbol", "other", "high"]
 _KIND = {**dict.fromkeys(b" \t\v\f\r", 0), 0x0A: 1, **dict.fromkeys(range(0x61, 0x7B), 2), **dict.fromkeys(range(0x41, 0x5B), 3), **dict.fromkeys(range(0x30, 0x3A), 4), **dict.fromkeys(b".,;:?", 5), **dict.fromkeys(b"!", 6), **dict.fromkeys(b"'\"", 7), **dict.fromkeys(b"#*$%&|<>@=_~^+/\\{}[]", 8), **dict.fromkeys(range(0x80, 0x100), 10)}
 KIND_OF = np.array([_KIND.get(b, 9) for b in range(256)], np.int64)
-N_FEATURES = len(KINDS) + 8
+BUCKETS = 16
+N_FEATURES = len(KINDS) + 8 + BUCKETS
 
 
 def passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +97,8 @@ def passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lines = np.maximum(1.0, np.bincount(part_of_word[head], minlength=n))
         out[:, k + 6] = np.bincount(part_of_word[head], again(mixed), minlength=n) / lines
         out[:, k + 7] = np.bincount(part_of_word, sizes > 15, minlength=n) / safe
+        bucket = ((hashed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)).astype(np.int64) % BUCKETS
+        out[:, k + 8 :] = np.bincount(part_of_word * BUCKETS + bucket, minlength=n * BUCKETS).reshape(n, BUCKETS) / safe[:, None]
     return out, owner
 
 
@@ -182,7 +187,8 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_label
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "features"])
 
     schema = T.StructType([texts.schema["doc_id"], T.StructField("label", T.DoubleType()), T.StructField("features", T.BinaryType())])
-    every = written(texts.mapInArrow(described, schema).dropDuplicates(["doc_id"]), "bags")
+    least = F.min_by(F.struct("label", "features"), F.struct(F.xxhash64("features"), "features"))
+    every = written(texts.mapInArrow(described, schema).groupBy("doc_id").agg(least.alias("b")).select("doc_id", "b.*"), "bags")
     # One partition of at most max_labelled rows of two numbers; at least the first row is taken, however long it is.
     order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
     size = every.select("doc_id", (F.octet_length("features") / (4 * N_FEATURES)).alias("n"))

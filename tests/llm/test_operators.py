@@ -613,6 +613,46 @@ def test_attention_odd_rows(spark, odd, empty):
     assert {r["score"] for r in attention_mil.quality_scores(odd, labels.where("false")).collect()} == {0.5}
 
 
+def test_several_texts_of_one_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(attention_mil, "fit", lambda x, owner, labels: seen.append(x.tolist()))
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:2]
+    rows = [(ids[0], "one text of it"), (ids[0], "And ANOTHER one! 12"), (ids[0], None), (ids[1], "a short text")]
+    labels = spark.createDataFrame([(i, k) for k, i in enumerate(ids)], "doc_id long, quality int")
+    for n in (1, 3):
+        attention_mil.train(spark.createDataFrame(rows[:: 1 if n == 1 else -1], "doc_id long, text string").repartition(n), labels)
+    assert seen[0] == seen[1] and len(seen[0]) == 2
+
+
+def test_forward_pass_equals_plain_loops():
+    rng = np.random.default_rng(3)
+    labels = np.array([0, 1, 1, 0.0])
+    owner = np.repeat(np.arange(4), [2, 1, 4, 3])
+    features = rng.normal(size=(10, attention_mil.N_FEATURES))
+    model = attention_mil.fit(features, owner, labels, rounds=5)
+    w = model.weights
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    dot = lambda x, m: [sum(x[i] * m[i, j] for i in range(len(x))) for j in range(m.shape[1])]
+    for bag, score in enumerate(model.score(features, owner, 4)):
+        coded, raw = [], []
+        for row in features[owner == bag]:
+            x = [(v - m) / s for v, m, s in zip(row, model.mean, model.spread, strict=True)]
+            h = [math.tanh(v + b) for v, b in zip(dot(x, w["encode"]), w["encode0"], strict=True)]
+            told, gate = [math.tanh(v) for v in dot(h, w["tell"])], [sigmoid(v) for v in dot(h, w["gate"])]
+            coded.append(h)
+            raw.append(math.exp(sum(t * g * a for t, g, a in zip(told, gate, w["attend"], strict=True))))
+        mean = [sum(r * h[i] for r, h in zip(raw, coded, strict=True)) / sum(raw) for i in range(len(coded[0]))]
+        assert abs(score - sigmoid(sum(m * v for m, v in zip(mean, w["score"], strict=True)) + w["score0"][0])) < 1e-12
+
+
+def test_words_reach_the_features():
+    import pyarrow as pa
+
+    one, two = (attention_mil.passages(pa.array([t]))[0] for t in ("good words here", "poor terms here"))
+    assert not np.allclose(one[0, -attention_mil.BUCKETS :], two[0, -attention_mil.BUCKETS :])
+    assert abs(one[0, -attention_mil.BUCKETS :].sum() - 1) < 1e-12
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     owner = np.repeat(np.arange(6), [1, 3, 2, 4, 1, 2])
