@@ -9,9 +9,13 @@ the radius with probability 3e-7.
 
 A group of n near copies isn't compared pair by pair. Each bucket draws ``CENTRES`` members, each other member takes the
 first centre that is close, else one within the radius, and one pair is checked; this goes on with new centres for
-nodes that aren't linked yet while it halves what is left. Then only pairs of different components are compared, in
-chunks, so that no task holds more than two chunks of a bucket. A large group of texts that are all just under 0.8 from
-each other, and only such a group, still costs the square of its size.
+nodes that aren't linked yet while it halves what is left. Then only buckets of several components are left. Their
+members meet with their sets, in chunks, so that no task holds more than two chunks of a bucket: pairs of different
+components within the radius are checked in place and only links leave the task, so no pair is ever written or moved.
+A large group of texts that are all just under 0.8 from each other, and only such a group, still costs comparisons in
+the square of its size.
+
+Sets are made once for names and keys and again for nodes that meet others, so sets of all texts are never stored.
 
 Null texts and texts without words are alike. Other columns pass through.
 """
@@ -80,10 +84,10 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Per row: ``id``, ``text_hash``, ``node`` (128 bits of its set of shingles), ``size``, ``keys``, ``print`` and ``hashes`` of the set."""
+    """Per row: ``id``, ``text_hash``, ``node`` (128 bits of its set of shingles), ``size``, ``keys`` and ``print``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    kinds = [("node", T.BinaryType()), ("size", T.IntegerType()), ("keys", T.ArrayType(T.LongType())), ("print", T.BinaryType()), ("hashes", T.BinaryType())]
+    kinds = [("node", T.BinaryType()), ("size", T.IntegerType()), ("keys", T.ArrayType(T.LongType())), ("print", T.BinaryType())]
     schema = T.StructType([rows.schema["id"], rows.schema["text_hash"], *[T.StructField(*k) for k in kinds]])
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,13 +100,30 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                 pa.array([len(x) for x in sets], pa.int32()),
                 keys,
                 pa.array([wide_fingerprint(x).tobytes() for x in sets], pa.binary()),
-                pa.array(held, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), *columns], schema.names)
 
     return rows.mapInArrow(sketched, schema)
 
 
+def sets_of(docs: DataFrame, sketched: DataFrame, met: DataFrame, text_col: str, width: int, max_broadcast: int) -> DataFrame:
+    """(node, hashes): the set of each node that is met, made from one text of it."""
+    wanted = written(sketched.join(met, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash")).select("text_hash").distinct(), "met-texts")
+    side = F.broadcast(wanted) if wanted.count() <= max_broadcast else wanted
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text")).join(side, "text_hash", "left_semi").select("text")
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            # Exact copies stand for one node, of which one is enough here.
+            held = dict.fromkeys(part.column("text").cast(pa.binary()).to_pylist())
+            sets = {xxhash.xxh3_128_digest(x): x for x in (shingle_set(t, width).tobytes() for t in held)}
+            yield pa.RecordBatch.from_arrays([pa.array(sets.keys(), pa.binary()), pa.array(sets.values(), pa.binary())], ["node", "hashes"])
+
+    made_sets = rows.mapInArrow(made, "node binary, hashes binary").groupBy("node").agg(F.first("hashes").alias("hashes"))
+    return written(made_sets.join(met, "node", "left_semi"), "shingle-sets")
+
+
 def words_of(column: pa.Array, n: int) -> np.ndarray:
     """A binary column of ``8 n`` bytes each as rows of n words."""
     _, offsets, data = column.buffers()
@@ -142,30 +163,69 @@ def _near_centres(similarity: float):
     return near
 
 
+def shared_bits(sets: list[np.ndarray]) -> np.ndarray:
+    """Of each set a row of bits: the members that two sets or more have, so that counts of common bits are sizes of intersections."""
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    values, column, many = np.unique(flat, return_inverse=True, return_counts=True)
+    places = np.cumsum(many > 1) - 1
+    row, common = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), many[column] > 1
+    bits = np.zeros((len(sets), -(-int((many > 1).sum()) // 64) or 1), np.uint64)
+    at = places[column[common]]
+    np.bitwise_or.at(bits, (row[common], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+    return bits
+
+
 def _near_pairs(similarity: float):
-    """Pairs of rows of one bucket (sorted by it) and of different components within the radius."""
+    """Links of rows of one bucket (sorted by it) and of different components: within the radius, and similar by their whole sets."""
 
     def pairs(held: pa.Table) -> Iterator[pa.RecordBatch]:
         held = held.combine_chunks().to_batches()[0]
         keys = np.column_stack([held.column(c).to_numpy() for c in ("key", "chunk", "other")])
-        group = np.cumsum(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
-        root, size, own = (held.column(c).to_numpy() for c in ("mark", "size", "own"))
+        group = np.cumsum(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))) - 1
+        begins = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        size, own = (held.column(c).to_numpy() for c in ("size", "own"))
+        root = np.unique(held.column("mark").to_numpy(), return_inverse=True)[1]
         prints, apart = words_of(held.column("print"), BITS // 64), held.column("chunk").to_numpy() != held.column("other").to_numpy()
-        sizes = np.unique(group, return_counts=True)[1]
+        sets, bits = held.column("hashes"), {}
+        sizes = np.bincount(group)
         left, rows, d, planes = np.repeat(sizes, sizes), np.arange(len(group)), 1, planes_of(prints)
+        linked: list[np.ndarray] = []
+
+        def similar(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(i), bool)
+            for g in np.unique(group[i]).tolist():
+                start, some = begins[g], np.flatnonzero(group[i] == g)
+                if g not in bits:
+                    bits[g] = shared_bits([np.frombuffer(x, np.uint64) for x in sets.slice(start, sizes[g]).to_pylist()])
+                for few in np.array_split(some, -(-len(some) * bits[g].shape[1] // (1 << 20))):
+                    a, b = i[few], j[few]
+                    shared = np.bitwise_count(bits[g][a - start] & bits[g][b - start]).sum(axis=1, dtype=np.int64)
+                    out[few] = shared >= similarity * (size[a] + size[b] - shared) - 1e-9
+            return out
+
         while len(rows) > d:
             i, j = rows[:-d], rows[d:]
             # Chunks meet others here; pairs inside a chunk have a turn of their own.
             wanted = (group[i] == group[j]) & (root[i] != root[j]) & _fit(size[i], size[j], similarity) & ~(apart[i] & (own[i] == own[j]))
             small = np.minimum(size[i], size[j]) <= SMALL
             differing = lambda b: planes[b : b + 8] ^ shifted(planes[b : b + 8], d)  # noqa: B023, E731  called at once
-            near = [near_lanes(differing, BITS, packed_lanes(lanes, planes.shape[1]), radius) for lanes, radius in ((wanted & ~small, RADIUS), (wanted & small, SMALL_RADIUS)) if lanes.any()]
-            for found in near:
-                yield pa.RecordBatch.from_arrays([held.column("node").take(pa.array(i[found])), held.column("node").take(pa.array(j[found]))], ["a", "b"])
+            for lanes, radius in ((wanted & ~small, RADIUS), (wanted & small, SMALL_RADIUS)):
+                if not lanes.any():
+                    continue
+                found = near_lanes(differing, BITS, packed_lanes(lanes, planes.shape[1]), radius)
+                a, b = i[found], j[found]
+                sure = similar(a, b)
+                linked.append(np.column_stack([a[sure], b[sure]]))
+                for x, y in linked[-1].tolist():
+                    if root[x] != root[y]:
+                        # Rows of one component, in whatever bucket of this block, need no further link.
+                        root[root == root[y]] = root[x]
             d += 1
             if (keep := left[rows] > d).sum() < 0.75 * len(rows):
                 rows = rows[keep]
                 planes = planes_of(prints[rows])
+        found = np.concatenate(linked) if linked else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([held.column("node").take(pa.array(found[:, 0])), held.column("node").take(pa.array(found[:, 1]))], ["a", "b"])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -200,17 +260,17 @@ def _similar(similarity: float):
     return similar
 
 
-def _dealt(rows: DataFrame, keys: DataFrame, chunk: int) -> DataFrame:
+def _dealt(rows: DataFrame, sets: DataFrame, keys: DataFrame, chunk: int) -> DataFrame:
     """Rows of open buckets with the turn (chunk, other) that they take part in; a bucket of over ``chunk`` rows gives a turn to each pair of chunks."""
     parts = F.ceil(F.col("n") / chunk).cast("int")
-    placed = rows.join(keys.select("key", parts.alias("parts")), "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    placed = rows.join(keys.select("key", parts.alias("parts")), "key").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    turns = placed.select("key", F.least("own", "with").alias("chunk"), F.greatest("own", "with").alias("other"), "own", "node", "mark", "size", "print")
+    turns = placed.select("key", F.least("own", "with").alias("chunk"), F.greatest("own", "with").alias("other"), "own", "node", "mark", "size", "print", "hashes")
     order = ["key", "chunk", "other"]
     return turns.repartition(*order).sortWithinPartitions(*order, "node")
 
 
-def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, chunk: int | None = None) -> DataFrame:
+def similar_links(docs: DataFrame, sketched: DataFrame, text_col: str, width: int, similarity: float, max_broadcast: int, chunk: int | None = None) -> DataFrame:
     """(node, root) of sets that links of at least ``similarity`` connect to others."""
     nodes = sketched.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("print").alias("print"))
     nodes = written(nodes, "nodes")
@@ -219,7 +279,7 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, chunk: in
     rows = written(rows.join(shared, "key", "left_semi"), "band-rows")
     met = written(rows.select("node").distinct(), "met")
     state = nodes.join(met, "node", "left_semi").select("node", "size", "print")
-    sets = written(sketched.join(met, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes")), "shingle-sets")
+    sets = sets_of(docs, sketched, met, text_col, width, max_broadcast)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         some = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
@@ -239,12 +299,12 @@ def similar_links(sketched: DataFrame, similarity: float = SIMILARITY, chunk: in
         last = turn and (open_pairs[0] <= 16 * open_pairs[1] or open_pairs[0] > before / 2)
         before = open_pairs[0]
         if last:
-            pairs = _dealt(now, open_keys, chunk or CHUNK).mapInArrow(_near_pairs(similarity), "a binary, b binary")
+            links = _dealt(now, sets, open_keys, chunk or CHUNK).mapInArrow(_near_pairs(similarity), "a binary, b binary")
         else:
             member = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(turn * CENTRES + k)), "node", "mark", "size", "print"))  # noqa: B023, E731
             centres = now.join(open_keys.select("key"), "key", "left_semi").groupBy("key").agg(*[member(k).alias(f"c{k}") for k in range(CENTRES)])
-            pairs = now.join(written(centres, "centres"), "key").mapInArrow(_near_centres(similarity), "a binary, b binary")
-        edges = written(confirmed(pairs), "confirmed")
+            links = confirmed(now.join(written(centres, "centres"), "key").mapInArrow(_near_centres(similarity), "a binary, b binary"))
+        edges = written(links, "confirmed")
         if found is not None:
             edges = edges.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
         found = kept(sketched.sparkSession, lambda: components(edges), "roots")  # noqa: B023  called at once
@@ -264,7 +324,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def marks() -> DataFrame:
         """Rows that aren't simply kept: those of another place than their group's first, and several rows of the first place."""
         sketched = written(sketches(docs, id_col, text_col, width), "sketches")
-        found = similar_links(sketched, similarity)
+        found = similar_links(docs, sketched, text_col, width, similarity, max_broadcast)
         rooted = sketched.select("id", "text_hash", "node").join(found, "node", "left").select("id", "text_hash", F.coalesce("root", "node").alias("root"))
         rows = rooted.groupBy("root", "id", "text_hash").agg(F.count("*").alias("n"))
         place = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
