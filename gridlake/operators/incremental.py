@@ -6,15 +6,17 @@ so a plan never reads files that it overwrites, and days without news aren't rea
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .keyed import keep_one
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     try:
@@ -23,27 +25,31 @@ def exists(spark: SparkSession, path: str) -> bool:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return False
         raise
-    except Py4JJavaError:
-        return False
     return True
 
 
-def create_if_missing(spark: SparkSession, path: str, schema: T.StructType, partition: str = "date") -> DataFrame:
-    """The table at a path; an empty one with the schema if there is none."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+def create_if_missing(spark: SparkSession, path: str, schema: T.StructType, partition: str = "date", name: str | None = None) -> DataFrame:
+    """The catalog table at a path, with the partitions it has by now; an empty one with the schema and partition is made if there is none."""
+    name = name or "table_" + hashlib.md5(path.encode()).hexdigest()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name).select(schema.names)
 
 
 def replace_partitions(df: DataFrame, path: str, partition: str = "date") -> None:
     """Overwrite the partitions that ``df`` has rows for; others stay."""
     staged = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
-    df.write.parquet(staged)
     spark = df.sparkSession
-    fresh = spark.read.schema(df.schema).parquet(staged)
-    fresh.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(staged)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    try:
+        df.write.parquet(staged)
+        fresh = spark.read.schema(df.schema).parquet(staged)
+        fresh.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(staged)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def rebuild(df: DataFrame, path: str, partition: str | None = None) -> None:
@@ -76,12 +82,17 @@ def upsert(news: DataFrame, path: str, keys: Sequence[str], partition: str = "da
     return replace_partitions(merged(touched(target, news, partition), news, keys), path, partition)
 
 
-def insert_once(news: DataFrame, path: str, keys: Sequence[str], partition: str = "date") -> None:
-    """Insert rows whose key the table lacks; the first row of a key stays for good."""
+def insert_once(news: DataFrame, path: str, keys: Sequence[str], partition: str = "date", order: str | None = None) -> None:
+    """Insert rows whose key the table lacks; the first row of a key, by ``order`` if given, stays for good.
+
+    Where the partition is part of the key, only the table's partitions in which news arrive are read.
+    """
     spark = news.sparkSession
-    first = news.dropDuplicates(list(keys))
+    first = keep_one(news, keys, *([F.col(order)] if order else []))
     if exists(spark, path):
-        first = first.join(spark.read.parquet(path).select(*keys), list(keys), "left_anti")
+        held = spark.read.parquet(path).select(*{*keys, partition})
+        held = touched(held, news, partition) if partition in keys else held
+        first = first.join(held.select(*keys), list(keys), "left_anti")
     first.write.mode("append").partitionBy(partition).parquet(path)
 
 

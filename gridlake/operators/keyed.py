@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOUR = ["date", "hour"]
-#: Keys that dedup falls back to, as far as a table has them.
+#: Keys that dedup falls back to, as far as a table has them.
 FALLBACK_KEYS = ["date", "datetime", "hour", "time", "id", "mcp"]
 
 

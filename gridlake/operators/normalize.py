@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import ratio
+from .keyed import keep_one
 
 C = F.col
 
@@ -28,10 +31,11 @@ def computed_imbalance(generation: DataFrame, consumption: DataFrame, key: str =
     return both.select(key, F.coalesce("total", F.lit(0.0)).alias("generationTotal"), "consumption", net.alias("imbalanceQuantity")).withColumn("systemDirection", F.when(C("imbalanceQuantity") > 0, "ENERGY_SURPLUS").when(C("imbalanceQuantity") < 0, "ENERGY_DEFICIT").otherwise("BALANCED"))
 
 
-def with_roster(facts: DataFrame, roster: DataFrame, key: str, max_rows: int = 1_000_000) -> DataFrame:
-    """Attach names to facts; the roster is broadcast only if it has at most ``max_rows`` rows."""
-    small = roster.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(roster) if small else roster, key, "left")
+def with_roster(facts: DataFrame, roster: DataFrame, key: str, max_bytes: int = 64 << 20) -> DataFrame:
+    """Attach names to facts; the roster is broadcast only if its values, and 16 bytes for each, take at most ``max_bytes``."""
+    values = [F.coalesce(F.octet_length(C(c).cast("string")), F.lit(0)) + 16 for c in roster.columns]
+    size = roster.agg(F.sum(reduce(lambda a, b: a + b, values).cast("long"))).collect()[0][0] or 0
+    return facts.join(F.broadcast(roster) if size <= max_bytes else roster, key, "left")
 
 
 def unique_units(batches: DataFrame, key: str) -> DataFrame:
@@ -86,5 +90,4 @@ def fetch_window(df: DataFrame, run_date, delay_days: int = 0, lookahead_days: i
 
 def latest_snapshot(df: DataFrame, key: str, snapshot: str = "ds") -> DataFrame:
     """The newest row of each key over dated snapshots."""
-    w = Window.partitionBy(key).orderBy(C(snapshot).desc())
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    return keep_one(df, [key], C(snapshot).desc())

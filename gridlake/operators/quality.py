@@ -30,16 +30,16 @@ def accepted_range(df: DataFrame, column: str, least=None, most=None) -> DataFra
     return df.where(low | (F.lit(False) if most is None else C(column) > most))
 
 
-def calendar(df: DataFrame, column: str = "date", until: Column | None = None) -> DataFrame:
-    """All days from the first to the last (or ``until``) of a table; none for an empty one."""
-    ends = df.agg(F.min(column).alias("a"), F.max(column).alias("b"))
-    last = C("b") if until is None else F.least("b", until)
+def calendar(df: DataFrame, until: Column, column: str = "date") -> DataFrame:
+    """All days from a table's first one to ``until``, whether the table still has rows then or not; none for an empty table."""
+    ends = df.agg(F.min(column).alias("a"))
+    last = until.cast("date")
     return ends.where(C("a") <= last).select(F.explode(F.sequence("a", last)).alias("date"))
 
 
 def hourly_gaps(df: DataFrame, as_of, excused_days: int = 2) -> DataFrame:
     """(date, hour) without a row, from the first day on; the last days before ``as_of`` may still lack hours."""
-    days = calendar(df, until=F.date_sub(F.lit(as_of).cast("date"), excused_days + 1))
+    days = calendar(df, F.date_sub(F.lit(as_of).cast("date"), excused_days + 1))
     every = days.select("date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
     return every.join(df.select("date", "hour").distinct(), ["date", "hour"], "left_anti")
 
@@ -84,8 +84,9 @@ def short_days(df: DataFrame, hours: int = 24, top: int = 20) -> DataFrame:
     return df.groupBy("date").agg(F.count("*").alias("n_rows")).where(C("n_rows") < hours).orderBy("n_rows", "date").limit(top)
 
 
-def missing_days(df: DataFrame) -> DataFrame:
-    return calendar(df).join(df.select("date").distinct(), "date", "left_anti").agg(F.count("*").alias("missing_days"))
+def missing_days(df: DataFrame, as_of) -> DataFrame:
+    """Days without a row from the first one to ``as_of``."""
+    return calendar(df, F.lit(as_of)).join(df.select("date").distinct(), "date", "left_anti").agg(F.count("*").alias("missing_days"))
 
 
 def mart_health(tables: dict[str, DataFrame], as_of, stale_days: int = 3) -> DataFrame:

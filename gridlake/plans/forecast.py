@@ -173,11 +173,16 @@ def class_metrics(scored: DataFrame, actual: str = "system_direction", predicted
     return each.withColumn("f1", F.coalesce(ratio(2 * C("precision") * C("recall"), C("precision") + C("recall")), F.lit(0.0)))
 
 
-def rank_auc(scored: DataFrame, score: str, positive: Column) -> DataFrame:
-    """Area under the curve by rank sums, ties at their mean rank: counts per distinct score, then a running sum."""
+def rank_auc(scored: DataFrame, score: str, positive: Column, bands: int = 1000) -> DataFrame:
+    """Area under the curve by rank sums, ties at their mean rank: counts per distinct score, then running sums."""
     by = scored.where(C(score).isNotNull()).groupBy(C(score).alias("s")).agg(F.count("*").alias("n"), F.count_if(positive).alias("p"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = by.withColumn("rank", before + (C("n") + 1) / 2).agg(F.sum(C("rank") * C("p")).alias("r"), F.sum("p").alias("p"), (F.sum("n") - F.sum("p")).alias("q"))
+    # Scores in bands of equal width: one window runs inside each band, and one over the bands, of which there are few.
+    ends = by.agg(F.min("s").alias("_low"), F.max("s").alias("_high"))
+    banded = by.crossJoin(F.broadcast(ends)).withColumn("band", F.coalesce(F.floor(F.try_divide(C("s") - C("_low"), C("_high") - C("_low")) * bands), F.lit(0)))
+    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lower = banded.groupBy("band").agg(F.sum("n").alias("n")).select("band", earlier(Window.orderBy("band")).alias("lower"))
+    before = C("lower") + earlier(Window.partitionBy("band").orderBy("s"))
+    sums = banded.join(lower, "band").withColumn("rank", before + (C("n") + 1) / 2).agg(F.sum(C("rank") * C("p")).alias("r"), F.sum("p").alias("p"), (F.sum("n") - F.sum("p")).alias("q"))
     return sums.select(ratio(C("r") - C("p") * (C("p") + 1) / 2, C("p") * C("q")).alias("auc"))
 
 

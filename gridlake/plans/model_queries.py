@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.expressions import DEFICIT, rounded
 from ..operators import incremental
 from ..sources.bindings import Silver
+from ..sources.shared import folder
 from ..streaming import market as streams
 from . import forecast, marts
 from .oracles import AS_OF, twin
-from .source_queries import folder
 from .staging import Lake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -12,9 +12,9 @@ from ..functions.expressions import rounded
 from ..operators import incremental, keyed, normalize
 from ..sources import bronze
 from ..sources.bindings import Silver
+from ..sources.shared import folder
 from . import forecast, marts, reports, signal
 from .oracles import AS_OF, twin
-from .source_queries import folder
 from .staging import Lake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -120,14 +120,16 @@ _add("DQ2_unique", lambda lake: quality.unique(lake.silver["idm_transactions"],
 _add("DQ3_unique_combination", lambda lake: quality.unique(lake.silver.table("lineitem"), "l_orderkey", "l_linenumber"), "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 _add("DQ4_accepted_values", lambda lake: quality.accepted_values(lake.silver.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"), "l_returnflag", ["A", "N"]), "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')")
 _add("DQ5_accepted_range", lambda lake: quality.accepted_range(lake["imbalance"], "net_imbalance_mwh", least=0), "SELECT * FROM imbalance WHERE net_imbalance_mwh < 0", "date", "hour")
-_add("DQ6_hourly_gaps", lambda lake: quality.hourly_gaps(lake["pricing"], AS_OF), f"SELECT d::DATE AS date, h::INT AS hour FROM (SELECT unnest(generate_series(min(date), least(max(date), DATE '{AS_OF}' - 3), INTERVAL 1 DAY)) AS d FROM pricing), range(24) AS r(h) WHERE NOT EXISTS (SELECT 1 FROM pricing p WHERE p.date = d::DATE AND p.hour = h)")
+_add("DQ6_hourly_gaps", lambda lake: quality.hourly_gaps(lake["pricing"], AS_OF), f"SELECT d::DATE AS date, h::INT AS hour FROM (SELECT unnest(generate_series(min(date), DATE '{AS_OF}' - 3, INTERVAL 1 DAY)) AS d FROM pricing), range(24) AS r(h) WHERE NOT EXISTS (SELECT 1 FROM pricing p WHERE p.date = d::DATE AND p.hour = h)")
 _add("DQ7_price_positive", lambda lake: quality.accepted_range(lake["order_up"].select("date", "hour", "net_mwh"), "net_mwh", least=0), "SELECT date, hour, net_mwh FROM order_up WHERE net_mwh < 0", "date", "hour")
 _add("DQ8_generation_floor", lambda lake: quality.accepted_range(lake["generation"].select("date", "hour", "total_generation_mwh"), "total_generation_mwh", least=100), "SELECT date, hour, total_generation_mwh FROM generation WHERE total_generation_mwh < 100", "date", "hour")
 _add("DQ9_check_results", lambda lake: quality.check_results({("usd_not_null", "warn"): quality.not_null(lake["pricing"], "ptf_usd"), ("trade_unique", "error"): quality.unique(lake["idm_transactions"], "id"), ("load_gaps", "warn"): quality.hourly_gaps(lake["load_estimation"], AS_OF)}))
 _add("DQ10_freshness", lambda lake: quality.freshness(lake.silver["smf"], "smf", "date", AS_OF, 24, 48), f"SELECT 'smf' AS source, max(t) AS last, date_diff('hour', max(t), TIMESTAMP '{AS_OF}') AS age_hours, CASE WHEN date_diff('hour', max(t), TIMESTAMP '{AS_OF}') > 48 THEN 'error' WHEN date_diff('hour', max(t), TIMESTAMP '{AS_OF}') > 24 THEN 'warn' ELSE 'ok' END AS status FROM slv WHERE sum_purchase IS NOT NULL")
 _add("DQ11_coverage", _score, _cover, "table_name", "min_date", "max_date", "n_rows", "n_days", "n_hours", "days_stale", "status")
 _add("DQ12_short_days", lambda lake: quality.short_days(lake["pricing"]), "SELECT date, count(*) AS n_rows FROM pricing GROUP BY 1 HAVING count(*) < 24 ORDER BY 2, 1 LIMIT 20")
-_add("DQ13_missing_days", lambda lake: quality.missing_days(lake["fx_rates"]), "SELECT (max(date) - min(date) + 1 - count(DISTINCT date))::BIGINT AS missing_days FROM fx_rates")
+_add("DQ13_missing_days", lambda lake: quality.missing_days(lake["fx_rates"], AS_OF), f"SELECT (DATE '{AS_OF}' - min(date) + 1 - count(DISTINCT date) FILTER (date <= DATE '{AS_OF}'))::BIGINT AS missing_days FROM fx_rates")
+_add("DQ13_missing_days_of_a_dead_feed", lambda lake: quality.missing_days(lake["fx_rates"].where("date < DATE '2024-01-10'"), AS_OF), f"SELECT (DATE '{AS_OF}' - min(date) + 1 - count(DISTINCT date) FILTER (date < DATE '2024-01-10'))::BIGINT AS missing_days FROM fx_rates")
+_add("DQ6_hourly_gaps_of_a_dead_feed", lambda lake: quality.hourly_gaps(lake["load_estimation"].where("date <= DATE '2024-01-10'"), AS_OF), f"SELECT d::DATE AS date, h::INT AS hour FROM (SELECT unnest(generate_series(min(date), DATE '{AS_OF}' - 3, INTERVAL 1 DAY)) AS d FROM load_estimation), range(24) AS r(h) WHERE NOT EXISTS (SELECT 1 FROM load_estimation p WHERE p.date <= DATE '2024-01-10' AND p.date = d::DATE AND p.hour = h)")
 _add("DQ14_mart_health", lambda lake: quality.mart_health({"ptf_usd": marts.ptf_usd(lake), "hydro_risk": marts.hydro_risk(lake)}, AS_OF), f"SELECT 'ptf_usd' AS mart, count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date, CASE WHEN DATE '{AS_OF}' - max(date) > 3 THEN 'STALE' ELSE 'OK' END AS status FROM pricing WHERE ptf_usd IS NOT NULL UNION ALL SELECT 'hydro_risk', count(*), min(date), max(date), CASE WHEN DATE '{AS_OF}' - max(date) > 3 THEN 'STALE' ELSE 'OK' END FROM dams")
 _add("DQ15_price_sanity", lambda lake: quality.price_sanity(lake["pricing"]), "SELECT avg(ptf_try) AS avg_price, min(ptf_try) AS min_price, max(ptf_try) AS max_price, stddev_samp(ptf_try) AS std_price, count(*) FILTER (ptf_try <= 0) AS not_positive, count(*) FILTER (ptf_try > 10000) AS above_ceiling FROM pricing", "not_positive", "above_ceiling")
 _add("DQ16_city_coverage", lambda lake: quality.group_coverage(lake["weather"], "city_name"), "SELECT city_name, count(*) AS n_rows, count(DISTINCT date) AS n_days, min(date) AS min_date, max(date) AS max_date FROM weather GROUP BY 1")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,6 +12,7 @@ from ..functions.expressions import rounded
 from ..operators import incremental, keyed, normalize
 from ..sources import bronze
 from ..sources.bindings import Silver
+from ..sources.shared import folder
 from . import marts
 from .oracles import AS_OF, twin
 from .staging import GENERATION, Lake
@@ -21,12 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder beside shared checkpoints, or a local one where there are none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-tables-")
-    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
-
-
 def _add(name: str, plan: Callable[[Lake], DataFrame], body: str | None = None, *exact: str) -> None:
     QUERIES[name] = lambda spark, sf_dir: rounded(plan(Lake(Silver(spark, sf_dir))))
     if body:

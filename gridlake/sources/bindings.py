@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import written
+
 TYPES = ["view", "purchase", "click", "signup", "error"]
 #: Fuel columns of the plan tables, in the order in which test data fills them.
 PLAN_FUELS = ["dogalgaz", "ruzgar", "linyit", "tasKomur", "ithalKomur", "fuelOil", "jeotermal", "barajli", "nafta", "biokutle", "akarsu", "gunes", "diger"]
@@ -31,6 +33,7 @@ class Silver:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._built: dict[str, DataFrame] = {}
+        self._hours: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -44,7 +47,12 @@ class Silver:
         return self.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", (F.col("value") * SCALE).alias("value"), F.get_json_object("props", "$.k").cast("int").alias("k"))
 
     def hours(self) -> DataFrame:
-        """Sums by UTC hour and user parity."""
+        """Sums by UTC hour and user parity, written once: events are scanned once, however many tables are made from them."""
+        if self._hours is None:
+            self._hours = written(self._summed())
+        return self._hours
+
+    def _summed(self) -> DataFrame:
         kind = lambda t: F.col("event_type") == t
         per = [F.sum(F.when(kind(t), F.col("value"))).alias(f"sum_{t}") for t in TYPES] + [F.avg(F.when(kind(t), F.col("value"))).alias(f"avg_{t}") for t in ("view", "purchase")]
         bands = [F.sum(F.when(F.col("k") % BANDS == i, F.col("value"))).alias(f"band{i}") for i in range(BANDS)]

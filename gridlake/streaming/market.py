@@ -34,11 +34,11 @@ def upsert_stream(corrections: DataFrame, path: str, keys: list[str], checkpoint
     return corrections.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def snapshot_stream(predictions: DataFrame, path: str, keys: list[str], checkpoint: str, partition: str = "predicted_date") -> StreamingQuery:
+def snapshot_stream(predictions: DataFrame, path: str, keys: list[str], checkpoint: str, partition: str = "predicted_date", order: str | None = None) -> StreamingQuery:
     """The first prediction of each hour stays for good."""
 
     def write(batch: DataFrame, _: int) -> None:
-        insert_once(batch, path, keys, partition)
+        insert_once(batch, path, keys, partition, order)
 
     return predictions.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

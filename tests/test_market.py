@@ -126,6 +126,36 @@ def test_upserts(spark, tmp_path):
     assert rows() == [(1, 1, 9.0), (1, 2, 5.0), (3, 0, 4.0)]
 
 
+def test_tables_are_made_and_failures_are_told(spark, tmp_path):
+    path = f"file://{tmp_path}/made"
+    rows = at(spark, [(D(2025, 1, 1), 0, 1.0, 5), (D(2025, 1, 1), 0, 2.0, 3)], "date date, hour int, v double, told int")
+    assert incremental.create_if_missing(spark, path, rows.schema).collect() == [] and not incremental.exists(spark, path)
+    incremental.insert_once(rows, path, ["date", "hour"], order="told")
+    assert [tuple(r) for r in incremental.create_if_missing(spark, path, rows.schema).collect()] == [(D(2025, 1, 1), 0, 2.0, 3)]
+    assert spark.read.parquet(path).inputFiles()[0].find("date=2025-01-01") > 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception, match=r"(?i)parquet|footer"):
+        incremental.upsert(rows, f"file://{tmp_path}/bad", ["date", "hour"])
+    assert (tmp_path / "bad" / "part-0.parquet").read_text() == "not a table"
+
+
+def test_area_under_the_curve(spark):
+    rows = [(s, y) for s, y in ((0.1, 0), (0.2, 1), (0.2, 0), (0.7, 1), (0.9, 1), (0.4, 0), (0.35, 1), (0.9, 0))]
+    pairs = [(p, q) for p, y in rows if y for q, z in rows if not z]
+    wanted = sum((p > q) + 0.5 * (p == q) for p, q in pairs) / len(pairs)
+    from gridlake.plans.forecast import rank_auc
+
+    table = at(spark, rows, "s double, y int")
+    for bands in (1, 3, 1000):
+        assert abs(rank_auc(table, "s", F.col("y") == 1, bands).collect()[0][0] - wanted) < 1e-12
+
+
+def test_events_are_scanned_once(spark, sf):
+    plan = registry.QUERIES["MA17_ml_features"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("events.parquet") <= 3
+
+
 def test_filled_rates(spark):
     quotes = at(spark, [(D(2025, 1, 3), 30.0)], "date date, usdtry double")
     days = at(spark, [(D(2025, 1, d),) for d in (2, 3, 5, 8, 9)], "date date")
@@ -139,6 +169,10 @@ def test_gaps_and_checks(spark):
     with pytest.raises(ValueError, match="gaps"):
         quality.stop_on_errors(results)
     assert quality.hourly_gaps(hours.where("false"), "2025-01-05").count() == 0
+    # A feed that stopped on 4 January lacks every hour of the days up to two before the end of the month.
+    assert quality.hourly_gaps(hours, "2025-01-31").count() == 24 * 24 + 2
+    assert quality.missing_days(hours, "2025-01-31").collect()[0][0] == 27
+    assert quality.missing_days(hours.where("false"), "2025-01-31").collect()[0][0] == 0
 
 
 def test_lags_never_see_their_own_row(spark):
