@@ -89,10 +89,10 @@ def _predictions(lake: Lake) -> DataFrame:
 def _created(lake: Lake) -> DataFrame:
     path, spark = folder(lake.silver.spark), lake.silver.spark
     schema = lake["smf"].schema
-    before = incremental.create_if_missing(spark, path, schema)
+    before = incremental.create_if_missing(spark, path, schema).count()
     incremental.upsert(lake["smf"], path, _key)
     after = incremental.create_if_missing(spark, path, schema)
-    return before.agg(F.count("*").alias("n_before")).crossJoin(after.agg(F.count("*").alias("n_after")))
+    return after.agg(F.lit(before).cast("long").alias("n_before"), F.count("*").alias("n_after"))
 
 
 def _results(lake: Lake) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import rounded
 from ..operators import incremental, keyed, normalize
 from ..sources import bronze
-from ..sources.bindings import Silver
+from ..sources.bindings import PLAN_FUELS, Silver
 from ..sources.shared import folder
 from . import marts
 from .oracles import AS_OF, twin
@@ -39,9 +39,25 @@ def _silver_job(source: str) -> Callable[[Lake], DataFrame]:
     return lambda lake: bronze.normalise(raw(lake, source), bronze.JOBS[source], run_date)
 
 
+#: Twins of jobs whose silver bindings have one row for each key; where a key has two rows of one instant, the greater
+#: hash over all columns as text decides, and engines write doubles differently.
+_at, _day = "strftime(date, '%Y-%m-%d %H:%M:%S')", "strftime(date, '%Y') AS year, strftime(date, '%m') AS month, strftime(date, '%d') AS day"
+_run_day = f"'{AS_OF[:4]}' AS year, '{AS_OF[5:7]}' AS month, '{AS_OF[8:]}' AS day"
+_clock = "lpad(hour::VARCHAR, 2, '0') || ':00'"
+_sbfgp = ", ".join([f"every * 1.05 AS toplam, {', '.join(f'band{i} * 1.05 AS ' + chr(34) + f + chr(34) for i, f in enumerate(PLAN_FUELS))}"])
+SILVER_TWINS: dict[str, tuple[str, ...]] = {
+    "interim_mcp": (f"SELECT t AS date, {_clock} AS hour, {_clock} AS time, coalesce(avg_view, avg_purchase, 50.0) * 1.01 AS \"marketTradePrice\", DATE '{AS_OF}' + 1 AS content_date, md5(strftime(t, '%Y-%m-%d %H:%M:%S') || '||' || {_clock}) AS _record_hash, {_run_day} FROM slv WHERE sum_click IS NOT NULL AND parity = 0", "date", "hour", "time", "content_date", "_record_hash", "year", "month", "day"),
+    "idm_transactions": (f"SELECT event_id AS id, date, event_type AS \"contractName\", value AS price, (1 + k % 10)::DOUBLE AS quantity, lpad(hour(date + INTERVAL 3 HOUR)::VARCHAR, 2, '0') || ':00' AS hour, md5({_at} || '||' || event_type || '||' || event_id) AS _record_hash, {_day} FROM (SELECT event_id, event_type, value, k, date_trunc('second', came) AS date FROM (SELECT *, ts AS came FROM ev UNION ALL SELECT *, ts + INTERVAL 1 HOUR FROM ev WHERE event_id % 10 = 0))", "id", "date", "\"contractName\"", "hour", "_record_hash", "year", "month", "day"),
+    "sbfgp": (f"SELECT date, hour, time, {_sbfgp}, md5({_at} || '||' || time) AS _record_hash, {_day} FROM (SELECT * EXCLUDE (date, hour), t AS date, {_clock} AS hour, {_clock} AS time FROM slv WHERE parity = 1)", "date", "hour", "time", "_record_hash", "year", "month", "day"),
+    "dams": (f"SELECT date, dam_id AS \"damId\", basin_name AS \"basinName\", dam_name AS \"damName\", active_volume AS \"activeVolume\", md5({_at} || '||' || dam_id) AS _record_hash, {_day} FROM (SELECT * REPLACE (date::TIMESTAMP AS date) FROM dams)", "date", "\"damId\"", "\"basinName\"", "\"damName\"", "_record_hash", "year", "month", "day"),
+    "weather": (f"SELECT date, city, temperature_2m, wind_speed_10m, shortwave_radiation, relative_humidity_2m, md5({_at} || '||' || city) AS _record_hash, {_day} FROM (SELECT date_trunc('hour', ts) AS date, 'city' || (user_id % 4) AS city, avg(value) AS temperature_2m, max(value) AS wind_speed_10m, sum(value) AS shortwave_radiation, min(value) AS relative_humidity_2m FROM ev GROUP BY 1, 2)", "date", "city", "_record_hash", "year", "month", "day"),
+    "fx_rates": (f"SELECT date, usdtry, is_ffilled, 'orders' AS source, md5(strftime(date, '%Y-%m-%d')) AS _record_hash, {_day} FROM fx_rates", "date", "is_ffilled", "source", "_record_hash", "year", "month", "day"),
+    "participants": (f"SELECT organization_id::BIGINT AS id, organization_name AS \"orgName\", organization_code AS \"orgCode\", eic_code AS \"eicCode\", legal_status AS \"legalStatus\", DATE '{AS_OF}' AS ds, md5(organization_id::BIGINT::VARCHAR) AS _record_hash, {_run_day} FROM participants",),
+}
+
 for number, name in enumerate(bronze.JOBS, 1):
     if hasattr(Silver, f"_{name}"):
-        _add(f"SI{number}_{name}", _silver_job(name))
+        _add(f"SI{number}_{name}", _silver_job(name), *SILVER_TWINS.get(name, ()))
 
 
 def _gen_forecast(lake: Lake) -> DataFrame:

@@ -194,7 +194,7 @@ def test_direction_labels(spark):
     assert [r[0] for r in rows.select(staging.normalised_direction(F.col("s"))).collect()] == ["ENERGY_DEFICIT", "IN_BALANCE", "else", None]
 
 
-SAMPLE = ["MA4_cross_market_spread", "MA15_imbalance_cost", "MA17_ml_features", "MA28_shift_optimizer", "MA30_smf_forward_features", "MA34_supply_shock_index", "ST1_pricing", "ST12_kgup_bulk_by_org", "ST25_outages_daily", "BI5_week_grid", "BI20_confusion", "DQ11_coverage", "IN1_upsert", "IN7_delete_matching", "IO7_touched_partitions", "NO16_national_weather", "NO17_filled_rates", "TS2_residual_sigma"]
+SAMPLE = ["MA4_cross_market_spread", "MA15_imbalance_cost", "MA17_ml_features", "MA28_shift_optimizer", "MA30_smf_forward_features", "MA34_supply_shock_index", "ST1_pricing", "ST12_kgup_bulk_by_org", "ST25_outages_daily", "BI5_week_grid", "BI20_confusion", "DQ11_coverage", "DQ6_hourly_gaps", "DQ13_missing_days", "DQ13_missing_days_of_a_dead_feed", "SI2_interim_mcp", "SI10_idm_transactions", "SI15_sbfgp", "SI25_dams", "SI26_weather", "SI27_fx_rates", "SI28_participants", "IN1_upsert", "IN7_delete_matching", "IO7_touched_partitions", "NO16_national_weather", "NO17_filled_rates", "TS2_residual_sigma"]
 
 
 @pytest.mark.parametrize("name", SAMPLE)
