@@ -2,11 +2,11 @@
 
 import duckdb
 import pytest
-from brute import jaccard_roots
+from brute import brute_matches, jaccard_roots
 
 import __spark_entry__
 import corpus_pipeline
-from gridlake.llm import queries, quality_rules, suffixes
+from gridlake.llm import queries, quality_rules
 from gridlake.llm.runtime import documents
 
 TABLES = "documents benchmark labels conversations"
@@ -25,7 +25,8 @@ def test_stages(spark, sf):
     kept = sorted((r["doc_id"], r["text"]) for r in good.select("doc_id", "text").collect())
     assert ids(single) == {kept[k][0] for k in jaccard_roots([t for _, t in kept])}
     clean = stages["benchmark_decontamination"](spark, single, sf)
-    assert ids(clean) == ids(suffixes.contamination_report(single, documents(spark, sf, "benchmark")).where("NOT contaminated"))
+    texts, items = ([tuple(r) for r in df.collect()] for df in (single.select("doc_id", "text"), documents(spark, sf, "benchmark").select("item_id", "text")))
+    assert ids(clean) == {r[0] for r in brute_matches(texts, items) if not r[-1]}
     safe = stages["secret_scan"](spark, clean, sf)
     assert ids(safe) == ids(clean) and all(df.columns == docs.columns for df in (good, single, clean, safe))
     assert stages["byte_bpe"](spark, safe, sf).count() == safe.count()
