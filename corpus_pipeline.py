@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages over ``documents``; each stage's table is written and read by the next one.
 
-SQL can't express the stages (fingerprint links, randomness tests, byte-pair merges), so ``ORACLE_SQL`` is None and
-tests hold the stages against brute force. Null and empty texts fail the quality rules; an empty table gives an empty one.
+SQL can't express the stages (fingerprint links, randomness tests, byte-pair merges), so ``ORACLE_SQL`` is None. Tests
+hold near-dedup and decontamination against brute force on what the stages before them kept; quality rules, secrets and
+byte pairs are held against plain versions as operators, and as stages by which documents stay. Null and empty texts fail the quality rules; an empty table gives an empty one.
 """
 
 from __future__ import annotations
