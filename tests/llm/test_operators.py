@@ -19,6 +19,7 @@ from brute import ODD, base, brute_matches, conversations, jaccard_roots
 from pyspark.sql import functions as F
 
 from gridlake.llm import attention_mil, bpe_tree, licences, near_copies, quality_rules, quote_links, secrets, sentence_spans, simhash, suffixes, token_shards
+from gridlake.llm.components import components
 from gridlake.llm.runtime import documents
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -442,6 +443,25 @@ def test_planes_count_wide_distances():
         assert found.tolist() == np.flatnonzero(wanted & (far <= radius)).tolist()
 
 
+def test_components(spark):
+    r = random.Random(5)
+    chain, thin, dense = [(i, i + 1) for i in range(300)], *([(r.randrange(n), r.randrange(n)) for _ in range(m)] for n, m in ((400, 260), (60, 40)))
+    for edges in ([], [(1, 1)], [(5, 1), (5, 2)], chain, thin, dense, [(7, i) for i in range(100)] + [(i, 500 + i) for i in range(100)]):
+        parent = {}
+
+        def top(x):
+            while parent.setdefault(x, x) != x:  # noqa: B023  called at once
+                x = parent[x]  # noqa: B023
+            return x
+
+        for a, b in edges:
+            if a != b:
+                a, b = top(a), top(b)
+                parent[max(a, b)] = min(a, b)
+        got = [tuple(x) for x in components(spark.createDataFrame(edges, "a long, b long")).select("node", "root").collect()]
+        assert sorted(got) == sorted((x, top(x)) for x in list(parent))
+
+
 @pytest.mark.parametrize("chunk", [2048, 7])
 def test_near_copies(spark, chunk, monkeypatch):
     rng = random.Random(4)
