@@ -106,9 +106,9 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
     return rows.mapInArrow(sketched, schema)
 
 
-def sets_of(docs: DataFrame, sketched: DataFrame, met: DataFrame, text_col: str, width: int, max_broadcast: int) -> DataFrame:
+def sets_of(docs: DataFrame, nodes: DataFrame, met: DataFrame, text_col: str, width: int, max_broadcast: int) -> DataFrame:
     """(node, hashes): the set of each node that is met, made from one text of it."""
-    wanted = written(sketched.join(met, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash")).select("text_hash").distinct(), "met-texts")
+    wanted = written(nodes.join(met, "node", "left_semi").select("text_hash").distinct(), "met-texts")
     side = F.broadcast(wanted) if wanted.count() <= max_broadcast else wanted
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text")).join(side, "text_hash", "left_semi").select("text")
@@ -272,14 +272,14 @@ def _dealt(rows: DataFrame, sets: DataFrame, keys: DataFrame, chunk: int) -> Dat
 
 def similar_links(docs: DataFrame, sketched: DataFrame, text_col: str, width: int, similarity: float, max_broadcast: int, chunk: int | None = None) -> DataFrame:
     """(node, root) of sets that links of at least ``similarity`` connect to others."""
-    nodes = sketched.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("print").alias("print"))
+    nodes = sketched.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("print").alias("print"), F.min("text_hash").alias("text_hash"))
     nodes = written(nodes, "nodes")
     rows = nodes.select("node", F.explode("keys").alias("key"))
     shared = written(rows.groupBy("key").count().where("count > 1").select("key"), "shared-keys")
     rows = written(rows.join(shared, "key", "left_semi"), "band-rows")
     met = written(rows.select("node").distinct(), "met")
     state = nodes.join(met, "node", "left_semi").select("node", "size", "print")
-    sets = sets_of(docs, sketched, met, text_col, width, max_broadcast)
+    sets = sets_of(docs, nodes, met, text_col, width, max_broadcast)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         some = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
