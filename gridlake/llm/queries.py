@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention_mil, bpe_tree, licences, quality_rules, quote_links, secrets, sentence_spans, simhash, suffixes, token_shards
+from . import attention_mil, bpe_tree, importance_resampling, language_id, licences, quality_rules, quote_links, secrets, sentence_spans, simhash, suffixes, token_shards, vector_codes
 from .oracles import ORACLE_SQL as ORACLE_SQL
 from .runtime import documents
 
@@ -63,6 +63,21 @@ def op7_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every vector, found by equal-average search."""
+    return vector_codes.compression_report(documents(spark, sf_dir, "embeddings"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every whole text against the benchmark's n-grams, and the rank of those drawn."""
+    return importance_resampling.resampling_report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text."""
+    return language_id.language_report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe_tree": op1_byte_bpe_tree,
     "op2_licence_digests": op2_licence_digests,
@@ -74,4 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_shards": op8_token_shards,
     "op9_attention_mil": op9_attention_mil,
     "op10_suffix_decontamination": op10_suffix_decontamination,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_language_id": op13_language_id,
 }
