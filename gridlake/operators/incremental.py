@@ -1,31 +1,21 @@
 """Incremental writes on day-partitioned Parquet tables, which have no MERGE.
 
-A write computes the new content of touched days alone, puts it in a staging folder and then replaces those partitions,
-so a plan never reads files that it overwrites, and days without news aren't read at all.
+A write computes the new content of touched days alone, stages it and then swaps those partitions by a journal
+(``operators.swap``), so a plan never reads files that it overwrites, and days without news aren't read at all.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import swap
 from .keyed import keep_one
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return False
-        raise
-    return True
+from .swap import exists, read
 
 
 def create_if_missing(spark: SparkSession, path: str, schema: T.StructType, partition: str = "date", name: str | None = None) -> DataFrame:
@@ -40,16 +30,8 @@ def create_if_missing(spark: SparkSession, path: str, schema: T.StructType, part
 
 
 def replace_partitions(df: DataFrame, path: str, partition: str = "date") -> None:
-    """Overwrite the partitions that ``df`` has rows for; others stay."""
-    staged = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
-    spark = df.sparkSession
-    try:
-        df.write.parquet(staged)
-        fresh = spark.read.schema(df.schema).parquet(staged)
-        fresh.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    finally:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(staged)
-        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    """Overwrite the partitions that ``df`` has rows for; others stay. A stop at any point leaves the old rows or the new ones."""
+    swap.replace(df, path, partition)
 
 
 def rebuild(df: DataFrame, path: str, partition: str | None = None) -> None:
@@ -68,18 +50,26 @@ def touched(target: DataFrame, news: DataFrame, partition: str = "date") -> Data
     return target.join(news.select(partition).distinct(), partition, "left_semi")
 
 
-def merged(target: DataFrame, news: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows after an upsert: news, and target rows whose key has none."""
-    return target.join(news, list(keys), "left_anti").unionByName(news)
+def merged(target: DataFrame, news: DataFrame, keys: Sequence[str], newest: str | None = None) -> DataFrame:
+    """Rows after an upsert: news, and target rows whose key has none. With ``newest``, the row with the greatest value there stays, news on ties."""
+    if newest is None:
+        return target.join(news, list(keys), "left_anti").unionByName(news)
+    both = target.withColumn("_new", F.lit(0)).unionByName(news.withColumn("_new", F.lit(1)))
+    return keep_one(both, keys, F.col(newest).desc_nulls_last(), F.col("_new").desc()).drop("_new")
 
 
-def upsert(news: DataFrame, path: str, keys: Sequence[str], partition: str = "date") -> None:
-    """Update or insert by key, one job for all rows; doing it twice changes nothing."""
+def upsert(news: DataFrame, path: str, keys: Sequence[str], partition: str = "date", newest: str | None = None) -> None:
+    """Update or insert by key, one job for all rows; doing it twice changes nothing.
+
+    ``newest`` names a column that tells later rows from earlier ones: a row never gives way to an earlier one, in whatever
+    order they come.
+    """
     spark = news.sparkSession
+    swap.recover(spark, path)
     if not exists(spark, path):
-        return replace_partitions(news, path, partition)
-    target = spark.read.parquet(path).select(news.columns)
-    return replace_partitions(merged(touched(target, news, partition), news, keys), path, partition)
+        return replace_partitions(news if newest is None else keep_one(news, keys, F.col(newest).desc_nulls_last()), path, partition)
+    target = read(spark, path).select(news.columns)
+    return replace_partitions(merged(touched(target, news, partition), news, keys, newest), path, partition)
 
 
 def insert_once(news: DataFrame, path: str, keys: Sequence[str], partition: str = "date", order: str | None = None) -> None:
@@ -88,9 +78,10 @@ def insert_once(news: DataFrame, path: str, keys: Sequence[str], partition: str
     Where the partition is part of the key, only the table's partitions in which news arrive are read.
     """
     spark = news.sparkSession
+    swap.recover(spark, path)
     first = keep_one(news, keys, *([F.col(order)] if order else []))
     if exists(spark, path):
-        held = spark.read.parquet(path).select(*{*keys, partition})
+        held = read(spark, path).select(*{*keys, partition})
         held = touched(held, news, partition) if partition in keys else held
         first = first.join(held.select(*keys), list(keys), "left_anti")
     first.write.mode("append").partitionBy(partition).parquet(path)
@@ -98,15 +89,13 @@ def insert_once(news: DataFrame, path: str, keys: Sequence[str], partition: str
 
 def delete_matching(path: str, done: DataFrame, keys: Sequence[str], partition: str = "date") -> None:
     """Delete rows whose key ``done`` has; a partition that would be empty is removed with its rows' last copy."""
-    spark = done.sparkSession
-    target = spark.read.parquet(path)
+    swap.recover(done.sparkSession, path)
+    target = read(done.sparkSession, path)
     hit = touched(target, target.join(done.select(*keys), list(keys), "left_semi"), partition)
     kept = hit.join(done.select(*keys), list(keys), "left_anti")
+    # One row for each day that is left without any.
     emptied = [r[0] for r in hit.select(partition).distinct().join(kept.select(partition).distinct(), partition, "left_anti").collect()]
-    replace_partitions(kept.select(target.columns), path, partition)
-    for day in emptied:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={day}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    swap.replace(kept.select(target.columns), path, partition, emptied)
 
 
 def window_input(table: DataFrame, since, rows_back_hours: int = 168, partition: str = "date") -> DataFrame:

@@ -6,6 +6,8 @@ trains on are out of fold: each block of time is scored by a model of the blocks
 
 from __future__ import annotations
 
+import math
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline
@@ -18,7 +20,9 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import BALANCED, DEFICIT, SURPLUS, ratio, recency_weight
 from ..operators.keyed import HOUR
-from . import marts
+from ..operators.ranking import running_total
+from ..sources.shared import written
+from . import boosting, marts, model_store
 from .staging import Lake
 
 C = F.col
@@ -125,15 +129,54 @@ def out_of_fold(rows: DataFrame, folds: int = 4) -> DataFrame:
     return reduce(DataFrame.unionByName, [score_direction(fit_direction(cut.where(C("fold") < k)), cut.where(C("fold") == k)) for k in range(2, folds + 1)])
 
 
-def fit_price(rows: DataFrame, rounds: int = 15, depth: int = 4, seed: int = 3):
+def fit_boosted(rows: DataFrame, validation_days: int | None = 7, **settings) -> boosting.Boosted:
+    """Softmax boosting over the three classes; the last days of ``rows`` only tell when to stop."""
+    known = weighted(rows.where(C("system_direction").isin(CLASSES)))
+    valid = None
+    if validation_days:
+        known, valid = with_validation(known, validation_days), C("is_validation")
+    return boosting.fit(known, DIRECTION_FEATURES, CLASSES, "system_direction", "weight", valid, **settings)
+
+
+def score_boosted(model: boosting.Boosted, rows: DataFrame) -> DataFrame:
+    return boosting.score(rows, model, PROBABILITIES, "predicted_direction")
+
+
+def with_validation(rows: DataFrame, days: int = 7) -> DataFrame:
+    """``is_validation``: the last days, which lie after all others."""
+    last = F.broadcast(rows.agg(F.date_sub(F.max("date"), days).alias("_cut")))
+    return rows.crossJoin(last).withColumn("is_validation", C("date") > C("_cut")).drop("_cut")
+
+
+def fit_price(rows: DataFrame, rounds: int = 15, depth: int = 4, seed: int = 3, validation_days: int | None = None, tolerance: float = 0.01):
+    """Boosted trees on features and class probabilities; with ``validation_days`` rounds end once those days' error no longer falls."""
     boost = GBTRegressor(featuresCol="features", labelCol="smf_try", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=PRICE_FEATURES, outputCol="features"), boost]).fit(weighted(rows))
+    known = weighted(rows)
+    if validation_days:
+        known = with_validation(known, validation_days)
+        boost = boost.setValidationIndicatorCol("is_validation").setValidationTol(tolerance)
+    return Pipeline(stages=[VectorAssembler(inputCols=PRICE_FEATURES, outputCol="features"), boost]).fit(known)
 
 
 def score_price(model, rows: DataFrame) -> DataFrame:
     return model.transform(rows).withColumnRenamed("prediction", "predicted_smf").drop("features")
 
 
+def early_stopping(rows: DataFrame, rounds: int = 40, validation_days: int = 7, tolerance: float = 0.01) -> DataFrame:
+    """The rounds that price boosting takes before its validation days stop it, with their mean squared error by round.
+
+    Class probabilities are out of fold, weights come from the rows alone, and the validation block lies after all that is fitted.
+    """
+    scored = written(out_of_fold(rows))
+    model = fit_price(scored, rounds, validation_days=validation_days, tolerance=tolerance)
+    held = model.stages[0].transform(with_validation(scored, validation_days).where("is_validation").withColumn("weight", F.lit(1.0)))
+    errors = model.stages[-1].evaluateEachIteration(held, "squared")
+    cut = with_validation(scored, validation_days)
+    span = cut.agg(F.max(F.when(~C("is_validation"), C("date"))).alias("fitted_until"), F.min(F.when(C("is_validation"), C("date"))).alias("validated_from"))
+    each = rows.sparkSession.createDataFrame([(i, float(e), len(errors), rounds) for i, e in enumerate(errors, 1)], "round int, validation_error double, rounds_used int, rounds_allowed int")
+    return each.crossJoin(F.broadcast(span))
+
+
 def two_stage(rows: DataFrame, days: int = 7) -> DataFrame:
     """Train both stages on all but the last days and score those."""
     past, held = time_holdout(rows, days)
@@ -142,14 +185,63 @@ def two_stage(rows: DataFrame, days: int = 7) -> DataFrame:
     return score_price(price, score_direction(fit_direction(past), held))
 
 
-def search(rows: DataFrame, grid: list[dict], folds: int = 3) -> DataFrame:
-    """Accuracy of each parameter set over expanding time folds, best first."""
-    cut = with_folds(rows, folds + 1)
-    out = []
-    for i, params in enumerate(grid):
-        scored = reduce(DataFrame.unionByName, [score_direction(fit_direction(cut.where(C("fold") < k), **params), cut.where(C("fold") == k)) for k in range(2, folds + 2)])
-        out.append(scored.agg(F.avg((C("predicted_direction") == C("system_direction")).cast("double")).alias("accuracy")).select(F.lit(i).alias("grid_row"), F.lit(str(sorted(params.items()))).alias("params"), "accuracy"))
-    return reduce(DataFrame.unionByName, out).orderBy(C("accuracy").desc(), "grid_row")
+def store_two_stage(rows: DataFrame, path: str, days: int = 7) -> list[model_store.Card]:
+    """Fit both stages on all but the last days and keep them; the direction is boosted, with early stopping."""
+    past = written(time_holdout(rows, days)[0])
+    direction = model_store.save(path, "direction", fit_boosted(past), DIRECTION_FEATURES, past)
+    return [direction, model_store.save(path, "price", fit_price(out_of_fold(past)), PRICE_FEATURES, past)]
+
+
+def score_stored(rows: DataFrame, path: str, direction_features: list[str] = DIRECTION_FEATURES, price_features: list[str] = PRICE_FEATURES) -> DataFrame:
+    """Both stages as they were kept: class probabilities, then the price. Nothing is fitted here."""
+    spark = rows.sparkSession
+    direction, card = model_store.load(spark, path, "direction", direction_features)
+    price, _ = model_store.load(spark, path, "price", price_features)
+    return score_price(price, score_boosted(direction, rows)).withColumn("model_version", F.lit(card.version))
+
+
+def _fold_accuracy(cut: DataFrame, fold: int, params: dict) -> float | None:
+    """Accuracy on one fold of a model of all folds before it."""
+    scored = score_direction(fit_direction(cut.where(C("fold") < fold), **params), cut.where(C("fold") == fold))
+    return scored.agg(F.avg((C("predicted_direction") == C("system_direction")).cast("double"))).first()[0]
+
+
+SEARCHED = "grid_row int, params string, folds int, fits int, accuracy double"
+
+
+def _fits(cut: DataFrame, grid: list[dict], pairs: list[tuple[int, int]], at_once: int) -> dict[tuple[int, int], float]:
+    """Accuracy of (set, fold) pairs, several fitted at a time: each fit is small, so the cluster is shared by them."""
+    with ThreadPoolExecutor(at_once) as pool:
+        found = pool.map(lambda pair: _fold_accuracy(cut, pair[1], grid[pair[0]]), pairs)
+        return {pair: value if value is not None else 0.0 for pair, value in zip(pairs, found, strict=True)}
+
+
+def search(rows: DataFrame, grid: list[dict], folds: int = 3, at_once: int = 4) -> DataFrame:
+    """Accuracy of each parameter set over expanding time folds, best first; every set is fitted on every fold."""
+    cut = written(with_folds(rows, folds + 1).where("fold IS NOT NULL"))
+    found = _fits(cut, grid, [(i, k) for i in range(len(grid)) for k in range(2, folds + 2)], at_once)
+    out = [(i, str(sorted(params.items())), folds, folds, sum(found[i, k] for k in range(2, folds + 2)) / folds) for i, params in enumerate(grid)]
+    return rows.sparkSession.createDataFrame(out, SEARCHED).orderBy(C("accuracy").desc(), "grid_row")
+
+
+def race(rows: DataFrame, grid: list[dict], folds: int = 3, keep: float = 0.5, at_once: int = 4) -> DataFrame:
+    """The search by successive halving: a rung fits the sets still in the race on one more fold and keeps the best share.
+
+    Sets that are out have the accuracy of the folds they saw; the last rung's come first. The folds are cut once and
+    written, a rung's fits run side by side. Ties go to the earlier set.
+    """
+    cut = written(with_folds(rows, folds + 1).where("fold IS NOT NULL"))
+    found: dict[tuple[int, int], float] = {}
+    racing, seen = list(range(len(grid))), dict.fromkeys(range(len(grid)), 0)
+    mean = lambda i: sum(found[i, k] for k in range(2, 2 + seen[i])) / max(1, seen[i])
+    # The last fold is the nearest in time to what will be forecast and the one with the longest past, so rungs end there.
+    for rung, fold in enumerate(range(2, folds + 2)):
+        found |= _fits(cut, grid, [(i, fold) for i in racing], at_once)
+        seen |= dict.fromkeys(racing, rung + 1)
+        if rung + 1 < folds:
+            racing = sorted(racing, key=lambda i: (-mean(i), i))[: max(1, math.ceil(len(racing) * keep))]
+    out = [(i, str(sorted(params.items())), seen[i], seen[i], mean(i)) for i, params in enumerate(grid)]
+    return rows.sparkSession.createDataFrame(out, SEARCHED).orderBy(C("folds").desc(), C("accuracy").desc(), "grid_row")
 
 
 def regression_metrics(scored: DataFrame, history: DataFrame) -> DataFrame:
@@ -173,16 +265,15 @@ def class_metrics(scored: DataFrame, actual: str = "system_direction", predicted
     return each.withColumn("f1", F.coalesce(ratio(2 * C("precision") * C("recall"), C("precision") + C("recall")), F.lit(0.0)))
 
 
-def rank_auc(scored: DataFrame, score: str, positive: Column, bands: int = 1000) -> DataFrame:
-    """Area under the curve by rank sums, ties at their mean rank: counts per distinct score, then running sums."""
+def rank_auc(scored: DataFrame, score: str, positive: Column) -> DataFrame:
+    """Area under the curve by rank sums, ties at their mean rank.
+
+    Distinct scores are counted first, then cut into ranges of equal size, however they lie: what stands before a range is
+    added to running sums inside it.
+    """
     by = scored.where(C(score).isNotNull()).groupBy(C(score).alias("s")).agg(F.count("*").alias("n"), F.count_if(positive).alias("p"))
-    # Scores in bands of equal width: one window runs inside each band, and one over the bands, of which there are few.
-    ends = by.agg(F.min("s").alias("_low"), F.max("s").alias("_high"))
-    banded = by.crossJoin(F.broadcast(ends)).withColumn("band", F.coalesce(F.floor(F.try_divide(C("s") - C("_low"), C("_high") - C("_low")) * bands), F.lit(0)))
-    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lower = banded.groupBy("band").agg(F.sum("n").alias("n")).select("band", earlier(Window.orderBy("band")).alias("lower"))
-    before = C("lower") + earlier(Window.partitionBy("band").orderBy("s"))
-    sums = banded.join(lower, "band").withColumn("rank", before + (C("n") + 1) / 2).agg(F.sum(C("rank") * C("p")).alias("r"), F.sum("p").alias("p"), (F.sum("n") - F.sum("p")).alias("q"))
+    before = running_total(written(by), [C("s")], "n")
+    sums = before.withColumn("rank", C("n_before") + (C("n") + 1) / 2).agg(F.sum(C("rank") * C("p")).alias("r"), F.sum("p").alias("p"), (F.sum("n") - F.sum("p")).alias("q"))
     return sums.select(ratio(C("r") - C("p") * (C("p") + 1) / 2, C("p") * C("q")).alias("auc"))
 
 

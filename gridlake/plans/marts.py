@@ -25,6 +25,8 @@ from ..functions.expressions import (
     zero,
 )
 from ..operators.keyed import HOUR, on_hour
+from ..sources.shared import written
+from .hourly import BUCKETS, at_once, bucketed, market_hours, trade_hours
 from .staging import Lake
 
 C = F.col
@@ -72,35 +74,41 @@ def company_production_activity(lake: Lake) -> DataFrame:
     return per.join(names, "org_id", "left").select("trade_date", "org_id", "organization_name", "active_uevcb_count", *sums)
 
 
-def intraday_hours(lake: Lake) -> DataFrame:
-    """Hourly figures of intraday trades."""
-    low, high = F.min("price_try"), F.max("price_try")
-    return lake["idm_transactions"].groupBy(*HOUR).agg(
-        weighted_price().alias("gip_vwap_try"), F.avg("price_try").alias("gip_avg_price_try"), F.sum("quantity_mwh").alias("gip_total_volume_mwh"), F.count("id").alias("gip_transaction_count"),
-        low.alias("gip_min_price_try"), high.alias("gip_max_price_try"), (high - low).alias("gip_price_range_try"),
-    )
+#: Staged hourly tables that the spread reads.
+SPREAD_TABLES = ["pricing", "smf", "system_direction", "imbalance", "order_up", "order_down"]
 
 
-def cross_market_spread(lake: Lake) -> DataFrame:
-    """Day-ahead, intraday and balancing prices side by side."""
-    regulation = on_hour(lake["order_up"].select(*HOUR, zero("up_regulation_delivered_mwh").alias("yal")), lake["order_down"].select(*HOUR, C("down_regulation_delivered_mwh").alias("yat")))
-    system = on_hour(lake["system_direction"], lake["imbalance"].select(*HOUR, "net_imbalance_mwh"))
-    wide = on_hour(prices(lake), intraday_hours(lake), lake["smf"], system, regulation)
-    ahead, intraday, balancing = C("ptf_try"), C("gip_vwap_try"), C("smf_try")
+def spread_of(hours: DataFrame, trades: DataFrame) -> DataFrame:
+    """The spread from tables side by side (see ``hourly.market_hours``) and hourly trades; both lie by (date, hour)."""
+    wide = hours.where("pricing IS NOT NULL").join(trades, HOUR, "left")
+    ahead, intraday, balancing, direction = C("pricing.ptf_try"), C("gip_vwap_try"), C("smf.smf_try"), C("system_direction.system_direction")
+    # Down regulation counts in hours that have up regulation, an imbalance in hours that have a direction.
+    has_up, has_direction = C("order_up").isNotNull(), C("system_direction").isNotNull()
+    yal, yat = F.when(has_up, zero("order_up.up_regulation_delivered_mwh")), F.when(has_up, C("order_down.down_regulation_delivered_mwh"))
+    net_imbalance = F.when(has_direction, C("imbalance.net_imbalance_mwh"))
     step, next_step = F.signum(intraday - ahead), F.signum(balancing - intraday)
     cascade = F.when((step > 0) & (next_step > 0), "ESCALATING").when((step < 0) & (next_step < 0), "DESCENDING").when((step > 0) & (next_step < 0), "GIP_PEAK").when((step < 0) & (next_step > 0), "GIP_TROUGH").otherwise("FLAT")
-    paid = ((C("system_direction") == DEFICIT) & (step > 0)) | ((C("system_direction") == SURPLUS) & (step < 0))
+    paid = ((direction == DEFICIT) & (step > 0)) | ((direction == SURPLUS) & (step < 0))
     gap = F.abs(intraday - ahead)
     return wide.select(
         *HOUR, ahead.alias("gop_ptf_try"), "gip_vwap_try", "gip_avg_price_try", balancing.alias("dgp_smf_try"),
         (intraday - ahead).alias("gip_gop_spread_try"), (balancing - ahead).alias("smf_gop_spread_try"), (balancing - intraday).alias("smf_gip_spread_try"),
         gap.alias("gip_gop_spread_abs"), (ratio(gap, ahead) * 100).alias("gip_gop_spread_pct"), cascade.alias("price_cascade"),
-        F.when(paid, ratio(gap, ahead)).otherwise(0.0).alias("arbitrage_opportunity_score"), "system_direction", zero("net_imbalance_mwh").alias("net_imbalance_mwh"),
-        zero("yal").alias("yal_delivered_mwh"), zero("yat").alias("yat_delivered_mwh"), F.when(C("yal").isNull(), 0.0).otherwise(C("yal") - zero("yat")).alias("net_dgp_mwh"),
+        F.when(paid, ratio(gap, ahead)).otherwise(0.0).alias("arbitrage_opportunity_score"), direction.alias("system_direction"), zero(net_imbalance).alias("net_imbalance_mwh"),
+        zero(yal).alias("yal_delivered_mwh"), zero(yat).alias("yat_delivered_mwh"), F.when(yal.isNull(), 0.0).otherwise(yal - zero(yat)).alias("net_dgp_mwh"),
         zero("gip_total_volume_mwh").alias("gip_total_volume_mwh"), F.coalesce("gip_transaction_count", F.lit(0)).alias("gip_transaction_count"), "gip_min_price_try", "gip_max_price_try", "gip_price_range_try",
     )
 
 
+def cross_market_spread(lake: Lake) -> DataFrame:
+    """Day-ahead, intraday and balancing prices side by side."""
+    return spread_of(market_hours(lake, *SPREAD_TABLES), trade_hours(lake))
+
+
+#: What the spread of the day before gives to feature tables, by its column there.
+YESTERDAY = {"gip_gop_spread_try": "gip_gop_spread_lag24", "arbitrage_opportunity_score": "arb_score_lag24", "yal_delivered_mwh": "yal_lag24", "yat_delivered_mwh": "yat_lag24", "net_dgp_mwh": "net_dgp_lag24"}
+
+
 def dgp_system_analysis(lake: Lake) -> DataFrame:
     """Up and down regulation of an hour; an hour that one side lacks counts as zero there."""
     def side(name: str, direction: str, short: str) -> DataFrame:
@@ -218,39 +226,52 @@ def supply_shock_index(lake: Lake, as_of) -> DataFrame:
     return outage_days(lake, as_of).join(capacity, "date", "left").withColumn("supply_shock_index", ratio("total_outage_mwh", "total_available_capacity_mwh"))
 
 
-def ml_features(lake: Lake, as_of, outages_by: str = "active") -> DataFrame:
-    """The feature table: hourly tables on their hour, daily tables on their day, yesterday's spreads on the same hour.
+def feature_hours(lake: Lake, as_of, outages_by: str = "active") -> DataFrame:
+    """The feature table with the system direction: hourly tables on their hour, daily tables on their day, yesterday's spreads on the same hour.
 
-    Outages count on every day that they are active, or on their first day with ``outages_by="start"``.
+    What is read twice (hours, trades) and what has a day's or an hour's grain (weather, outages, rates) is written first,
+    side by side; the plan that is left joins aligned files.
     """
-    made = lake["generation"].select(
-        *HOUR, zero("wind_generation_mwh").alias("wind_generation_mwh"), zero("solar_generation_mwh").alias("solar_generation_mwh"), total("dam_generation_mwh", "river_generation_mwh").alias("hydro_generation_mwh"),
-        zero("gas_generation_mwh").alias("gas_generation_mwh"), "total_generation_mwh",
-    ).withColumn("actual_renewable_mwh", C("wind_generation_mwh") + C("solar_generation_mwh") + C("hydro_generation_mwh")).withColumn("actual_renewable_ratio", ratio("actual_renewable_mwh", "total_generation_mwh"))
-    weather = lake["weather"].groupBy(*HOUR).agg(*[F.avg(c).alias(c) for c in ("temperature_celsius", "wind_speed_kmh", "shortwave_radiation", "relative_humidity")])
-    yesterday = cross_market_spread(lake).select(
-        F.date_add("date", 1).alias("date"), "hour", C("gip_gop_spread_try").alias("gip_gop_spread_lag24"), C("arbitrage_opportunity_score").alias("arb_score_lag24"),
-        C("yal_delivered_mwh").alias("yal_lag24"), C("yat_delivered_mwh").alias("yat_lag24"), C("net_dgp_mwh").alias("net_dgp_lag24"),
-    )
-    matched = lake["dam_clearing"].select(*HOUR, C("matched_bids_mwh").alias("gop_matched_bids_mwh"), C("matched_offers_mwh").alias("gop_matched_offers_mwh")).withColumn("gop_volume_imbalance_mwh", C("gop_matched_bids_mwh") - C("gop_matched_offers_mwh"))
-    trades = gip_company_activity(lake).groupBy(C("trade_date").alias("date")).agg(F.avg("avg_transaction_price_try").alias("avg_gip_price_try"), F.sum("total_volume_mwh").alias("total_gip_volume_mwh"))
-    lost = outage_days(lake, as_of) if outages_by == "active" else lake["outages"].groupBy("date").agg(F.sum("outage_capacity_mwh").alias("total_outage_mwh"))
-    wide = on_hour(
-        prices(lake), lake["smf"], lake["load_estimation"], lake["res_forecast"].select(*HOUR, "forecasted_res_mwh"), matched, lake["aic"].select(*HOUR, "total_aic_mwh"), made,
-        lake["imbalance"].select(*HOUR, "net_imbalance_mwh"), lake["load_vs_actual"].withColumnRenamed("actual_consumption", "actual_consumption_mwh"), weather, yesterday,
-    )
-    wide = wide.join(day_side(lost), "date", "left").join(day_side(trades), "date", "left").join(day_side(fx_features(lake)), "date", "left")
-    filled = ["gop_matched_bids_mwh", "gop_matched_offers_mwh", "gop_volume_imbalance_mwh", "total_outage_mwh", "actual_renewable_mwh", "actual_renewable_ratio", "wind_generation_mwh", "solar_generation_mwh", "hydro_generation_mwh", "gas_generation_mwh", "total_generation_mwh", "net_imbalance_mwh", "yal_lag24", "yat_lag24", "net_dgp_lag24", "usdtry"]
-    residual = C("forecasted_load_mwh") - C("forecasted_res_mwh")
+    def weather() -> DataFrame:
+        means = [F.avg(c).alias(c) for c in ("temperature_celsius", "wind_speed_kmh", "shortwave_radiation", "relative_humidity")]
+        return bucketed(lake["weather"].repartition(BUCKETS, *HOUR).groupBy(*HOUR).agg(*means))
+
+    def days() -> DataFrame:
+        lost = outage_days(lake, as_of) if outages_by == "active" else lake["outages"].groupBy("date").agg(F.sum("outage_capacity_mwh").alias("total_outage_mwh"))
+        return written(lost.join(fx_features(lake), "date", "full"))
+
+    tables = [*SPREAD_TABLES, "load_estimation", "res_forecast", "dam_clearing", "aic", "generation", "load_vs_actual"]
+    hours, trades, weathers, daily = at_once(lambda: bucketed(market_hours(lake, *tables)), lambda: bucketed(trade_hours(lake)), weather, days)
+    yesterday = spread_of(hours, trades).select(F.date_add("date", 1).alias("date"), "hour", *[C(c).alias(n) for c, n in YESTERDAY.items()])
+    traded = trades.groupBy("date").agg(ratio(F.sum("contract_means"), F.sum("contracts")).alias("avg_gip_price_try"), F.sum("gip_total_volume_mwh").alias("total_gip_volume_mwh"))
+    wide = hours.where("pricing IS NOT NULL").join(weathers, HOUR, "left").join(yesterday, HOUR, "left")
+    wide = wide.join(day_side(daily), "date", "left").join(day_side(traded), "date", "left")
+    made = {f: zero(f"generation.{f}_generation_mwh") for f in ("wind", "solar", "gas")}
+    hydro, every = total("generation.dam_generation_mwh", "generation.river_generation_mwh"), C("generation.total_generation_mwh")
+    green = made["wind"] + made["solar"] + hydro
+    there = C("generation").isNotNull()
+    bought, sold = C("dam_clearing.matched_bids_mwh"), C("dam_clearing.matched_offers_mwh")
+    load, told, ptf, smf, capacity = C("load_estimation.forecasted_load_mwh"), C("res_forecast.forecasted_res_mwh"), C("pricing.ptf_try"), C("smf.smf_try"), C("aic.total_aic_mwh")
+    used = C("load_vs_actual.actual_consumption")
+    filled = {
+        "gop_matched_bids_mwh": bought, "gop_matched_offers_mwh": sold, "gop_volume_imbalance_mwh": bought - sold, "total_outage_mwh": C("total_outage_mwh"), "actual_renewable_mwh": F.when(there, green), "actual_renewable_ratio": ratio(green, every),
+        "wind_generation_mwh": made["wind"], "solar_generation_mwh": made["solar"], "hydro_generation_mwh": hydro, "gas_generation_mwh": made["gas"], "total_generation_mwh": every, "net_imbalance_mwh": C("imbalance.net_imbalance_mwh"),
+        **{c: C(c) for c in ("yal_lag24", "yat_lag24", "net_dgp_lag24", "usdtry")},
+    }
     return wide.select(
-        *HOUR, "ptf_try", "smf_try", (C("smf_try") - C("ptf_try")).alias("ptf_smf_spread"), "forecasted_load_mwh", "forecasted_res_mwh", residual.alias("forecasted_residual_load_mwh"),
-        zero("total_aic_mwh").alias("total_aic_mwh"), ratio(residual, "total_aic_mwh").alias("capacity_utilization_ratio"), *[zero(c).alias(c) for c in filled], "avg_gip_price_try", "total_gip_volume_mwh",
-        (C("avg_gip_price_try") - C("ptf_try")).alias("gip_gop_price_spread"), "gip_gop_spread_lag24", "arb_score_lag24", "actual_consumption_mwh", (C("actual_consumption_mwh") - C("forecasted_load_mwh")).alias("consumption_error_mwh"),
+        *HOUR, ptf, smf, (smf - ptf).alias("ptf_smf_spread"), load, told, (load - told).alias("forecasted_residual_load_mwh"),
+        zero(capacity).alias("total_aic_mwh"), ratio(load - told, capacity).alias("capacity_utilization_ratio"), *[zero(c).alias(n) for n, c in filled.items()], "avg_gip_price_try", "total_gip_volume_mwh",
+        (C("avg_gip_price_try") - ptf).alias("gip_gop_price_spread"), "gip_gop_spread_lag24", "arb_score_lag24", used.alias("actual_consumption_mwh"), (used - load).alias("consumption_error_mwh"),
         "temperature_celsius", "wind_speed_kmh", "shortwave_radiation", "relative_humidity", F.dayofweek("date").alias("day_of_week"), F.month("date").alias("month"), F.year("date").alias("year"),
-        "usdtry_lag_1d", "usdtry_lag_7d", "usdtry_pct_change_1d",
+        "usdtry_lag_1d", "usdtry_lag_7d", "usdtry_pct_change_1d", C("system_direction.system_direction"),
     )
 
 
+def ml_features(lake: Lake, as_of, outages_by: str = "active") -> DataFrame:
+    """The feature table. Outages count on every day that they are active, or on their first day with ``outages_by="start"``."""
+    return feature_hours(lake, as_of, outages_by).drop("system_direction")
+
+
 def fx_features(lake: Lake) -> DataFrame:
     """Exchange rate and its value 1 and 7 quotes ago (rows, so a weekend is one step)."""
     quotes = Window.orderBy("date")
@@ -364,28 +385,33 @@ def smf_forecast_outlook(lake: Lake, predictions: DataFrame) -> DataFrame:
 
 def smf_forward_features(lake: Lake, as_of, decay_hours: float = 5.0) -> DataFrame:
     """Features of hours to come: what is known of them, and the last settled values fading into the weekly mean."""
+    tables = [*SPREAD_TABLES, "load_estimation", "res_forecast", "aic", "interim_mcp"]
+    hours, trades, lost = at_once(lambda: bucketed(market_hours(lake, *tables)), lambda: bucketed(trade_hours(lake)), lambda: written(outage_days(lake, as_of)))
     since = F.date_sub(F.lit(as_of).cast("date"), 14)
-    typical = lambda name, c: lake[name].where(C("date") >= since).groupBy("hour").agg(F.avg(c).alias(f"usual_{c}"))
-    smf = lake["smf"].where("smf_try IS NOT NULL")
-    shifted = lambda days: smf.select(F.date_add("date", days).alias("date"), "hour", C("smf_try").alias(f"smf_try_lag_{24 * days}h"))
+    load, told, capacity = C("load_estimation.forecasted_load_mwh"), C("res_forecast.forecasted_res_mwh"), C("aic.total_aic_mwh")
+    usual = hours.where(C("date") >= since).groupBy("hour").agg(F.avg(told).alias("usual_res"), F.avg(capacity).alias("usual_aic"))
+    smf = hours.where("smf.smf_try IS NOT NULL").select(*HOUR, "smf.smf_try")
     # The last 168 settled hours are one short top-k; the whole series is never sorted in one task.
     last = smf.orderBy(C("date").desc(), C("hour").desc()).limit(168)
     ranked = last.withColumn("n", F.row_number().over(Window.orderBy(C("date").desc(), C("hour").desc())))
     day = lambda f: f(F.when(C("n") <= 24, C("smf_try")))
     frozen = ranked.agg(F.max(F.when(C("n") == 1, instant_of())).alias("frozen_at"), F.max(F.when(C("n") == 1, C("smf_try"))).alias("now"), day(F.avg).alias("avg24"), day(F.max).alias("max24"), day(F.min).alias("min24"), F.avg("smf_try").alias("smf_rolling_avg_168h"))
-    label = lake["system_direction"].agg(F.max_by("system_direction", F.struct("date", "hour")).alias("system_direction_lag_5h"))
-    shock = supply_shock_index(lake, as_of).withColumn("supply_shock_trend_7d", F.avg("supply_shock_index").over(Window.orderBy("date").rowsBetween(-6, 0)))
-    yesterday = cross_market_spread(lake).select(F.date_add("date", 1).alias("date"), "hour", C("arbitrage_opportunity_score").alias("arb_score_lag24"), C("yal_delivered_mwh").alias("yal_lag24"), C("yat_delivered_mwh").alias("yat_lag24"), C("net_dgp_mwh").alias("net_dgp_lag24"))
-    wide = on_hour(lake["load_estimation"], lake["res_forecast"].select(*HOUR, "forecasted_res_mwh"), lake["aic"].select(*HOUR, "total_aic_mwh"), yesterday, ptf_realized(lake).select(*HOUR, "ptf_try"), shifted(1), shifted(7))
-    wide = wide.join(F.broadcast(typical("res_forecast", "forecasted_res_mwh")), "hour", "left").join(F.broadcast(typical("aic", "total_aic_mwh")), "hour", "left").join(day_side(shock.select("date", "supply_shock_index", "total_outage_mwh", "supply_shock_trend_7d")), "date", "left")
-    wide = wide.crossJoin(F.broadcast(frozen)).crossJoin(F.broadcast(label))
-    green = F.coalesce("forecasted_res_mwh", "usual_forecasted_res_mwh", F.lit(0.0))
+    label = hours.agg(F.max_by("system_direction.system_direction", F.when(C("system_direction").isNotNull(), F.struct("date", "hour"))).alias("system_direction_lag_5h"))
+    daily = lost.join(hours.where("aic IS NOT NULL").groupBy("date").agg(F.sum(capacity).alias("day_capacity")), "date", "left")
+    shock = daily.select("date", "total_outage_mwh", ratio("total_outage_mwh", "day_capacity").alias("supply_shock_index"))
+    shock = shock.withColumn("supply_shock_trend_7d", F.avg("supply_shock_index").over(Window.orderBy("date").rowsBetween(-6, 0)))
+    later = lambda df, days, *columns: df.select(F.date_add("date", days).alias("date"), "hour", *columns)
+    lag = lambda n: C("smf_try").alias(f"smf_try_lag_{n}h")
+    yesterday = later(spread_of(hours, trades), 1, *[C(c).alias(n) for c, n in YESTERDAY.items() if n != "gip_gop_spread_lag24"])
+    wide = on_hour(hours.where("load_estimation IS NOT NULL"), yesterday, later(smf, 1, lag(24)), later(smf, 7, lag(168)))
+    wide = wide.join(F.broadcast(usual), "hour", "left").join(day_side(shock), "date", "left").crossJoin(F.broadcast(frozen)).crossJoin(F.broadcast(label))
+    green, residual = F.coalesce(told, "usual_res", F.lit(0.0)), load - F.coalesce(told, "usual_res", F.lit(0.0))
     lead = F.greatest(F.lit(0), F.timestamp_diff("HOUR", C("frozen_at"), instant_of()))
     fade = lambda c: F.exp(-C("lead_hours") / decay_hours) * C(c) + (1 - F.exp(-C("lead_hours") / decay_hours)) * C("smf_rolling_avg_168h")
     return wide.withColumns({"lead_hours": lead, "datetime": instant_of()}).select(
-        *HOUR, "datetime", "lead_hours", "forecasted_load_mwh", green.alias("forecasted_res_mwh"), (C("forecasted_load_mwh") - green).alias("forecasted_residual_load_mwh"),
-        ratio(C("forecasted_load_mwh") - green, F.coalesce("total_aic_mwh", "usual_total_aic_mwh")).alias("capacity_utilization_ratio"), *[zero(c).alias(c) for c in ("supply_shock_index", "total_outage_mwh", "supply_shock_trend_7d", "arb_score_lag24", "yal_lag24", "yat_lag24", "net_dgp_lag24")],
-        "ptf_try", "smf_try_lag_24h", "smf_try_lag_168h", "system_direction_lag_5h", fade("now").alias("smf_try_lag_5h"), fade("avg24").alias("smf_rolling_avg_24h"), fade("max24").alias("smf_rolling_max_24h"), fade("min24").alias("smf_rolling_min_24h"), "smf_rolling_avg_168h",
+        *HOUR, "datetime", "lead_hours", load, green.alias("forecasted_res_mwh"), residual.alias("forecasted_residual_load_mwh"),
+        ratio(residual, F.coalesce(capacity, "usual_aic")).alias("capacity_utilization_ratio"), *[zero(c).alias(c) for c in ("supply_shock_index", "total_outage_mwh", "supply_shock_trend_7d", "arb_score_lag24", "yal_lag24", "yat_lag24", "net_dgp_lag24")],
+        F.coalesce("pricing.ptf_try", "interim_mcp.interim_ptf_try").alias("ptf_try"), "smf_try_lag_24h", "smf_try_lag_168h", "system_direction_lag_5h", fade("now").alias("smf_try_lag_5h"), fade("avg24").alias("smf_rolling_avg_24h"), fade("max24").alias("smf_rolling_max_24h"), fade("min24").alias("smf_rolling_min_24h"), "smf_rolling_avg_168h",
     )
 
 
@@ -401,7 +427,7 @@ def lag_features(hours: DataFrame, value: str = "smf_try", label: str = "system_
 
 def smf_lag_features(lake: Lake, as_of) -> DataFrame:
     """The national series: one row per hour of history, so one window (8,766 rows a year) is small however much is traded."""
-    return lag_features(on_hour(ml_features(lake, as_of), lake["system_direction"]).withColumn("datetime", instant_of()))
+    return lag_features(feature_hours(lake, as_of).withColumn("datetime", instant_of()))
 
 
 def supply_demand(lake: Lake) -> DataFrame:

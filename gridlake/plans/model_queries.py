@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,34 @@ def _rows(lake: Lake) -> DataFrame:
     return lake.silver.spark.read.parquet(path)
 
 
+def _boosted(rows: DataFrame, days: int = 7) -> DataFrame:
+    past, held = forecast.time_holdout(rows, days)
+    return forecast.score_boosted(forecast.fit_boosted(past), held)
+
+
+def _beats(rows: DataFrame, days: int = 7) -> DataFrame:
+    """Accuracy and macro F1 on the last days of boosting, the forest and yesterday's class."""
+    past, held = forecast.time_holdout(rows, days)
+    yesterday = rows.select(F.date_add("date", 1).alias("date"), "hour", F.col("system_direction").alias("predicted_direction"))
+    told = {"boosted": _boosted(rows, days), "forest": forecast.score_direction(forecast.fit_direction(past), held), "yesterday": held.join(yesterday, ["date", "hour"])}
+    one = lambda name, scored: scored.agg(F.avg((F.col("predicted_direction") == F.col("system_direction")).cast("double")).alias("accuracy")).crossJoin(forecast.class_metrics(scored).agg(F.avg("f1").alias("macro_f1"))).select(F.lit(name).alias("model"), "accuracy", "macro_f1")
+    return reduce(DataFrame.unionByName, [one(n, s) for n, s in told.items()])
+
+
+def _stored(lake: Lake) -> DataFrame:
+    """Both stages fitted and kept, loaded again and applied to the last days."""
+    rows, path = _rows(lake), folder(lake.silver.spark)
+    forecast.store_two_stage(rows, path)
+    return forecast.score_stored(forecast.time_holdout(rows, 7)[1], path)
+
+
+def _forward_stored(lake: Lake) -> DataFrame:
+    """Hours to come, scored by the models that are kept."""
+    path = folder(lake.silver.spark)
+    forecast.store_two_stage(_rows(lake), path)
+    return forecast.score_stored(forecast.forward_rows(lake, "2024-01-20"), path)
+
+
 def _scored(lake: Lake) -> DataFrame:
     return forecast.two_stage(_rows(lake))
 
@@ -55,8 +84,12 @@ _add("ML6_weights", lambda lake: forecast.weighted(lake["system_direction"]).sel
 _add("ML7_time_holdout", lambda lake: forecast.time_holdout(lake["smf"], 7)[1], "SELECT * FROM smf WHERE date > (SELECT max(date) - 7 FROM smf)", "date", "hour")
 _add("ML8_time_folds", lambda lake: forecast.with_folds(lake["smf"]).groupBy("fold").agg(F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("last")))
 _add("ML9_direction", lambda lake: (lambda rows: forecast.score_direction(forecast.fit_direction(forecast.time_holdout(rows, 7)[0]), forecast.time_holdout(rows, 7)[1]).select("date", "hour", "system_direction", "predicted_direction", *forecast.PROBABILITIES))(_rows(lake)))
+_add("ML9_boosted_direction", lambda lake: _boosted(_rows(lake)).select("date", "hour", "system_direction", "predicted_direction", *forecast.PROBABILITIES))
+_add("ML9_beats_naive", lambda lake: _beats(_rows(lake)))
 _add("ML10_out_of_fold", lambda lake: forecast.out_of_fold(_rows(lake)).select("date", "hour", "fold", *forecast.PROBABILITIES))
 _add("ML11_two_stage", lambda lake: _scored(lake).select("date", "hour", "smf_try", "predicted_smf", "predicted_direction"))
+_add("ML11_early_stopping", lambda lake: forecast.early_stopping(_rows(lake)))
+_add("ML12_race", lambda lake: forecast.race(_rows(lake), [{"trees": 3, "depth": 2}, {"trees": 5, "depth": 3}, {"trees": 10, "depth": 3}, {"trees": 10, "depth": 5}], folds=3))
 _add("ML12_search", lambda lake: forecast.search(_rows(lake), [{"trees": 5, "depth": 3}, {"trees": 10, "depth": 5}], folds=2))
 _add("ML13_regression_metrics", lambda lake: forecast.regression_metrics(_naive(lake), lake["smf"]), f"SELECT count(*) AS n, avg(abs(p - smf_try)) AS mae, avg(p - smf_try) AS bias, sqrt(avg((p - smf_try) ** 2)) AS rmse, avg(abs(p - smf_try) / nullif((abs(p) + abs(smf_try)) / 2, 0)) * 100 AS smape, avg(abs(smf_try - b)) AS naive_mae, avg(abs(p - smf_try)) FILTER (b IS NOT NULL) / nullif(avg(abs(smf_try - b)), 0) AS mase FROM {_seen} LEFT JOIN (SELECT date + 1 AS date, hour, smf_try AS b FROM smf) USING (date, hour)", "n")
 _add("ML14_class_metrics", lambda lake: forecast.class_metrics(_naive(lake)), f"SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * (tp / nullif(tp + fp, 0)) * (tp / nullif(tp + fn, 0)) / nullif(tp / nullif(tp + fp, 0) + tp / nullif(tp + fn, 0), 0), 0) AS f1 FROM ({_class})", "class", "tp", "fp", "fn", "tn")
@@ -80,6 +113,8 @@ def _backtest(lake: Lake) -> DataFrame:
 
 
 _add("ML18_backtest_scoring", _backtest)
+_add("ML18_stored_models", lambda lake: _stored(lake).select("date", "hour", "smf_try", "predicted_smf", "predicted_direction", "model_version"))
+_add("ML19_stored_forward", lambda lake: _forward_stored(lake).select("date", "hour", "lead_hours", "predicted_smf", "predicted_direction", *forecast.PROBABILITIES))
 _add("ML19_forward_rows", lambda lake: forecast.forward_rows(lake, "2024-01-20"))
 _add("ML20_horizon_snapshot", lambda lake: forecast.horizon_snapshot(forecast.forward_rows(lake, "2024-01-20")).select("date", "hour", "lead_hours"))
 _add("ML21_comparison", lambda lake: forecast.comparison(_rows(lake), {"small": {"trees": 5, "depth": 3}, "large": {"trees": 20, "depth": 5}}))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -87,16 +88,16 @@ MODELS: dict[str, Model] = {
 }
 
 
-def time_columns(model: Model) -> dict[str, Column]:
-    """date and hour of a silver row by the model's rule."""
+def time_columns(model: Model, at: Callable[[str], Column] = F.col) -> dict[str, Column]:
+    """date and hour of a silver row by the model's rule; ``at`` finds the silver columns."""
     if model.day == "none":
         return {}
     if model.day == "start":
-        return {"date": F.to_date("caseStartDate")}
+        return {"date": F.to_date(at("caseStartDate"))}
     if model.day == "day":
-        return {"date": local_date("date")}
-    date = F.to_date("date") if model.day == "utc" else local_date("date")
-    return {"date": date, "hour": text_hour(model.clock) if model.clock else local_hour("date")}
+        return {"date": local_date(at("date"))}
+    date = F.to_date(at("date")) if model.day == "utc" else local_date(at("date"))
+    return {"date": date, "hour": text_hour(at(model.clock)) if model.clock else local_hour(at("date"))}
 
 
 def normalised_direction(label: Column) -> Column:
@@ -106,12 +107,16 @@ def normalised_direction(label: Column) -> Column:
     return out.otherwise(label)
 
 
-def stage(model: Model, silver: DataFrame, since=None) -> DataFrame:
-    """Typed rows, one per key. ``since`` keeps rows from a date on (an incremental run)."""
-    times = time_columns(model)
-    typed = {new: F.col(old).try_cast(model.types.get(new, "double")) for new, old in model.columns.items()}
+def typed_columns(model: Model, at: Callable[[str], Column] = F.col) -> dict[str, Column]:
+    typed = {new: at(old).try_cast(model.types.get(new, "double")) for new, old in model.columns.items()}
     if "system_direction" in typed:
         typed["system_direction"] = normalised_direction(typed["system_direction"])
+    return typed
+
+
+def stage(model: Model, silver: DataFrame, since=None) -> DataFrame:
+    """Typed rows, one per key. ``since`` keeps rows from a date on (an incremental run)."""
+    times, typed = time_columns(model), typed_columns(model)
     # Rows that tie on the time are told apart by the record hash, so reruns keep the same one.
     order = [F.col("_latest").desc()] if model.latest else []
     hashed = "_record_hash" in silver.columns

@@ -6,6 +6,8 @@ staging has to settle. Company, reservoir and outage sources come from ``lineite
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,17 @@ def recent(c: str) -> Column:
     return F.col(c).cast("timestamp") + F.make_ym_interval(F.lit(YEARS_ON))
 
 
+@dataclass(frozen=True)
+class Hourly:
+    """A source that is a selection of the hourly sums: which of them, and its columns beside the time."""
+
+    condition: str
+    columns: tuple[Column, ...]
+
+    def all_columns(self) -> list[str | Column]:
+        return ["date", "hour", "time", *self.columns, "_record_hash"]
+
+
 class Silver:
     """Silver tables by name, each built when it is asked for."""
 
@@ -40,9 +53,15 @@ class Silver:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = getattr(self, f"_{name}")()
+            made = getattr(self, f"_{name}")()
+            self._built[name] = self.hours().where(made.condition).select(*made.all_columns()) if isinstance(made, Hourly) else made
         return self._built[name]
 
+    def side_by_side(self, names: list[str]) -> DataFrame:
+        """Hourly sources beside each other, one scan for all: a struct for each, null in rows that aren't its own."""
+        made = {n: getattr(self, f"_{n}")() for n in names}
+        return self._summed().select(*[F.when(F.expr(m.condition), F.struct(*m.all_columns())).alias(n) for n, m in made.items()])
+
     def events(self) -> DataFrame:
         return self.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", (F.col("value") * SCALE).alias("value"), F.get_json_object("props", "$.k").cast("int").alias("k"))
 
@@ -61,69 +80,69 @@ class Silver:
         clock = F.date_format(F.from_utc_timestamp("date", "Asia/Istanbul"), "HH:00")
         return grouped.withColumns({"hour": clock, "time": clock, "_record_hash": F.md5(F.concat_ws("|", F.unix_timestamp("date"), "parity"))})
 
-    def _hourly(self, condition: str, *columns) -> DataFrame:
-        return self.hours().where(condition).select("date", "hour", "time", *columns, "_record_hash")
+    def _hourly(self, condition: str, *columns: Column) -> Hourly:
+        return Hourly(condition, columns)
 
-    def _pricing(self) -> DataFrame:
+    def _pricing(self) -> Hourly:
         usd = F.when(F.hour("date") % 6 != 5, F.col("avg_view") / 32)
         return self._hourly("sum_view IS NOT NULL", F.col("avg_view").alias("price"), usd.alias("priceUsd"), (F.col("avg_view") / 35).alias("priceEur"))
 
-    def _interim_mcp(self) -> DataFrame:
+    def _interim_mcp(self) -> Hourly:
         return self._hourly("sum_click IS NOT NULL AND parity = 0", (F.coalesce("avg_view", "avg_purchase", F.lit(50.0)) * 1.01).alias("marketTradePrice"))
 
-    def _smf(self) -> DataFrame:
+    def _smf(self) -> Hourly:
         return self._hourly("sum_purchase IS NOT NULL", F.col("avg_purchase").alias("systemMarginalPrice"))
 
-    def _consumption(self) -> DataFrame:
+    def _consumption(self) -> Hourly:
         return self._hourly("true", (F.col("every") * 0.98).alias("consumption"))
 
-    def _load_estimation(self) -> DataFrame:
+    def _load_estimation(self) -> Hourly:
         return self._hourly("true", F.col("every").alias("lep"))
 
-    def _res_forecast(self) -> DataFrame:
+    def _res_forecast(self) -> Hourly:
         return self._hourly("sum_signup IS NOT NULL OR sum_click IS NOT NULL", F.col("sum_signup").alias("forecast"), F.col("sum_click").alias("generation"))
 
-    def _generation(self) -> DataFrame:
+    def _generation(self) -> Hourly:
         return self._hourly("true", F.col("every").alias("total"), *[F.col(f"band{i}").alias(f) for i, f in enumerate(GENERATION_FUELS)])
 
-    def _plan(self, condition: str, factor: float, fuels: list[str]) -> DataFrame:
+    def _plan(self, condition: str, factor: float, fuels: list[str]) -> Hourly:
         return self._hourly(condition, (F.col("every") * factor).alias("toplam"), *[(F.col(f"band{i}") * factor).alias(f) for i, f in enumerate(fuels)])
 
-    def _aic(self) -> DataFrame:
+    def _aic(self) -> Hourly:
         return self._plan("true", 2.0, PLAN_FUELS[:-1])
 
-    def _dpp(self) -> DataFrame:
+    def _dpp(self) -> Hourly:
         return self._plan("sum_view IS NOT NULL", 1.0, PLAN_FUELS)
 
-    def _sbfgp(self) -> DataFrame:
+    def _sbfgp(self) -> Hourly:
         return self._plan("parity = 1", 1.05, PLAN_FUELS)
 
-    def _unlicensed(self) -> DataFrame:
+    def _unlicensed(self) -> Hourly:
         return self._plan("sum_click IS NOT NULL", 0.1, UNLICENSED)
 
-    def _imbalance(self) -> DataFrame:
+    def _imbalance(self) -> Hourly:
         made, used = F.coalesce("sum_click", F.lit(0.0)) + F.coalesce("sum_signup", F.lit(0.0)), F.coalesce("sum_view", F.lit(0.0)) + F.coalesce("sum_purchase", F.lit(0.0))
         return self._hourly("true", made.alias("generationTotal"), used.alias("consumption"), F.round(made - used, 3).alias("imbalanceQuantity"))
 
-    def _system_direction(self) -> DataFrame:
+    def _system_direction(self) -> Hourly:
         net = F.round(F.coalesce("sum_click", F.lit(0.0)) + F.coalesce("sum_signup", F.lit(0.0)) - F.coalesce("sum_view", F.lit(0.0)) - F.coalesce("sum_purchase", F.lit(0.0)), 3)
         label = F.when(net < 0, "Enerji Açığı").when(net > 0, "Enerji Fazlası").otherwise("Dengede")
         return self._hourly("sum_view IS NOT NULL OR sum_click IS NOT NULL", label.alias("systemDirection"))
 
-    def _order(self, kind: str, side: str) -> DataFrame:
+    def _order(self, kind: str, side: str) -> Hourly:
         coded = [F.col(f"{kind}{i}").alias(f"{side}Regulation{n}Coded") for i, n in enumerate(("Zero", "One", "Two"))]
         return self._hourly(f"sum_{kind} IS NOT NULL", *coded, (F.col(f"sum_{kind}") * 0.8).alias(f"{side}RegulationDelivered"), (F.col(f"sum_{kind}") - F.col("every") * 0.1).alias("net"))
 
-    def _order_up(self) -> DataFrame:
+    def _order_up(self) -> Hourly:
         return self._order("error", "up")
 
-    def _order_down(self) -> DataFrame:
+    def _order_down(self) -> Hourly:
         return self._order("click", "down")
 
-    def _price_ind_bid(self) -> DataFrame:
+    def _price_ind_bid(self) -> Hourly:
         return self._hourly("sum_view IS NOT NULL", (F.col("sum_view") * 0.5).alias("bidVolume"))
 
-    def _dam_clearing(self) -> DataFrame:
+    def _dam_clearing(self) -> Hourly:
         return self._hourly("true", (F.coalesce("sum_view", F.lit(0.0)) + F.coalesce("sum_click", F.lit(0.0))).alias("matchedBids"), (F.coalesce("sum_purchase", F.lit(0.0)) + F.coalesce("sum_signup", F.lit(0.0))).alias("matchedOffers"))
 
     def _idm_transactions(self) -> DataFrame:

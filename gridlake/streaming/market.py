@@ -24,12 +24,12 @@ def hourly_vwap(trades: DataFrame, delay: str = "1 hour", instant: str = "ts") -
     return made.select(local_date("w.start").alias("date"), local_hour("w.start").alias("hour"), "gip_vwap_try", "gip_volume_mwh", "gip_transaction_count")
 
 
-def upsert_stream(corrections: DataFrame, path: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Late corrections go into the table by key; a batch that runs twice changes nothing."""
+def upsert_stream(corrections: DataFrame, path: str, keys: list[str], checkpoint: str, newest: str = "arrived") -> StreamingQuery:
+    """Late corrections go into the table by key; a batch that runs twice changes nothing, and one that comes late changes no newer row."""
 
     def write(batch: DataFrame, _: int) -> None:
-        newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in keys]), "arrived").alias("v"))
-        upsert(newest.select(*keys, "v.*"), path, keys)
+        latest = batch.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in keys]), newest).alias("v"))
+        upsert(latest.select(*keys, "v.*"), path, keys, newest=newest)
 
     return corrections.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -147,13 +147,16 @@ def test_area_under_the_curve(spark):
     from gridlake.plans.forecast import rank_auc
 
     table = at(spark, rows, "s double, y int")
-    for bands in (1, 3, 1000):
-        assert abs(rank_auc(table, "s", F.col("y") == 1, bands).collect()[0][0] - wanted) < 1e-12
+    assert abs(rank_auc(table, "s", F.col("y") == 1).collect()[0][0] - wanted) < 1e-12
 
 
-def test_events_are_scanned_once(spark, sf):
-    plan = registry.QUERIES["MA17_ml_features"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("events.parquet") <= 3
+def test_feature_plans_join_aligned_files(spark, sf):
+    """Every scan and exchange of the plan counts, whatever it reads."""
+    for name, scans, exchanges in (("MA17_ml_features", 8, 4), ("MA31_smf_lag_features", 8, 4), ("MA30_smf_forward_features", 10, 6), ("MA4_cross_market_spread", 4, 6)):
+        plan = registry.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        lines = plan.split("== Initial Plan ==")[0].splitlines()
+        assert sum("FileScan" in x for x in lines) <= scans, name
+        assert sum("Exchange" in x and "BroadcastExchange" not in x and "ReusedExchange" not in x for x in lines) <= exchanges, name
 
 
 def test_filled_rates(spark):
