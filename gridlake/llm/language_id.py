@@ -162,13 +162,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = known.where(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
     pairs = written(known.groupBy("lang", "h").agg(F.count("*").alias("n")), "label-hashes")
-    langs = [r["lang"] for r in pairs.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
+    counts = pairs.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
+    langs = [r["lang"] for r in counts]
     if len(langs) < 2:
         return langs[0] if langs else None
     per_lang = min(MAX_TEXTS, MAX_WINDOWS // CROPS // len(langs))
-    # At most MAX_WINDOWS / CROPS rows; each task keeps its per_lang least hashes of a label before they are dealt.
+    # Hashes are even, so twice the share that is wanted has the least ones, and few more rows are ranked than are taken.
+    below = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(2.0 * per_lang / r["texts"], 1.0) * 2.0**64 - 2.0**63)])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = pairs.where(F.col("lang").isin(langs)).select("lang", "h", place.alias("k")).where(F.col("k") <= per_lang).drop("k")
+    chosen = pairs.where(F.col("h") <= F.element_at(below, F.col("lang"))).select("lang", "h", place.alias("k")).where(F.col("k") <= per_lang).drop("k")
 
     def cropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
