@@ -7,13 +7,14 @@ tested without its dashes.
 
 The battery measures how far a candidate is from "characters are drawn evenly from that alphabet": chi-squared on the
 shares of lower case, upper case and digits and on pools of characters within each (letters stand in the order of their
-frequency in the corpus), runs tests on these classes and on vowels and consonants, and lag-1 serial correlation.
-Fisher's method combines the p-values to a distance, -log10 p.
+frequency in the corpus), runs tests on these classes and on vowels and consonants, lag-1 serial correlation, and how
+well neighbouring letters go together in the corpus (the log frequency of their pair, whose mean and variance under even
+draws are exact). Fisher's method combines the p-values to a distance, -log10 p.
 
 A secret is what is nearer to even than people write. The null hypothesis is therefore "written by people", and its
 distribution comes from the corpus: every document with enough words gives one name glued from consecutive words in one
 of ``STYLES`` styles, and the square root of the names' distance is fitted by encoding as a line over the square root of
-the length, with a normal spread. A candidate's p-value is the chance that a written name is as near to even; longer
+the length, with a normal spread (names from texts that are themselves secrets are clipped off). A candidate's p-value is the chance that a written name is as near to even; longer
 names are farther away, so that length decides how sure a find can be. A weighted Benjamini-Hochberg step over the
 distinct candidates of all documents, with weights in proportion to length (up to ``WEIGHED`` characters), makes those
 secrets of which at most ``FDR`` are expected to be written by people. Counts for it are aggregates and a histogram of
@@ -30,6 +31,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -71,9 +73,23 @@ ENCODINGS = [
 CLASSES = {"lower": set(LOWER), "upper": set(UPPER), "digit": set(DIGITS)}
 VOWELS = set("aeiouyAEIOUY")
 #: Names glued from a document's words: lengths and styles, of which each document has one.
-LENGTHS, STYLES = (20, 24, 28, 32, 40, 48, 64, 96), 7
+LENGTHS, STYLES = (20, 24, 28, 32, 40, 48, 64, 96), 8
 #: Line and spread of written names where the corpus has none, and how many names they count as.
 WRITTEN, WRITTEN_COUNT = (-0.6, 0.53, 0.5), 50
+#: Fits of the line, below which so many spreads names are left out of the next one, and how much wider than there names vary elsewhere.
+FITS, CLIP, WIDER = 3, 2.5, 1.25
+
+#: The number of a letter, in either case; 26 for other bytes.
+LETTER = np.array([LOWER.find(chr(b).lower()) if chr(b) in LOWER + UPPER else 26 for b in range(256)])
+
+
+@dataclass(frozen=True)
+class Usage:
+    """How the corpus uses letters: a to z in falling order of frequency, and how often one follows another (26 x 26)."""
+
+    letters: str = LOWER
+    pairs: tuple[int, ...] = (0,) * 676
+
 
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.IntegerType())])
 TESTED = [T.StructField("encoding", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("distance", T.DoubleType())]
@@ -134,11 +150,26 @@ def characters(encoding: int, letters: str) -> dict[str, np.ndarray]:
     return at | {f"{k} share": np.bincount(at[k][used], minlength=n) / len(alphabet) for k, n in sizes.items()}
 
 
-def battery(runs: list[str], encoding: int, letters: str = LOWER) -> np.ndarray:
-    """-log10 of the combined p-values of "evenly drawn from the alphabet"; ``letters`` in falling order of frequency."""
+@lru_cache(maxsize=64)
+def pair_scores(encoding: int, pairs: tuple[int, ...]) -> tuple[np.ndarray, float, float, float]:
+    """Log frequency of each pair of bytes that are letters (0 for others), with its mean, variance and the covariance of neighbours under even draws."""
+    alphabet = ENCODINGS[encoding][0]
+    code = LETTER[[ord(c) for c in alphabet]]
+    own = np.unique(code[code < 26])
+    counts = np.array(pairs, np.float64).reshape(26, 26)[np.ix_(own, own)]
+    score = np.zeros((27, 27))
+    score[np.ix_(own, own)] = np.log((counts + 1) * counts.size / (counts.sum() + counts.size))
+    drawn = score[np.ix_(code, code)]
+    mean = drawn.mean()
+    shared = (drawn.mean(axis=0) * drawn.mean(axis=1)).mean() - mean * mean
+    return score, float(mean), float(drawn.var()), float(shared)
+
+
+def battery(runs: list[str], encoding: int, usage: Usage = Usage()) -> np.ndarray:
+    """-log10 of the combined p-values of "evenly drawn from the alphabet"."""
     if not runs:
         return np.zeros(0)
-    of, rows = characters(encoding, letters), len(runs)
+    of, rows = characters(encoding, usage.letters), len(runs)
     n = np.array([len(x) for x in runs], np.float64)
     flat = np.frombuffer("".join(runs).encode(), np.uint8)
     row = np.repeat(np.arange(rows), n.astype(np.int64))
@@ -171,6 +202,11 @@ def battery(runs: list[str], encoding: int, letters: str = LOWER) -> np.ndarray:
     place = of["place"][flat] - (size - 1) / 2
     lagged = np.bincount(row[1:][inner], (place[1:] * place[:-1])[inner], minlength=rows) / ((size * size - 1) / 12)
     tests.append(2 * tails(np.abs(lagged) / np.sqrt(n - 1)))
+    score, mean, variance, shared = pair_scores(encoding, usage.pairs)
+    if variance > 1e-9:
+        letter = LETTER[flat]
+        together = np.bincount(row[1:][inner], score[letter[:-1], letter[1:]][inner], minlength=rows)
+        tests.append(tails((together - (n - 1) * mean) / np.sqrt((n - 1) * variance + 2 * (n - 2) * shared)))
     fisher = -2 * np.log(np.maximum(tests, 1e-300)).sum(axis=0)
     return -np.log10(np.maximum(chi2_tails(fisher, np.full(rows, 2 * len(tests))), 1e-300))
 
@@ -195,9 +231,12 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     """(start, end, what is tested, encoding) of runs that fit an encoding, can hold enough bits and touch no base span."""
     if b"x" * MIN_RUN not in text.encode("utf-8", "replace").translate(RUN_MAP):
         return []
-    out = []
+    # Base spans by their start, with the greatest end so far: runs come in order too, so both are walked through once.
+    out, k, reach = [], 0, 0
     for m in RUN.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, _, b in taken):
+        while k < len(taken) and taken[k][0] < m.end():
+            reach, k = max(reach, taken[k][2]), k + 1
+        if reach <= m.start():
             out += [x for x in pieces(m[0], m.start()) if len(x[2]) * math.log2(len(ENCODINGS[x[3]][0])) >= MIN_BITS]
     return out
 
@@ -219,29 +258,41 @@ def glued_name(text: str) -> str:
         name = "".join(f"{w.lower()}{i % 10}" for i, w in enumerate(words, 1))
     elif style == 4:
         name = "".join(words).upper()[: size - 2] + "1" + digit
+    elif style == 7:
+        # What a hexadecimal run has that is written and not drawn: letters as texts use them, and numbers that count on.
+        name = "".join(re.sub("[^a-f]", "", w.lower()) + str(i % 10) for i, w in enumerate(words, 1))
     else:
         name = ("_" if style == 5 else "/").join(w.capitalize() if i % 2 else w.lower() for i, w in enumerate(words))[: size - 1] + digit
     return name[:size] if len(name) >= size else ""
 
 
-def letter_order(docs: DataFrame, text_col: str) -> str:
-    """The letters a to z in falling order of their frequency in all texts."""
+def letter_usage(docs: DataFrame, text_col: str) -> Usage:
+    """Letters and pairs of letters in all texts; each task counts first, and 702 numbers reach the driver."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256, np.int64)
-        for part in slices(batches, text_col):
-            total += np.bincount(text_bytes(part.column(text_col).fill_null(""))[0], minlength=256)
-        yield pa.RecordBatch.from_pydict({c: [int(total[ord(c)] + total[ord(c.upper())])] for c in LOWER})
-
-    counts = docs.select(text_col).mapInArrow(counted, T.StructType([T.StructField(c, T.LongType()) for c in LOWER]))
-    row = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in LOWER]).collect()[0]
-    return "".join(sorted(LOWER, key=lambda c: (-row[c], c)))
+        total = np.zeros(27 * 27 + 27, np.int64)
+        for part in slices(batches, text_col, 1 << 20):
+            data, at = text_bytes(part.column(text_col).fill_null(""))
+            letter = LETTER[data]
+            follows = letter[:-1] * 27 + letter[1:]
+            # Where one text ends and the next begins nothing follows; 728 is a pair of no letters.
+            ends = at[1:-1]
+            follows[ends[(ends > 0) & (ends < len(data))] - 1] = 728
+            total += np.bincount(follows, minlength=len(total)) + np.bincount(letter + 729, minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["at", "n"])
+
+    counts = np.zeros(27 * 27 + 27, np.int64)
+    for at, n in docs.select(text_col).mapInArrow(counted, "at long, n long").groupBy("at").agg(F.sum("n")).collect():
+        counts[at] = n
+    alone = counts[729:]
+    letters = "".join(sorted(LOWER, key=lambda c: (-alone[ord(c) - 97], c)))
+    return Usage(letters, tuple(counts[:729].reshape(27, 27)[:26, :26].ravel().tolist()))
 
 
 def _tested(docs: DataFrame, text_col: str, keep: list[str], names: list[str]) -> DataFrame:
     """The columns to keep, base spans, candidates and glued names under ``names``, written so that the scan runs once."""
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(names[0], T.ArrayType(SPAN)), T.StructField(names[1], T.ArrayType(CANDIDATE)), T.StructField(names[2], T.ArrayType(T.StructType(TESTED)))])
-    letters = letter_order(docs, text_col)
+    usage = letter_usage(docs, text_col)
 
     def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = pa.list_(pa.struct([(f, pa.int32()) for f in ("start", "kind", "end")]))
@@ -260,7 +311,7 @@ def _tested(docs: DataFrame, text_col: str, keep: list[str], names: list[str]) -
                 for x in more[-1] + drawn[-1]:
                     by_encoding.setdefault(x["encoding"], []).append(x)
             for e, some in by_encoding.items():
-                for x, distance in zip(some, battery([x.pop("run") for x in some], e, letters).tolist(), strict=True):
+                for x, distance in zip(some, battery([x.pop("run") for x in some], e, usage).tolist(), strict=True):
                     x["distance"] = distance
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(base, spans), pa.array(more, found), pa.array(drawn, pa.list_(pa.struct(measured)))], schema.names)
 
@@ -279,18 +330,39 @@ def line_of(n: float, x: float, y: float, xx: float, xy: float, yy: float, befor
 
 
 def written_names(drawn: DataFrame) -> list[tuple[float, float, float]]:
-    """For each encoding the line of the square root of the distance of written names over the square root of their length, and its spread."""
+    """For each encoding the line of the square root of the distance of written names over the square root of their length, and its spread.
+
+    Names glued from a document that is all secrets are no written names: those more than ``CLIP`` spreads below the line
+    are left out of the next fit. What is left is one corpus' way to write, so spreads are ``WIDER`` for other ways.
+    """
     x, y = F.sqrt("size"), F.sqrt("distance")
-    rows = drawn.groupBy("encoding").agg(*[F.sum(c).alias(k) for k, c in (("n", F.lit(1.0)), ("x", x), ("y", y), ("xx", x * x), ("xy", x * y), ("yy", y * y))]).collect()
-    sums = {r["encoding"]: tuple(r)[1:] for r in rows}
-    every = [sum(s[i] for s in sums.values()) for i in range(6)]
-    pooled = line_of(*every, WRITTEN, WRITTEN_COUNT)
-    return [line_of(*sums.get(e, (0.0,) * 6), pooled, WRITTEN_COUNT) for e in range(len(ENCODINGS))]
+    lines: list[tuple[float, float, float]] = []
+    for _ in range(FITS):
+        near = F.lit(True)
+        if lines:
+            start, slope, spread = _of_encoding(lines, F.col("encoding"))
+            near = y >= start + slope * x - CLIP * spread
+        rows = drawn.where(near).groupBy("encoding").agg(*[F.sum(c).alias(k) for k, c in (("n", F.lit(1.0)), ("x", x), ("y", y), ("xx", x * x), ("xy", x * y), ("yy", y * y))]).collect()
+        sums = {r["encoding"]: tuple(r)[1:] for r in rows}
+        # An encoding in which no names are written has the mean line, and also varies as lines vary.
+        own = [(s[0], line_of(*s, WRITTEN, 0.0)) for s in sums.values() if s[0] >= WRITTEN_COUNT]
+        usual = WRITTEN
+        if own:
+            mean = lambda of: sum(n * of(line) for n, line in own) / sum(n for n, _ in own)
+            start, slope = mean(lambda line: line[0]), mean(lambda line: line[1])
+            apart = lambda line: (line[0] - start + (line[1] - slope) * 6.0) ** 2
+            usual = (start, slope, math.sqrt(mean(lambda line: line[2] ** 2 + apart(line))))
+        lines = [line_of(*sums.get(e, (0.0,) * 6), usual, WRITTEN_COUNT) for e in range(len(ENCODINGS))]
+    return [(start, slope, spread * WIDER) for start, slope, spread in lines]
+
+
+def _of_encoding(lines: list[tuple[float, float, float]], encoding: Column) -> list[Column]:
+    return [F.get(F.array(*[F.lit(line[i]) for line in lines]), encoding) for i in range(3)]
 
 
 def log_p(encoding: Column, size: Column, distance: Column, lines: list[tuple[float, float, float]]) -> Column:
     """log10 of (a bound from above of) the chance that a written name is as near to even (Sampford's bound of the normal tail)."""
-    start, slope, spread = (F.get(F.array(*[F.lit(line[i]) for line in lines]), encoding) for i in range(3))
+    start, slope, spread = _of_encoding(lines, encoding)
     t = (start + slope * F.sqrt(size) - F.sqrt(distance)) / spread
     return F.when(t > 0, F.least(F.lit(0.0), F.log10(F.lit(4 / math.sqrt(2 * math.pi))) - t * t / (2 * math.log(10)) - F.log10(3 * t + F.sqrt(t * t + 8)))).otherwise(F.lit(0.0))
 
@@ -345,23 +417,24 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def without(text: str, spans: list[tuple[int, int]], tag: str) -> str:
+    """The text with ``tag`` in place of spans (by start); those that overlap become one tag."""
+    out, at = [], 0
+    for start, end in spans:
+        if end > at:
+            out += [text[at:start], tag] if start >= at else []
+            at = end
+    return "".join([*out, text[at:]])
+
+
 def redacted(docs: DataFrame, text_col: str = "text", tag: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
     """The documents with ``tag`` in place of each secret; overlapping spans become one tag."""
     found = with_spans(docs, text_col, fdr)
-    spans, text = F.col(found.columns[-1]), F.col(text_col)
-    cut = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(
-            F.struct(
-                F.concat(
-                    acc["out"],
-                    F.substr(text, acc["at"] + 1, F.greatest(F.lit(0), s["start"] - acc["at"])),
-                    F.when(s["start"] < acc["at"], F.lit("")).otherwise(F.lit(tag)),
-                ).alias("out"),
-                s["end"].alias("at"),
-            )
-        ),
-        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.lit(2_000_000_000))),
-    )
-    return found.select(*[F.when(F.size(spans) > 0, cut).otherwise(text).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    spans = found.columns[-1]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            texts = [t if not own else without(t, [(s["start"], s["end"]) for s in own], tag) for t, own in zip(part.column(text_col).to_pylist(), part.column(spans).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text_col else part.column(c) for c in docs.columns], docs.columns)
+
+    return found.select(*docs.columns, spans).mapInArrow(cut, docs.schema)

@@ -127,7 +127,7 @@ def conversations(rows, least_line=12):
     return [(c, t, r, _own(x), reply.get((c, t)), place.get((c, t)), len(quotes[c, t, r, x]), sum(o is not None for _, o in quotes[c, t, r, x]), max((n for n, _ in quotes[c, t, r, x]), default=0)) for c, t, r, x in rows]
 
 
-def battery(run, alphabet, letters):
+def battery(run, alphabet, letters, pairs=None):
     """-log10 of the combined p-values of "drawn evenly from the alphabet", character by character."""
     tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
     chi2 = lambda x, df: tail(((x / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
@@ -157,6 +157,18 @@ def battery(run, alphabet, letters):
             tests.append(2 * tail(abs(same - (n - 1) * a) / math.sqrt((n - 1) * a * (1 - a) + 2 * (n - 2) * (b - a**2))))
     at = [alphabet.index(c) - (k - 1) / 2 for c in run]
     tests.append(2 * tail(abs(sum(x * y for x, y in zip(at, at[1:]))) * 12 / (k * k - 1) / math.sqrt(n - 1)))  # noqa: B905
+    if pairs:
+        own = sorted({c.lower() for c in alphabet if c.isalpha()})
+        total = sum(pairs.get(a + b, 0) for a in own for b in own)
+        score = lambda a, b: math.log((pairs.get((a + b).lower(), 0) + 1) * len(own) ** 2 / (total + len(own) ** 2)) if a.isalpha() and b.isalpha() else 0.0
+        every = [score(a, b) for a in alphabet for b in alphabet]
+        mean = sum(every) / k**2
+        shared = sum(score(a, b) * score(b, c) for a in alphabet for b in alphabet for c in alphabet) / k**3 - mean**2 if k < 40 else None
+        if shared is None:  # the middle character splits the sum
+            shared = sum(sum(score(a, b) for a in alphabet) * sum(score(b, c) for c in alphabet) for b in alphabet) / k**3 - mean**2
+        variance = sum(x * x for x in every) / k**2 - mean**2
+        together = sum(score(a, b) for a, b in zip(run, run[1:]))  # noqa: B905
+        tests.append(tail((together - (n - 1) * mean) / math.sqrt((n - 1) * variance + 2 * (n - 2) * shared)))
     return -math.log10(max(1e-300, chi2(-2 * sum(math.log(max(t, 1e-300)) for t in tests), 2 * len(tests))))
 
 
