@@ -430,11 +430,11 @@ def without(text: str, spans: list[tuple[int, int]], tag: str) -> str:
 def redacted(docs: DataFrame, text_col: str = "text", tag: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
     """The documents with ``tag`` in place of each secret; overlapping spans become one tag."""
     found = with_spans(docs, text_col, fdr)
-    spans = found.columns[-1]
+    columns, spans = docs.columns, found.columns[-1]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text_col):
             texts = [t if not own else without(t, [(s["start"], s["end"]) for s in own], tag) for t, own in zip(part.column(text_col).to_pylist(), part.column(spans).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text_col else part.column(c) for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text_col else part.column(c) for c in columns], columns)
 
-    return found.select(*docs.columns, spans).mapInArrow(cut, docs.schema)
+    return found.select(*columns, spans).mapInArrow(cut, docs.schema)
