@@ -10,8 +10,8 @@ the radius with probability 3e-7.
 A group of n near copies isn't compared pair by pair. Each bucket draws ``CENTRES`` members, each other member takes the
 first centre that is close, else one within the radius, and one pair is checked; this goes on with new centres for
 nodes that aren't linked yet while it halves what is left. Then only buckets of several components are left. Their
-members meet with their sets, in chunks, so that no task holds more than two chunks of a bucket: pairs of different
-components within the radius are checked in place and only links leave the task, so no pair is ever written or moved.
+members meet with their sets, in chunks of at most ``CHUNK`` rows and about ``CHUNK_HASHES`` shingles, so that a task holds no
+more than two chunks of a bucket, however long texts are: pairs of different components within the radius are checked in place and only links leave the task, so no pair is ever written or moved.
 A large group of texts that are all just under 0.8 from each other, and only such a group, still costs comparisons in
 the square of its size.
 
@@ -40,7 +40,9 @@ BANDS, ROWS = 32, 5
 BITS, CLOSE = 256, 39
 #: Distances that pairs of 0.8 stay within: of sets of up to SMALL shingles, and of larger ones.
 SMALL, SMALL_RADIUS, RADIUS = 5, 80, 71
-CENTRES, CHUNK, BLOCK_ROWS = 4, 2048, 1 << 15
+CENTRES, CHUNK, CHUNK_HASHES = 4, 2048, 1 << 21
+#: Bytes of rows that a task compares at once (beside the rest of a bucket), and of the table of common shingles of a turn.
+BLOCK_BYTES, DENSE_BYTES = 64 << 20, 64 << 20
 #: The kept and dropped keys are broadcast up to this many rows (two numbers each), else joined by a shuffle.
 MAX_BROADCAST = 1_000_000
 _random = np.random.default_rng(SEED)
@@ -163,13 +165,16 @@ def _near_centres(similarity: float):
     return near
 
 
-def shared_bits(sets: list[np.ndarray]) -> np.ndarray:
-    """Of each set a row of bits: the members that two sets or more have, so that counts of common bits are sizes of intersections."""
+def shared_bits(sets: list[np.ndarray], most: int = DENSE_BYTES) -> np.ndarray | None:
+    """Of each set a row of bits: the members that two sets or more have, so that counts of common bits are sizes of intersections; None if that takes over ``most`` bytes."""
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     values, column, many = np.unique(flat, return_inverse=True, return_counts=True)
     places = np.cumsum(many > 1) - 1
     row, common = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), many[column] > 1
-    bits = np.zeros((len(sets), -(-int((many > 1).sum()) // 64) or 1), np.uint64)
+    wide = -(-int((many > 1).sum()) // 64) or 1
+    if 8 * wide * len(sets) > most:
+        return None
+    bits = np.zeros((len(sets), wide), np.uint64)
     at = places[column[common]]
     np.bitwise_or.at(bits, (row[common], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
     return bits
@@ -190,13 +195,22 @@ def _near_pairs(similarity: float):
         sizes = np.bincount(group)
         left, rows, d, planes = np.repeat(sizes, sizes), np.arange(len(group)), 1, planes_of(prints)
         linked: list[np.ndarray] = []
+        _, offsets, data = sets.buffers()
+        ends, members = np.frombuffer(offsets, np.int32 if pa.types.is_binary(sets.type) else np.int64)[sets.offset :], np.frombuffer(data or b"", np.uint8)
+
+        def set_at(k: int) -> np.ndarray:
+            return members[ends[k] : ends[k + 1]].view(np.uint64)
 
         def similar(i: np.ndarray, j: np.ndarray) -> np.ndarray:
             out = np.zeros(len(i), bool)
             for g in np.unique(group[i]).tolist():
                 start, some = begins[g], np.flatnonzero(group[i] == g)
                 if g not in bits:
-                    bits[g] = shared_bits([np.frombuffer(x, np.uint64) for x in sets.slice(start, sizes[g]).to_pylist()])
+                    bits[g] = shared_bits([set_at(k) for k in range(start, start + sizes[g])])
+                if bits[g] is None:
+                    shared = np.array([len(np.intersect1d(set_at(x), set_at(y), assume_unique=True)) for x, y in zip(i[some].tolist(), j[some].tolist(), strict=True)])
+                    out[some] = shared >= similarity * (size[i[some]] + size[j[some]] - shared) - 1e-9
+                    continue
                 for few in np.array_split(some, -(-len(some) * bits[g].shape[1] // (1 << 20))):
                     a, b = i[few], j[few]
                     shared = np.bitwise_count(bits[g][a - start] & bits[g][b - start]).sum(axis=1, dtype=np.int64)
@@ -229,15 +243,18 @@ def _near_pairs(similarity: float):
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for batch in batches:
-            new = pa.Table.from_batches([batch])
-            held = new if held is None else pa.concat_tables([held, new])
-            if held.num_rows >= BLOCK_ROWS:
-                keys = np.column_stack([held.column(c).to_numpy() for c in ("key", "chunk", "other")])
-                before = np.flatnonzero((keys != keys[-1]).any(axis=1))
-                if len(before):
-                    yield from pairs(held.slice(0, int(before[-1]) + 1))
-                    held = held.slice(int(before[-1]) + 1)
+        for whole in batches:
+            for batch in slices([whole], "hashes", BLOCK_BYTES):
+                # A slice still points to all of its batch; only rows that wait for more are copied.
+                new = pa.Table.from_batches([batch])
+                held = new if held is None else pa.concat_tables([held, new])
+                if held.nbytes >= BLOCK_BYTES:
+                    keys = np.column_stack([held.column(c).to_numpy() for c in ("key", "chunk", "other")])
+                    before = np.flatnonzero((keys != keys[-1]).any(axis=1))
+                    if len(before):
+                        yield from pairs(held.slice(0, int(before[-1]) + 1))
+                        held = held.slice(int(before[-1]) + 1)
+            held = held.combine_chunks() if held is not None else None
         if held is not None and held.num_rows:
             yield from pairs(held)
 
@@ -261,8 +278,8 @@ def _similar(similarity: float):
 
 
 def _dealt(rows: DataFrame, sets: DataFrame, keys: DataFrame, chunk: int) -> DataFrame:
-    """Rows of open buckets with the turn (chunk, other) that they take part in; a bucket of over ``chunk`` rows gives a turn to each pair of chunks."""
-    parts = F.ceil(F.col("n") / chunk).cast("int")
+    """Rows of open buckets with the turn (chunk, other) that they take part in; a bucket of over ``chunk`` rows, or of very long texts, gives a turn to each pair of chunks."""
+    parts = F.greatest(F.ceil(F.col("n") / chunk), F.ceil(F.col("hashes_in") / CHUNK_HASHES)).cast("int")
     placed = rows.join(keys.select("key", parts.alias("parts")), "key").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     turns = placed.select("key", F.least("own", "with").alias("chunk"), F.greatest("own", "with").alias("other"), "own", "node", "mark", "size", "print", "hashes")
@@ -291,7 +308,8 @@ def similar_links(docs: DataFrame, sketched: DataFrame, text_col: str, width: in
         known = state.withColumn("root", F.col("node")) if found is None else state.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
         now = rows.join(known.withColumn("mark", F.xxhash64("root")).drop("root"), "node")
         now = written(now, "rooted-rows")
-        each = now.groupBy("key", "mark").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+        each = now.groupBy("key", "mark").agg(F.count("*").alias("n"), F.sum("size").alias("hashes_in"))
+        each = each.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.sum("hashes_in").alias("hashes_in"))
         open_keys = written(each.where("n * n > own"), "open-keys")
         open_pairs = open_keys.agg(F.sum((F.col("n") * F.col("n") - F.col("own")).cast("double")), F.sum("n")).collect()[0]
         if open_pairs[0] is None:

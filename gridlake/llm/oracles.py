@@ -98,4 +98,29 @@ SELECT doc_id, whole_licence, coalesce(licences, '') AS licences, coalesce(n_mat
 FROM docs LEFT JOIN per USING (r)
 """
 
-ORACLE_SQL = {"op2_licence_digests": OP2, "op7_quality_cascade": OP7, "op10_suffix_decontamination": OP10}
+def _round(i: int) -> str:
+    """All distances of a round, and the entries after it."""
+    return f"""
+a{i} AS (SELECT r, p, min(d * 64 + k) AS best FROM (
+  SELECT r, q.p, k, list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM parts q JOIN b{i} ON q.p = b{i}.p) GROUP BY r, p),
+m{i} AS (SELECT p, k, list(m ORDER BY j) AS e FROM (
+  SELECT q.p, best % 64 AS k, j, floor(sum(x[j])::DOUBLE / count(*))::BIGINT AS m FROM parts q JOIN a{i} USING (r, p), unnest(range(1, len(x) + 1)) AS t(j) GROUP BY 1, 2, 3) GROUP BY p, k),
+b{i + 1} AS (SELECT p, k, coalesce(m{i}.e, b{i}.e) AS e FROM b{i} LEFT JOIN m{i} USING (p, k))"""
+
+
+OP11 = f"""
+WITH sound AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+kept AS (SELECT * FROM sound WHERE len(v) = (SELECT len(v) FROM sound WHERE len(v) % 16 = 0 ORDER BY r LIMIT 1)),
+parts AS (SELECT r, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x FROM kept, range(16) AS t(p)),
+b0 AS (SELECT p, dense_rank() OVER (ORDER BY r) - 1 AS k, x AS e FROM parts WHERE r IN (SELECT r FROM kept ORDER BY r LIMIT 64)),
+{",".join(_round(i) for i in range(2))},
+{_round(2).split("m2 AS")[0].rstrip().rstrip(",")},
+coded AS (SELECT r, string_agg(format('{{:02x}}', best % 64), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, k)) FROM b2) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+ORACLE_SQL = {"op2_licence_digests": OP2, "op7_quality_cascade": OP7, "op10_suffix_decontamination": OP10, "op11_vector_codes": OP11}

@@ -241,3 +241,78 @@ def test_language_needs_no_labels_of_held_out_rows(spark, sf):
     docs = documents(spark, sf)
     swapped = docs.withColumn("lang", F.when(language_id.held_out(F.col("doc_id")), "xx").otherwise(F.col("lang"))).withColumn("source", F.lit("s"))
     assert by_id(language_id.language_report(docs)) == by_id(language_id.language_report(swapped))
+
+
+# Near copies of very long texts
+
+
+def _turn(sets, chunk=0, key=1):
+    """Rows of one turn of a bucket as a task gets them."""
+    import pyarrow as pa
+
+    from gridlake.llm import near_copies
+
+    n = len(sets)
+    columns = {
+        "key": [key] * n, "chunk": [chunk] * n, "other": [chunk] * n, "own": [chunk] * n, "node": [i.to_bytes(16, "big") for i in range(n)], "mark": list(range(n)),
+        "size": [len(s) for s in sets], "print": [near_copies.wide_fingerprint(s).tobytes() for s in sets], "hashes": [s.tobytes() for s in sets],
+    }
+    kinds = {"key": pa.int64(), "chunk": pa.int32(), "other": pa.int32(), "own": pa.int32(), "node": pa.binary(), "mark": pa.int64(), "size": pa.int32(), "print": pa.binary(), "hashes": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(v, kinds[k]) for k, v in columns.items()], list(columns))
+
+
+def test_near_pairs_of_long_texts_stay_within_memory():
+    """One turn of 100 sets of 20,000 shingles, half of them near copies of one text, with the table of common shingles and without."""
+    import tracemalloc
+
+    from gridlake.llm import near_copies
+
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, 20_000, np.uint64)
+    sets = []
+    for i in range(100):
+        own = base.copy()
+        changed = rng.choice(20_000, 1000 if i % 2 else 6000, replace=False)
+        own[changed] = rng.integers(0, 1 << 63, len(changed), np.uint64)
+        sets.append(np.unique(own))
+    near = lambda a, b: (s := len(np.intersect1d(sets[a], sets[b]))) >= 0.8 * (len(sets[a]) + len(sets[b]) - s)
+    found = {}
+    for most in (64 << 20, 0):
+        before, near_copies.shared_bits.__defaults__ = near_copies.shared_bits.__defaults__, (most,)
+        try:
+            tracemalloc.start()
+            out = list(near_copies._near_pairs(0.8)(iter([_turn(sets)])))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+            near_copies.shared_bits.__defaults__ = before
+        assert peak < 400 << 20
+        links = [(int.from_bytes(a, "big"), int.from_bytes(b, "big")) for batch in out for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)]
+        assert all(near(a, b) for a, b in links)
+        root = list(range(100))
+        for a, b in links:
+            root = [root[a] if r == root[b] else r for r in root]
+        found[most] = root
+        odd = {root[i] for i in range(1, 100, 2)}
+        assert len(odd) == 1 and all(root.count(root[i]) == 1 for i in range(0, 100, 2))
+    assert len(set(map(tuple, (sorted(map(tuple, ([i for i, r in enumerate(v) if r == x] for x in set(v)))) for v in found.values())))) == 1
+
+
+def test_long_texts_are_dealt_in_chunks_of_bytes(spark, monkeypatch):
+    """The chunks of a bucket are cut by shingles as well as by rows, and near copies are found across them."""
+    from gridlake.llm import near_copies
+
+    monkeypatch.setattr(near_copies, "CHUNK_HASHES", 2000)
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(4000)]
+    base = rng.choice(words, 400).tolist()
+    rows = []
+    for i in range(24):
+        own = list(base)
+        for k in range(i * 13 % 390, i * 13 % 390 + 6):
+            own[k] = f"x{i}k{k}"
+        rows.append((i, " ".join(own)))
+    rows += [(100 + i, " ".join(rng.choice(words, 300).tolist())) for i in range(6)]
+    kept = sorted(r["doc_id"] for r in near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    root = __import__("brute").jaccard_roots([t for _, t in rows])
+    assert kept == sorted({min(rows[j][0] for j in range(len(rows)) if root[j] == root[i]) for i in range(len(rows))})
