@@ -32,12 +32,12 @@ def keep_one(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
 
 
 def keyed_dedup(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """Dedup with the fallback rule; the row with the greatest record hash stays."""
+    """Dedup with the fallback rule; of a key's rows the one with the greatest values stays, column by column in their order, nulls last."""
     found = dedup_keys(df, keys)
-    if found == df.columns:
-        return df.distinct()
-    hashed = df.withColumn("_order", record_hash(df.columns))
-    return keep_one(hashed, found, F.col("_order").desc()).drop("_order")
+    rest = [c for c in df.columns if c not in found]
+    if not rest:
+        return df.select(found).distinct()
+    return keep_one(df, found, *[F.col(c).desc_nulls_last() for c in rest])
 
 
 def with_record_hash(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:

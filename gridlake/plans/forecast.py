@@ -129,13 +129,18 @@ def out_of_fold(rows: DataFrame, folds: int = 4) -> DataFrame:
     return reduce(DataFrame.unionByName, [score_direction(fit_direction(cut.where(C("fold") < k)), cut.where(C("fold") == k)) for k in range(2, folds + 1)])
 
 
-def fit_boosted(rows: DataFrame, validation_days: int | None = 7, **settings) -> boosting.Boosted:
-    """Softmax boosting over the three classes; the last days of ``rows`` only tell when to stop."""
+def fit_boosted(rows: DataFrame, validation_days: int | None = 7, least: int = 12, rounds: int = 30, depth: int = 2, rate: float = 0.1, smooth: float = 1.0, patience: int = 4) -> boosting.Boosted:
+    """Softmax boosting over the three classes. The last days of ``rows`` first tell how many rounds to take, ``least`` of them at least; then all rows are fitted."""
     known = weighted(rows.where(C("system_direction").isin(CLASSES)))
-    valid = None
+    fit = lambda df, valid, n: boosting.fit(df, DIRECTION_FEATURES, CLASSES, "system_direction", "weight", valid, n, depth, rate, smooth, patience=patience)
+    losses: list[float] = []
+    least = min(least, rounds)
     if validation_days:
-        known, valid = with_validation(known, validation_days), C("is_validation")
-    return boosting.fit(known, DIRECTION_FEATURES, CLASSES, "system_direction", "weight", valid, **settings)
+        tried = fit(with_validation(known, validation_days), C("is_validation"), rounds)
+        rounds, losses = max(least, len(tried.trees)), tried.losses
+    model = fit(known, None, rounds)
+    model.losses = losses
+    return model
 
 
 def score_boosted(model: boosting.Boosted, rows: DataFrame) -> DataFrame:

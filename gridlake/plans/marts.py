@@ -24,6 +24,7 @@ from ..functions.expressions import (
     weighted_price,
     zero,
 )
+from ..operators import sketches
 from ..operators.keyed import HOUR, on_hour
 from ..sources.shared import written
 from .hourly import BUCKETS, at_once, bucketed, market_hours, trade_hours
@@ -303,9 +304,13 @@ def ptf_drivers(lake: Lake) -> DataFrame:
     return on_hour(prices(lake), lake["smf"], lake["load_estimation"], lake["res_forecast"].select(*HOUR, "forecasted_res_mwh")).withColumns({"forecasted_residual_load_mwh": load - green, "renewable_penetration_pct": ratio(green, load) * 100})
 
 
-def ptf_extremes(lake: Lake, accuracy: int = 10_000) -> DataFrame:
-    """Hours at or beyond the 5th and 95th percentile of the price, with a likely cause."""
-    stats = prices(lake).agg(F.percentile_approx("ptf_try", [0.05, 0.95], accuracy).alias("p"), F.avg("ptf_try").alias("avg_ptf")).select(C("p")[0].alias("p5_ptf"), C("p")[1].alias("p95_ptf"), "avg_ptf")
+def ptf_extremes(lake: Lake, daily: DataFrame | None = None) -> DataFrame:
+    """Hours at or beyond the 5th and 95th percentile of the price, with a likely cause.
+
+    Percentiles come from daily sketches, those that are kept (``operators.sketches.kept``) or new ones.
+    """
+    whole = sketches.merged(daily if daily is not None else sketches.made(prices(lake), "ptf_try", ["date"]), [])
+    stats = whole.select(sketches.quantiles([0.05, 0.95]).alias("p"), ratio("total", "n").alias("avg_ptf")).select(C("p")[0].alias("p5_ptf"), C("p")[1].alias("p95_ptf"), "avg_ptf")
     hours = on_hour(ptf_drivers(lake).drop("renewable_penetration_pct").withColumnRenamed("forecasted_residual_load_mwh", "residual_load_mwh"), lake["aic"].select(*HOUR, "total_aic_mwh"), lake["system_direction"], lake["imbalance"].select(*HOUR, "net_imbalance_mwh"))
     hours = hours.withColumns({"smf_ptf_spread": C("smf_try") - C("ptf_try"), "capacity_utilization_ratio": ratio("residual_load_mwh", "total_aic_mwh")}).crossJoin(F.broadcast(stats))
     dear, cheap = C("ptf_try") >= C("p95_ptf"), C("ptf_try") <= C("p5_ptf")

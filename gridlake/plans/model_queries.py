@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import DEFICIT, rounded
+from ..functions.expressions import DEFICIT, instant_of, rounded
 from ..operators import incremental
 from ..sources.bindings import Silver
 from ..sources.shared import folder
@@ -82,7 +82,7 @@ _add("ML4_filled_shocks", lambda lake: forecast.filled_shocks(lake["load_estimat
 _add("ML5_feature_table", lambda lake: forecast.feature_table(lake, AS_OF))
 _add("ML6_weights", lambda lake: forecast.weighted(lake["system_direction"]).select("date", "hour", "weight"), "SELECT date, hour, 0.5 ** ((max(date) OVER () - date) / 90.0) * count(*) OVER () / (3 * count(*) OVER (PARTITION BY system_direction)) AS weight FROM system_direction", "date", "hour")
 _add("ML7_time_holdout", lambda lake: forecast.time_holdout(lake["smf"], 7)[1], "SELECT * FROM smf WHERE date > (SELECT max(date) - 7 FROM smf)", "date", "hour")
-_add("ML8_time_folds", lambda lake: forecast.with_folds(lake["smf"]).groupBy("fold").agg(F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("last")))
+_add("ML8_time_folds", lambda lake: forecast.with_folds(lake["smf"]).groupBy("fold").agg(F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("last")), "WITH e AS (SELECT quantile_cont(date - DATE '1970-01-01', [0.25, 0.5, 0.75]) AS q FROM smf) SELECT (1 + len(list_filter(q, lambda x: x < date - DATE '1970-01-01')))::INT AS fold, count(*) AS n, min(date) AS first, max(date) AS last FROM smf, e GROUP BY 1")
 _add("ML9_direction", lambda lake: (lambda rows: forecast.score_direction(forecast.fit_direction(forecast.time_holdout(rows, 7)[0]), forecast.time_holdout(rows, 7)[1]).select("date", "hour", "system_direction", "predicted_direction", *forecast.PROBABILITIES))(_rows(lake)))
 _add("ML9_boosted_direction", lambda lake: _boosted(_rows(lake)).select("date", "hour", "system_direction", "predicted_direction", *forecast.PROBABILITIES))
 _add("ML9_beats_naive", lambda lake: _beats(_rows(lake)))
@@ -160,6 +160,32 @@ def _first_prediction(lake: Lake) -> DataFrame:
     return spark.read.parquet(path).select("predicted_date", "hour", "predicted_smf")
 
 
+def _in_batches(lake: Lake, *tables: DataFrame) -> DataFrame:
+    """Tables as a stream that takes one of them a batch, in their order."""
+    path, spark = folder(lake.silver.spark), lake.silver.spark
+    for table in tables:
+        table.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(tables[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _keyed_corrections(lake: Lake) -> DataFrame:
+    """The newest correction comes first, an older one in a later batch."""
+    path, spark = folder(lake.silver.spark), lake.silver.spark
+    incremental.rebuild(lake["smf"].withColumn("arrived", F.lit(0)), path, "date")
+    news = lake["smf"].where("date >= DATE '2024-01-25'").withColumn("at", instant_of())
+    told = [news.withColumns({"smf_try": price, "arrived": F.lit(n)}) for n, price in ((2, F.col("smf_try") + 3), (1, F.lit(0.0)))]
+    streams.keyed_upsert_stream(_in_batches(lake, *told), path, ["date", "hour"], folder(spark)).awaitTermination()
+    return spark.read.parquet(path).select("date", "hour", "smf_try")
+
+
+def _keyed_predictions(lake: Lake) -> DataFrame:
+    told = marts.naive_predictions(lake).select("predicted_date", "hour", "predicted_smf", instant_of("predicted_date").alias("at"))
+    batches = [told.withColumns({"predicted_smf": F.col("predicted_smf") + 100.0 * n, "told": F.lit(n)}) for n in range(2)]
+    return _drained(lake, streams.first_predictions(_in_batches(lake, *batches), ["predicted_date", "hour"], "told")).select("predicted_date", "hour", "predicted_smf")
+
+
+_add("SS3_keyed_corrections", _keyed_corrections, "SELECT date, hour, smf_try + CASE WHEN date >= DATE '2024-01-25' THEN 3 ELSE 0 END AS smf_try FROM smf", "date", "hour")
+_add("SS4_keyed_predictions", _keyed_predictions, f"SELECT date AS predicted_date, hour::BIGINT AS hour, p AS predicted_smf FROM {_told}", "predicted_date", "hour")
 _add("SS1_hourly_vwap", _vwap, "SELECT (came + INTERVAL 3 HOUR)::DATE AS date, hour(came + INTERVAL 3 HOUR)::INT AS hour, sum(p * q) / nullif(sum(q), 0) AS gip_vwap_try, sum(q)::DOUBLE AS gip_volume_mwh, count(*) AS gip_transaction_count FROM (SELECT date_trunc('hour', c) AS came, p, q FROM (SELECT ts AS c, value AS p, 1 + k % 10 AS q FROM ev UNION ALL SELECT ts + INTERVAL 1 HOUR, value, 1 + k % 10 FROM ev WHERE event_id % 10 = 0)) GROUP BY 1, 2", "date", "hour", "gip_transaction_count")
 _add("SS2_once_by_id", lambda lake: _drained(lake, streams.once_by_id(_stream(lake, _trades(lake)), "60 days")).select("id"), "SELECT event_id AS id FROM events")
 _add("SS3_late_corrections", _late, "SELECT date, hour, smf_try + CASE WHEN date >= DATE '2024-01-25' THEN 3 ELSE 0 END AS smf_try FROM smf", "date", "hour")

@@ -139,6 +139,18 @@ _green = ["wind_generation_mwh", "solar_generation_mwh", "dam_generation_mwh", "
 _fossil = [f"{f}_generation_mwh" for f in ("gas", "lignite", "imported_coal", "black_coal", "asphaltite_coal", "fueloil", "naphtha", "lng")]
 _h = ("date", "hour")
 
+EXTREMES = f"""WITH st AS (SELECT quantile_disc(ptf_try, 0.05) AS p5_ptf, quantile_disc(ptf_try, 0.95) AS p95_ptf, avg(ptf_try) AS avg_ptf FROM pricing), cap AS (SELECT date, hour, total_aic_mwh FROM aic), imb AS (SELECT date, hour, net_imbalance_mwh FROM imbalance),
+        h AS (SELECT date, hour, ptf_try, smf_try, smf_try - ptf_try AS smf_ptf_spread, forecasted_load_mwh, forecasted_res_mwh, forecasted_load_mwh - forecasted_res_mwh AS residual_load_mwh, total_aic_mwh, (forecasted_load_mwh - forecasted_res_mwh) / nullif(total_aic_mwh, 0) AS capacity_utilization_ratio, system_direction, net_imbalance_mwh FROM {_hours("pricing", "smf", "load_estimation", "res_forecast", "cap", "system_direction", "imb")})
+        SELECT h.*, st.*, CASE WHEN ptf_try >= p95_ptf THEN 'TAVAN' WHEN ptf_try <= p5_ptf THEN 'MINIMUM' ELSE 'NORMAL' END AS ptf_category, CASE WHEN ptf_try >= p95_ptf AND capacity_utilization_ratio > 0.9 THEN 'Kapasite_Stresi' WHEN ptf_try >= p95_ptf AND system_direction = 'ENERGY_DEFICIT' THEN 'Sistem_Acigi' WHEN ptf_try >= p95_ptf THEN 'Diger_Tavan'
+          WHEN ptf_try <= p5_ptf AND residual_load_mwh < 0 THEN 'RES_Fazlasi' WHEN ptf_try <= p5_ptf AND system_direction = 'ENERGY_SURPLUS' THEN 'Uretim_Fazlasi' WHEN ptf_try <= p5_ptf THEN 'Diger_Minimum' END AS extreme_driver FROM h, st"""
+SHIFTS = """WITH s AS (SELECT date, avg(ptf_try) FILTER (hour < 8) AS vardiya_00_08_avg_ptf, avg(ptf_try) FILTER (hour BETWEEN 8 AND 15) AS vardiya_08_16_avg_ptf, avg(ptf_try) FILTER (hour > 15) AS vardiya_16_24_avg_ptf FROM pricing GROUP BY 1),
+        w AS (SELECT date, hour, avg(ptf_try) OVER f AS m, count(*) OVER f AS n FROM pricing WINDOW f AS (PARTITION BY date ORDER BY hour ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)),
+        c AS (SELECT date, hour AS cheapest_8h_start_hour, m AS cheapest_8h_avg_ptf FROM w WHERE n = 8 QUALIFY row_number() OVER (PARTITION BY date ORDER BY m, hour) = 1), p AS (SELECT date, hour AS priciest_8h_start_hour, m AS priciest_8h_avg_ptf FROM w WHERE n = 8 QUALIFY row_number() OVER (PARTITION BY date ORDER BY m DESC, hour) = 1)
+        SELECT *, round(priciest_8h_avg_ptf - cheapest_8h_avg_ptf, 2) AS max_shift_saving_per_mwh FROM s LEFT JOIN c USING (date) LEFT JOIN p USING (date)"""
+TRADE_WEATHER = f"SELECT date, total_gip_volume_mwh, gip_weighted_avg_price_try, total_transaction_count, ptf_try, gip_weighted_avg_price_try - ptf_try AS gip_ptf_spread_try, avg_temperature_c, avg_windspeed_kmh, avg_solar_radiation_wm2 FROM (SELECT date, sum(quantity_mwh) AS total_gip_volume_mwh, {_vwap} AS gip_weighted_avg_price_try, count(*) AS total_transaction_count FROM idm_transactions GROUP BY 1) LEFT JOIN (SELECT date, avg(ptf_try) AS ptf_try FROM pricing GROUP BY 1) USING (date) LEFT JOIN (SELECT date, avg(temperature_celsius) AS avg_temperature_c, avg(wind_speed_kmh) AS avg_windspeed_kmh, avg(shortwave_radiation) AS avg_solar_radiation_wm2 FROM weather GROUP BY 1) USING (date)"
+MIX = f"SELECT date, hour, total_generation_mwh AS total_generation, ({_total(*_green)}) / nullif(total_generation_mwh, 0) AS renewable_ratio, ({_total(*_fossil)}) / nullif(total_generation_mwh, 0) AS fossil_ratio FROM generation"
+
+
 MART_TWINS: dict[str, str] = {
     "MA-1": twin(f"SELECT date, hour, {_fuel_ratios}, lng_generation_mwh, asphaltite_coal_generation_mwh, black_coal_generation_mwh, waste_heat_generation_mwh, import_export_mwh FROM aic FULL JOIN generation USING (date, hour)", *_h),
     "MA-2": twin("SELECT date AS trade_date, organization_id, organization_name, sum(matched_bids_mwh) AS total_bids_mwh, sum(matched_offers_mwh) AS total_offers_mwh, sum(matched_bids_mwh - matched_offers_mwh) AS net_position_mwh, sum(matched_bids_mwh + matched_offers_mwh) AS total_volume_mwh, count(*) FILTER (matched_bids_mwh > 0 OR matched_offers_mwh > 0) AS active_hours FROM dam_clearing_by_org GROUP BY 1, 2, 3", "trade_date", "organization_id", "organization_name", "active_hours"),
@@ -150,7 +162,7 @@ MART_TWINS: dict[str, str] = {
         e AS (SELECT *, forecasted_res_mwh - actual_res_mwh AS forecast_error_mwh, abs(forecasted_res_mwh - actual_res_mwh) AS abs_error_mwh, abs(forecasted_res_mwh - actual_res_mwh) / nullif(actual_res_mwh, 0) * 100 AS error_pct, CASE WHEN forecasted_res_mwh > actual_res_mwh THEN 'Aşırı Tahmin' WHEN forecasted_res_mwh < actual_res_mwh THEN 'Eksik Tahmin' ELSE 'Eşleşme' END AS error_direction FROM j)
         SELECT *, round(sqrt(avg(forecast_error_mwh ** 2) OVER (PARTITION BY date)), 2) AS daily_rmse_mwh, round(avg(error_pct) OVER (PARTITION BY date), 2) AS daily_mape_pct FROM e""", *_h, "error_direction"),
     "MA-8": twin(RESIDUAL, *_h, "datetime"),
-    "MA-9": twin(f"SELECT date, hour, total_generation_mwh AS total_generation, ({_total(*_green)}) / nullif(total_generation_mwh, 0) AS renewable_ratio, ({_total(*_fossil)}) / nullif(total_generation_mwh, 0) AS fossil_ratio FROM generation", *_h),
+    "MA-9": twin(MIX, *_h),
     "MA-10": twin("SELECT date AS trade_date, hour, contract_name, count(*) AS total_transaction_count, avg(price_try) AS avg_transaction_price_try, sum(quantity_mwh) AS total_volume_mwh, sum(price_try * quantity_mwh) AS total_transaction_value_try FROM idm_transactions GROUP BY 1, 2, 3", "trade_date", "hour", "contract_name", "total_transaction_count"),
     "MA-11": twin(f"SELECT date, hour, {_vwap} AS gip_vwap_try, sum(quantity_mwh) AS gip_volume_mwh, count(*) AS gip_transaction_count FROM idm_transactions GROUP BY 1, 2", *_h, "gip_transaction_count"),
     "MA-12": twin(f"""WITH b AS (SELECT year(date)::INT AS year, month(date)::INT AS month, round(avg(ptf_try), 2) AS avg_ptf, round(max(ptf_try), 2) AS max_ptf, round(min(ptf_try), 2) AS min_ptf, round(avg(price_spread), 2) AS avg_price_spread, count(*) FILTER (system_direction = 'ENERGY_DEFICIT') AS energy_deficit_hours, count(*) FILTER (system_direction = 'ENERGY_SURPLUS') AS energy_surplus_hours FROM ({ANALYSIS}) LEFT JOIN system_direction USING (date, hour) GROUP BY 1, 2),
@@ -170,10 +182,7 @@ MART_TWINS: dict[str, str] = {
         SELECT *, kudup_total_mwh - kgup_total_mwh AS intraday_revision_mwh, kudup_wind_mwh - kgup_wind_mwh AS wind_revision_mwh, kudup_solar_mwh - kgup_solar_mwh AS solar_revision_mwh, kudup_hydro_mwh - kgup_hydro_mwh AS hydro_revision_mwh,
         CASE WHEN kudup_total_mwh - kgup_total_mwh > 50 THEN 'GIP_Alim' WHEN kudup_total_mwh - kgup_total_mwh < -50 THEN 'GIP_Satis' ELSE 'Denge' END AS revision_direction, abs(kudup_total_mwh - kgup_total_mwh) / nullif(kgup_total_mwh, 0) * 100 AS revision_pct FROM r""", *_h, "revision_direction"),
     "MA-20": twin(f"SELECT date, hour, ptf_try, smf_try, forecasted_load_mwh, forecasted_res_mwh, forecasted_load_mwh - forecasted_res_mwh AS forecasted_residual_load_mwh, forecasted_res_mwh / nullif(forecasted_load_mwh, 0) * 100 AS renewable_penetration_pct FROM {_hours('pricing', 'smf', 'load_estimation', 'res_forecast')}", *_h),
-    "MA-21": twin(f"""WITH st AS (SELECT quantile_disc(ptf_try, 0.05) AS p5_ptf, quantile_disc(ptf_try, 0.95) AS p95_ptf, avg(ptf_try) AS avg_ptf FROM pricing), cap AS (SELECT date, hour, total_aic_mwh FROM aic), imb AS (SELECT date, hour, net_imbalance_mwh FROM imbalance),
-        h AS (SELECT date, hour, ptf_try, smf_try, smf_try - ptf_try AS smf_ptf_spread, forecasted_load_mwh, forecasted_res_mwh, forecasted_load_mwh - forecasted_res_mwh AS residual_load_mwh, total_aic_mwh, (forecasted_load_mwh - forecasted_res_mwh) / nullif(total_aic_mwh, 0) AS capacity_utilization_ratio, system_direction, net_imbalance_mwh FROM {_hours("pricing", "smf", "load_estimation", "res_forecast", "cap", "system_direction", "imb")})
-        SELECT h.*, st.*, CASE WHEN ptf_try >= p95_ptf THEN 'TAVAN' WHEN ptf_try <= p5_ptf THEN 'MINIMUM' ELSE 'NORMAL' END AS ptf_category, CASE WHEN ptf_try >= p95_ptf AND capacity_utilization_ratio > 0.9 THEN 'Kapasite_Stresi' WHEN ptf_try >= p95_ptf AND system_direction = 'ENERGY_DEFICIT' THEN 'Sistem_Acigi' WHEN ptf_try >= p95_ptf THEN 'Diger_Tavan'
-          WHEN ptf_try <= p5_ptf AND residual_load_mwh < 0 THEN 'RES_Fazlasi' WHEN ptf_try <= p5_ptf AND system_direction = 'ENERGY_SURPLUS' THEN 'Uretim_Fazlasi' WHEN ptf_try <= p5_ptf THEN 'Diger_Minimum' END AS extreme_driver FROM h, st""", *_h, "system_direction", "ptf_category", "extreme_driver"),
+    "MA-21": twin(EXTREMES, *_h, "system_direction", "ptf_category", "extreme_driver"),
     "MA-22": twin(REALIZED, *_h, "datetime", "price_status"),
     "MA-23": twin("SELECT date, hour, ptf_try, ptf_usd, ptf_eur, ptf_try / nullif(ptf_usd, 0) AS implicit_usdtry, avg(ptf_try) OVER (PARTITION BY date) AS ptf_try_daily_avg, avg(ptf_usd) OVER (PARTITION BY date) AS ptf_usd_daily_avg, strftime(date, '%Y-%m') AS year_month FROM pricing WHERE ptf_usd IS NOT NULL", *_h, "year_month"),
     "MA-24": twin(f"SELECT *, coalesce(up_net_mwh, 0) - coalesce(down_net_mwh, 0) AS net_system_position_mwh, coalesce(up_total_offered_mwh, 0) + coalesce(down_total_offered_mwh, 0) AS total_regulation_market_mwh, coalesce(up_total_offered_mwh, 0) / nullif(coalesce(down_total_offered_mwh, 0), 0) AS up_down_asymmetry_ratio FROM ({_side('order_up', 'up')}) FULL JOIN ({_side('order_down', 'down')}) USING (date, hour)", *_h),
@@ -182,10 +191,7 @@ MART_TWINS: dict[str, str] = {
     "MA-27": twin("""WITH h AS (SELECT *, actual_res_generation_mwh - forecasted_res_mwh AS forecast_error_mwh, abs(actual_res_generation_mwh - forecasted_res_mwh) AS abs_forecast_error_mwh, abs(actual_res_generation_mwh - forecasted_res_mwh) / nullif(forecasted_res_mwh, 0) * 100 AS forecast_error_pct FROM res_forecast),
         d AS (SELECT date, max(forecasted_res_mwh) - min(forecasted_res_mwh) AS intraday_forecast_range_mwh, max(actual_res_generation_mwh) - min(actual_res_generation_mwh) AS intraday_actual_range_mwh, avg(abs_forecast_error_mwh) AS daily_mae_mwh, avg(forecast_error_pct) AS daily_mape_pct, avg(forecast_error_mwh) AS daily_bias_mwh, first(hour ORDER BY actual_res_generation_mwh DESC NULLS LAST, hour) FILTER (actual_res_generation_mwh IS NOT NULL) AS peak_res_hour, max(actual_res_generation_mwh) AS peak_res_mwh FROM h GROUP BY 1),
         r AS (SELECT *, avg(daily_mae_mwh) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7d_mae_mwh FROM d) SELECT * FROM h JOIN r USING (date)""", *_h, "peak_res_hour"),
-    "MA-28": twin("""WITH s AS (SELECT date, avg(ptf_try) FILTER (hour < 8) AS vardiya_00_08_avg_ptf, avg(ptf_try) FILTER (hour BETWEEN 8 AND 15) AS vardiya_08_16_avg_ptf, avg(ptf_try) FILTER (hour > 15) AS vardiya_16_24_avg_ptf FROM pricing GROUP BY 1),
-        w AS (SELECT date, hour, avg(ptf_try) OVER f AS m, count(*) OVER f AS n FROM pricing WINDOW f AS (PARTITION BY date ORDER BY hour ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)),
-        c AS (SELECT date, hour AS cheapest_8h_start_hour, m AS cheapest_8h_avg_ptf FROM w WHERE n = 8 QUALIFY row_number() OVER (PARTITION BY date ORDER BY m, hour) = 1), p AS (SELECT date, hour AS priciest_8h_start_hour, m AS priciest_8h_avg_ptf FROM w WHERE n = 8 QUALIFY row_number() OVER (PARTITION BY date ORDER BY m DESC, hour) = 1)
-        SELECT *, round(priciest_8h_avg_ptf - cheapest_8h_avg_ptf, 2) AS max_shift_saving_per_mwh FROM s LEFT JOIN c USING (date) LEFT JOIN p USING (date)""", "date", "cheapest_8h_start_hour", "priciest_8h_start_hour"),
+    "MA-28": twin(SHIFTS, "date", "cheapest_8h_start_hour", "priciest_8h_start_hour"),
     "MA-29": twin(f"SELECT date, hour, {_at} AS datetime, smf_try AS value, 'realized' AS value_source FROM smf UNION ALL SELECT p.date + 1, p.hour, {_at.replace('date::', '(p.date + 1)::').replace('hour *', 'p.hour *')}, p.smf_try + (p.hour % 5 - 2), 'model' FROM smf p ANTI JOIN smf r ON r.date = p.date + 1 AND r.hour = p.hour", *_h, "datetime", "value_source"),
     "MA-30": twin(f"""WITH rh AS (SELECT hour, avg(forecasted_res_mwh) AS ur FROM res_forecast WHERE date >= DATE '{AS_OF}' - 14 GROUP BY 1), ah AS (SELECT hour, avg(total_aic_mwh) AS ua FROM aic WHERE date >= DATE '{AS_OF}' - 14 GROUP BY 1), shock AS ({SHOCK}),
         sh AS (SELECT *, avg(supply_shock_index) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS tr FROM shock), cl AS (SELECT date + 1 AS date, hour, arbitrage_opportunity_score, yal_delivered_mwh, yat_delivered_mwh, net_dgp_mwh FROM ({SPREAD})),
@@ -201,7 +207,7 @@ MART_TWINS: dict[str, str] = {
     "MA-34": twin(SHOCK, "date"),
     "MA-35": twin(f"WITH u AS (SELECT date, hour, up_regulation_delivered_mwh AS a FROM order_up), d AS (SELECT date, hour, down_regulation_delivered_mwh AS b FROM order_down), imb AS (SELECT date, hour, net_imbalance_mwh FROM imbalance) SELECT date, hour, system_direction, net_imbalance_mwh, smf_try, ptf_try, smf_try - ptf_try AS smf_ptf_spread_try, coalesce(a, 0) AS total_yal_mwh, coalesce(b, 0) AS total_yat_mwh FROM {_hours('smf', 'pricing', 'system_direction', 'imb', 'u', 'd')}", *_h, "system_direction"),
     "MA-36": twin("SELECT date, total_unlicensed_mwh, ptf_try, total_unlicensed_mwh * ptf_try AS estimated_market_value_try FROM (SELECT date, sum(total_unlicensed_mwh) AS total_unlicensed_mwh FROM unlicensed_generation GROUP BY 1) LEFT JOIN (SELECT date, avg(ptf_try) AS ptf_try FROM pricing GROUP BY 1) USING (date)", "date"),
-    "MA-37": twin(f"SELECT date, total_gip_volume_mwh, gip_weighted_avg_price_try, total_transaction_count, ptf_try, gip_weighted_avg_price_try - ptf_try AS gip_ptf_spread_try, avg_temperature_c, avg_windspeed_kmh, avg_solar_radiation_wm2 FROM (SELECT date, sum(quantity_mwh) AS total_gip_volume_mwh, {_vwap} AS gip_weighted_avg_price_try, count(*) AS total_transaction_count FROM idm_transactions GROUP BY 1) LEFT JOIN (SELECT date, avg(ptf_try) AS ptf_try FROM pricing GROUP BY 1) USING (date) LEFT JOIN (SELECT date, avg(temperature_celsius) AS avg_temperature_c, avg(wind_speed_kmh) AS avg_windspeed_kmh, avg(shortwave_radiation) AS avg_solar_radiation_wm2 FROM weather GROUP BY 1) USING (date)", "date", "total_transaction_count"),
+    "MA-37": twin(TRADE_WEATHER, "date", "total_transaction_count"),
 }
 
 #: Staged tables with the columns that aren't rounded.

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.expressions import rounded
 from ..operators import quality
 from ..sources.bindings import Silver
+from ..sources.shared import folder
 from . import marts, reports, signal
-from .oracles import ANALYSIS, AS_OF, RESIDUAL, SHOCK, SPREAD, twin
+from .oracles import ANALYSIS, AS_OF, EXTREMES, MIX, RESIDUAL, SHIFTS, SHOCK, SPREAD, TRADE_WEATHER, twin
 from .staging import Lake
 
 Plan = Callable[[Lake], DataFrame]
@@ -35,7 +36,7 @@ _gop = "SELECT date, hour, matched_bids_mwh AS b, matched_offers_mwh AS s, ptf_t
 _told = "(SELECT date + 1 AS date, hour, smf_try + (hour % 5 - 2) AS p, CASE WHEN hour % 5 - 2 > 0 THEN 'ENERGY_DEFICIT' WHEN hour % 5 - 2 < 0 THEN 'ENERGY_SURPLUS' ELSE 'IN_BALANCE' END AS d FROM smf)"
 _plan = "(SELECT date, hour, total_planned_mwh AS a, total_kgup_mwh AS b FROM sbfgp FULL JOIN dpp USING (date, hour))"
 _mix = "(SELECT date, hour, total_generation_mwh AS t, (coalesce(wind_generation_mwh, 0) + coalesce(solar_generation_mwh, 0) + coalesce(dam_generation_mwh, 0) + coalesce(river_generation_mwh, 0) + coalesce(geothermal_generation_mwh, 0) + coalesce(biomass_generation_mwh, 0)) / nullif(total_generation_mwh, 0) AS g FROM generation)"
-_err = "(SELECT date, hour, forecasted_res_mwh - (coalesce(wind_generation_mwh, 0) + coalesce(solar_generation_mwh, 0)) AS e FROM res_forecast FULL JOIN generation USING (date, hour))"
+_err = "(SELECT date, hour, forecasted_res_mwh - (coalesce(wind_generation_mwh, 0) + coalesce(solar_generation_mwh, 0)) AS e, coalesce(wind_generation_mwh, 0) + coalesce(solar_generation_mwh, 0) AS a FROM res_forecast FULL JOIN generation USING (date, hour))"
 _stress = "(SELECT *, (active_volume - min(active_volume) OVER w) / nullif(max(active_volume) OVER w - min(active_volume) OVER w, 0) AS i, active_volume - lag(active_volume, 7) OVER (PARTITION BY dam_id ORDER BY date) AS c, lag(active_volume, 7) OVER (PARTITION BY dam_id ORDER BY date) AS l FROM dams WINDOW w AS (PARTITION BY dam_id ORDER BY date ROWS BETWEEN 89 PRECEDING AND CURRENT ROW))"
 _season_cols = ", ".join(f"avg(ptf_try) FILTER (season = '{s}') AS \"{s}\"" for s in ("Kış", "İlkbahar", "Yaz", "Sonbahar"))
 _hour_cols = ", ".join(f"avg(ptf_try) FILTER (hour = {h}) AS h{h}" for h in range(24))
@@ -51,7 +52,7 @@ _add("BI7_block_by_hour", reports.block_by_hour, f"SELECT price_block, hour, avg
 _add("BI8_low_price_hours", reports.low_price_hours, "SELECT hour, count(*) FILTER (ptf_try <= 20) AS low_hours, count(*) FILTER (ptf_try = 0) AS zero_hours, count(*) AS n FROM pricing GROUP BY 1")
 _add("BI9_seeded_sample", lambda lake: reports.seeded_sample(marts.prices(lake), ["date", "hour"]), "SELECT date, hour, ptf_try FROM pricing ORDER BY md5(date::VARCHAR || '|' || hour || '|7'), date, hour LIMIT 500", "date", "hour")
 _add("BI10_renewable_price_correlation", reports.renewable_price_correlation, f"SELECT corr(g, ptf_try) AS correlation, count(*) AS n FROM {_mix} JOIN pricing USING (date, hour)", "n")
-_add("BI10_monthly_mix", reports.monthly_mix)
+_add("BI10_monthly_mix", reports.monthly_mix, f"SELECT {_month}, avg(total_generation) AS mean_total_generation, avg(renewable_ratio) AS mean_renewable_ratio, avg(fossil_ratio) AS mean_fossil_ratio, count(*) AS n FROM ({MIX}) GROUP BY 1", "year_month", "n")
 _add("BI11_market_value", reports.market_value, f"SELECT date, sum(b * ptf_try) AS market_value_try, sum(b) AS total_buy_mwh, sum(s) AS total_sell_mwh FROM ({_gop}) GROUP BY 1", "date")
 _add("BI11_buy_sell_profile", reports.buy_sell_profile, f"SELECT hour, avg(b) AS mean_total_buy_mwh, avg(s) AS mean_total_sell_mwh, count(*) AS n FROM ({_gop}) GROUP BY 1", "hour", "n")
 _add("BI12_merit_split", reports.merit_split, "SELECT date, CASE WHEN bid_offer_price_try <= ptf_try THEN 'In Merit (Eşleşti)' ELSE 'Out of Merit (Eşleşmedi)' END AS supply_status, count(*) AS n, avg(bid_offer_price_try) AS mean_price FROM supply_demand_curve LEFT JOIN pricing USING (date, hour) WHERE date = (SELECT max(date) FROM supply_demand_curve) GROUP BY 1, 2", "date", "supply_status", "n")
@@ -70,22 +71,32 @@ _add("BI21_last_week", reports.last_week, "WITH s AS (SELECT (m - d::INT)::DATE
 _add("BI22_unlicensed_totals", reports.unlicensed_totals, "SELECT 1 AS k, sum(u) AS total_mwh, sum(u * p) AS total_value_try, corr(u, p) AS correlation FROM (SELECT date, sum(total_unlicensed_mwh) AS u FROM unlicensed_generation GROUP BY 1) LEFT JOIN (SELECT date, avg(ptf_try) AS p FROM pricing GROUP BY 1) USING (date)", "k")
 ORACLE_SQL["BI22_unlicensed_totals"] = f"SELECT * EXCLUDE (k) FROM ({ORACLE_SQL['BI22_unlicensed_totals']})"
 _add("BI23_intraday_profile", reports.intraday_profile, "SELECT hour, avg(v) AS mean_gip_vwap_try, avg(q) AS mean_gip_volume_mwh, count(*) AS n FROM (SELECT date, hour, sum(price_try * quantity_mwh) / nullif(sum(quantity_mwh), 0) AS v, sum(quantity_mwh) AS q FROM idm_transactions GROUP BY 1, 2) GROUP BY 1", "hour", "n")
-_add("BI23_weather_price", reports.weather_price)
+_add("BI23_weather_price", reports.weather_price, f"SELECT 1 AS k, corr(avg_temperature_c, ptf_try) AS corr_avg_temperature_c, corr(avg_windspeed_kmh, ptf_try) AS corr_avg_windspeed_kmh, corr(avg_solar_radiation_wm2, ptf_try) AS corr_avg_solar_radiation_wm2 FROM ({TRADE_WEATHER})", "k")
+ORACLE_SQL["BI23_weather_price"] = f"SELECT * EXCLUDE (k) FROM ({ORACLE_SQL['BI23_weather_price']})"
+_add("BI23_intraday_months", reports.intraday_months, f"SELECT {_month}, avg(q) AS mean_volume_mwh, sum(q) AS volume_mwh, avg(v) AS mean_vwap_try, sum(c)::BIGINT AS transactions, count(*) AS n FROM (SELECT date, hour, sum(price_try * quantity_mwh) / nullif(sum(quantity_mwh), 0) AS v, sum(quantity_mwh) AS q, count(*) AS c FROM idm_transactions GROUP BY 1, 2) GROUP BY 1", "year_month", "transactions", "n")
 _add("BI24_plan_days", reports.plan_days, f"SELECT date, avg(a) AS mean_kgup_total_mwh, avg(b) AS mean_kudup_total_mwh, avg(b - a) AS mean_intraday_revision_mwh, count(*) AS n FROM {_plan} GROUP BY 1", "date", "n")
 _add("BI24_revision_counts", reports.revision_counts, f"SELECT CASE WHEN b - a > 50 THEN 'GIP_Alim' WHEN b - a < -50 THEN 'GIP_Satis' ELSE 'Denge' END AS revision_direction, count(*) AS n, avg(b - a) AS mean_revision_mwh FROM {_plan} GROUP BY 1", "revision_direction", "n")
-_add("BI25_extreme_counts", reports.extreme_counts)
+_revised = ", ".join(f"avg(b.{c} - a.{c}) AS mean_{n}_revision_mwh" for n, c in (("wind", "wind_mwh"), ("solar", "solar_mwh"), ("hydro", "dam_hydro_mwh")))
+_add("BI24_revision_sources", reports.revision_sources, f"SELECT hour, {_revised}, count(*) AS n FROM sbfgp b FULL JOIN dpp a USING (date, hour) GROUP BY 1", "hour", "n")
+_add("BI25_extreme_counts", reports.extreme_counts, f"SELECT ptf_category, extreme_driver, count(*) AS n, avg(ptf_try) AS mean_ptf FROM ({EXTREMES}) GROUP BY 1, 2", "ptf_category", "extreme_driver", "n")
+_add("BI25_extreme_months", reports.extreme_months, f"SELECT {_month}, count(*) FILTER (ptf_category = 'MINIMUM') AS minimum, count(*) FILTER (ptf_category = 'TAVAN') AS ceiling FROM ({EXTREMES}) GROUP BY 1", "year_month", "minimum", "ceiling")
 _add("BI25_extreme_hours", reports.extreme_hours, "SELECT hour, count(*) FILTER (ptf_try >= b) AS ceiling, count(*) FILTER (ptf_try <= a AND ptf_try < b) AS minimum FROM pricing, (SELECT quantile_disc(ptf_try, 0.05) AS a, quantile_disc(ptf_try, 0.95) AS b FROM pricing) GROUP BY 1")
 _add("BI26_cascade_counts", reports.cascade_counts, f"SELECT {_month}, price_cascade, count(*) AS n FROM ({SPREAD}) GROUP BY 1, 2")
 _add("BI26_spread_profile", reports.spread_profile, f"SELECT hour, avg(gip_gop_spread_try) AS mean_gip_gop_spread_try, avg(smf_gop_spread_try) AS mean_smf_gop_spread_try, avg(yal_delivered_mwh) AS mean_yal_delivered_mwh, avg(yat_delivered_mwh) AS mean_yat_delivered_mwh, count(*) AS n FROM ({SPREAD}) GROUP BY 1", "hour", "n")
 _add("BI26_arbitrage_days", reports.arbitrage_days, f"SELECT date, avg(arbitrage_opportunity_score) AS mean_score, max(arbitrage_opportunity_score) AS max_score, count(*) FILTER (arbitrage_opportunity_score > 0.1) AS high_hours FROM ({SPREAD}) GROUP BY 1", "date", "high_hours")
 _add("BI27_error_months", reports.error_months, f"SELECT {_month}, avg(abs(e)) AS mae, avg(e) AS bias, " + ", ".join(f"quantile_cont(e, {q / 100}) AS p{q}" for q in (0, 25, 50, 75, 100)) + f" FROM {_err} GROUP BY 1", "year_month")
+_daily = f"SELECT date, round(sqrt(avg(e * e)), 2) AS rmse, round(avg(abs(e) / nullif(a, 0) * 100), 2) AS mape FROM {_err} GROUP BY 1"
+_add("BI27_error_kpis", reports.error_kpis, f"SELECT (SELECT avg(rmse) FROM ({_daily})) AS mean_daily_rmse_mwh, (SELECT avg(mape) FROM ({_daily})) AS mean_daily_mape_pct, 100.0 * avg((coalesce(e, 0) > 0)::INT) AS over_forecast_pct, avg(abs(e)) AS mean_abs_error_mwh, count(*) AS n FROM {_err}", "n")
+_boxes = ", ".join(f"quantile_disc(e, {q / 100}) AS p{q}" for q in (5, 25, 50, 75, 95))
+_add("BI27_error_boxes", lambda lake: reports.error_boxes(lake, folder(lake.silver.spark)), f"SELECT {_month}, count(*) AS n, avg(e) AS bias, {_boxes} FROM {_err} WHERE e IS NOT NULL GROUP BY 1", "year_month", "n")
 _add("BI27_error_profile", reports.error_profile, f"SELECT hour, avg(e) AS mean_forecast_error_mwh, avg(abs(e)) AS mean_abs_error_mwh, count(*) AS n FROM {_err} GROUP BY 1", "hour", "n")
 _add("BI28_stress_buckets", reports.stress_buckets, f"SELECT date, CASE WHEN i IS NULL THEN 'none' WHEN i < 0.2 THEN 'critical' WHEN i < 0.4 THEN 'low' WHEN i < 0.7 THEN 'normal' ELSE 'high' END AS bucket, count(*) AS n_dams, sum(active_volume) AS volume FROM {_stress} WHERE date = (SELECT max(date) FROM dams) GROUP BY 1, 2", "date", "bucket", "n_dams")
 _add("BI28_basin_days", reports.basin_days, f"SELECT date, sum(active_volume) AS volume, avg(i) AS mean_stress FROM {_stress} GROUP BY 1", "date")
 _add("BI28_volume_movers", reports.volume_movers, f"SELECT date, dam_id, dam_name, c AS wow_volume_change, c / nullif(l, 0) AS wow_volume_change_pct FROM {_stress} WHERE c / nullif(l, 0) IS NOT NULL ORDER BY 5, 1, 2 LIMIT 10", "date", "dam_id", "dam_name")
-_add("BI29_shift_starts", reports.shift_starts)
-_add("BI29_shift_months", reports.shift_months)
-_add("BI30_shift_advice", reports.shift_advice)
+_add("BI29_shift_starts", reports.shift_starts, f"SELECT cheapest_8h_start_hour, count(*) AS n_days, avg(max_shift_saving_per_mwh) AS mean_saving FROM ({SHIFTS}) WHERE cheapest_8h_start_hour IS NOT NULL GROUP BY 1", "cheapest_8h_start_hour", "n_days")
+_shift_means = ", ".join(f"avg({c}) AS mean_{c}" for c in ("vardiya_00_08_avg_ptf", "vardiya_08_16_avg_ptf", "vardiya_16_24_avg_ptf", "max_shift_saving_per_mwh"))
+_add("BI29_shift_months", reports.shift_months, f"SELECT {_month}, {_shift_means}, count(*) AS n FROM ({SHIFTS}) GROUP BY 1", "year_month", "n")
+_add("BI30_shift_advice", reports.shift_advice, f"SELECT * FROM ({SHIFTS}) WHERE date = (SELECT max(date) FROM (SELECT date FROM pricing GROUP BY 1 HAVING count(DISTINCT hour) = 24))", "date", "cheapest_8h_start_hour", "priciest_8h_start_hour")
 _add("BI31_freshest", reports.freshest, "SELECT max(date) AS freshest FROM pricing")
 _add("BI32_smf_days", reports.smf_days, "SELECT date, avg(smf_try) AS mean_smf, avg(r) AS mean_rolling_24h FROM (SELECT *, avg(smf_try) OVER (ORDER BY date, hour ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS r FROM smf) GROUP BY 1", "date")
 

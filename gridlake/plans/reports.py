@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import DEFICIT, instant_of, ratio
+from ..operators import sketches
 from ..operators.keyed import HOUR
 from . import marts
 from .staging import Lake
@@ -208,6 +209,42 @@ def error_months(lake: Lake) -> DataFrame:
     return months.select("year_month", "mae", "bias", *[C("p")[i].alias(f"p{q}") for i, q in enumerate((0, 25, 50, 75, 100))])
 
 
+def error_boxes(lake: Lake, path: str | None = None) -> DataFrame:
+    """Box figures of each month's forecast error from daily sketches: whiskers, quartiles and median are values that occur."""
+    errors = marts.forecast_error(lake).where("forecast_error_mwh IS NOT NULL AND date IS NOT NULL").select("date", "forecast_error_mwh")
+    daily = sketches.kept(errors, "forecast_error_mwh", path) if path else sketches.made(errors, "forecast_error_mwh", ["date"])
+    months = sketches.merged(daily, [F.date_format("date", "yyyy-MM").alias("year_month")])
+    shares = {"p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+    boxed = months.withColumn("q", sketches.quantiles(list(shares.values())))
+    return boxed.select("year_month", "n", ratio("total", "n").alias("bias"), *[C("q")[i].alias(n) for i, n in enumerate(shares)])
+
+
+def error_kpis(lake: Lake) -> DataFrame:
+    """One row: means of the daily errors, share of hours forecast too high, mean absolute error."""
+    hours = marts.forecast_error(lake)
+    days = hours.groupBy("date").agg(F.max("daily_rmse_mwh").alias("rmse"), F.max("daily_mape_pct").alias("mape")).agg(F.avg("rmse").alias("mean_daily_rmse_mwh"), F.avg("mape").alias("mean_daily_mape_pct"))
+    over = F.avg((C("error_direction") == "Aşırı Tahmin").cast("double")) * 100
+    return days.crossJoin(F.broadcast(hours.agg(over.alias("over_forecast_pct"), F.avg("abs_error_mwh").alias("mean_abs_error_mwh"), F.count("*").alias("n"))))
+
+
+def intraday_months(lake: Lake) -> DataFrame:
+    """Intraday trade of each month: mean hourly volume and price, transactions."""
+    hours = marts.gip_hourly_reference(lake)
+    return hours.groupBy(F.date_format("date", "yyyy-MM").alias("year_month")).agg(
+        F.avg("gip_volume_mwh").alias("mean_volume_mwh"), F.sum("gip_volume_mwh").alias("volume_mwh"), F.avg("gip_vwap_try").alias("mean_vwap_try"), F.sum("gip_transaction_count").alias("transactions"), F.count("*").alias("n")
+    )
+
+
+def revision_sources(lake: Lake) -> DataFrame:
+    """Mean intraday revision of wind, sun and reservoirs by hour of the day."""
+    return hourly(marts.production_plan(lake), "wind_revision_mwh", "solar_revision_mwh", "hydro_revision_mwh")
+
+
+def extreme_months(lake: Lake) -> DataFrame:
+    """Hours of each month at the floor and at the ceiling, also months without any."""
+    return marts.ptf_extremes(lake).groupBy(F.date_format("date", "yyyy-MM").alias("year_month")).agg(F.count_if(C("ptf_category") == "MINIMUM").alias("minimum"), F.count_if(C("ptf_category") == "TAVAN").alias("ceiling"))
+
+
 def error_profile(lake: Lake) -> DataFrame:
     return hourly(marts.forecast_error(lake), "forecast_error_mwh", "abs_error_mwh")
 

@@ -20,5 +20,13 @@ def test_entry_without_text_operators(tmp_path, pipeline):
             shutil.copytree(there, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
         elif there.exists() and (pipeline or name != "corpus_pipeline.py"):
             shutil.copy(there, tmp_path / name)
+    # What git leaves of a folder that was deleted: a package without modules.
+    (tmp_path / "gridlake" / "llm" / "__pycache__").mkdir(parents=True)
     run = subprocess.run([sys.executable, "-c", SAYS], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, timeout=120)
     assert run.returncode == 0, run.stderr
+
+
+def test_entry_without_tokenizer_files(tmp_path):
+    hidden = "import sys; sys.modules['public_tokenizers'] = None; "
+    run = subprocess.run([sys.executable, "-c", hidden + SAYS], cwd=ROOT, env=os.environ | {"PYTHONPATH": str(ROOT)}, capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr

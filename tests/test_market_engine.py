@@ -118,6 +118,33 @@ def test_an_older_row_never_replaces_a_newer_one(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).select("date", "hour", "price", "arrived").collect())) == [(D(2025, 1, 1), 0, 20.0, 2), (D(2025, 1, 1), 1, 6.0, 3), (D(2025, 1, 2), 0, 1.0, 1)]
 
 
+def test_keyed_state_outlives_restarts_and_out_of_order_batches(spark, tmp_path):
+    """Each call is a new query that goes on from the checkpoint; the state, not the table, tells old from new."""
+    schema = "date date, hour int, at timestamp, price double, arrived int"
+    rng, day = random.Random(9), dt.datetime(2025, 1, 1)
+    rows = [(D(2025, 1, 1), h, day + dt.timedelta(hours=h), round(rng.random(), 6), n) for h in range(6) for n in rng.sample(range(1, 40), 8)]
+    rng.shuffle(rows)
+    told, firsts, calls = [], [], [rows[:17], rows[17:20], rows[20:]]
+    for batch in calls:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        streams.keyed_upsert_stream(stream, f"{tmp_path}/table", ["date", "hour"], f"{tmp_path}/c1").awaitTermination()
+        for seen, df, at in ((told, streams.newest_corrections(stream, ["date", "hour"]), "c2"), (firsts, streams.first_predictions(stream, ["date", "hour"], "arrived"), "c3")):
+            mode = "update" if seen is told else "append"
+            df.writeStream.foreachBatch(lambda b, _, seen=seen: seen.append(sorted(map(tuple, b.collect())))).outputMode(mode).option("checkpointLocation", f"{tmp_path}/{at}").trigger(availableNow=True).start().awaitTermination()
+    newest = {h: max(r[4] for r in rows if r[1] == h) for h in range(6)}
+    table = {r["hour"]: r["arrived"] for r in spark.read.parquet(f"{tmp_path}/table").collect()}
+    assert table == newest
+    emitted = [r for batch in told for r in batch]
+    for h in range(6):
+        places = [r[4] for r in emitted if r[1] == h]
+        assert places == sorted(set(places)) and places[-1] == newest[h]
+    first_call = {h: min((i for i, b in enumerate(calls) if any(r[1] == h for r in b))) for h in range(6)}
+    kept = [r for batch in firsts for r in batch]
+    assert sorted(r[1] for r in kept) == list(range(6))
+    assert all(r[4] == min(x[4] for x in calls[first_call[r[1]]] if x[1] == r[1]) for r in kept)
+
+
 # Ranks
 
 
@@ -158,6 +185,36 @@ def test_area_under_the_curve_of_clumped_scores(spark):
     assert abs(forecast.rank_auc(table, "s", F.col("y")).first()[0] - (rank_sum - p * (p + 1) / 2) / (p * (len(rows) - p))) < 1e-12
 
 
+# Sketches
+
+
+def test_sketches_of_days_merge_to_one_pass(spark, tmp_path):
+    from gridlake.operators import sketches
+
+    rng = random.Random(12)
+    values = [round(rng.gauss(100, 30), 4) for _ in range(60_000)]
+    table = spark.createDataFrame([(D(2025, 1 + i % 3, 1 + i % 28), v) for i, v in enumerate(values)], "date date, v double").repartition(6)
+    shares = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    ordered = sorted(values)
+    rank = lambda v: sum(x <= v for x in ordered) / len(ordered)
+    days = sketches.made(table, "v", ["date"], 512)
+    merged = sketches.merged(days, [], 512).select(sketches.quantiles(shares), "n", "total").first()
+    once = sketches.made(table, "v", [], 512).select(sketches.quantiles(shares)).first()[0]
+    assert merged["n"] == len(values) and merged["total"] == pytest.approx(sum(values))
+    for share, a, b in zip(shares, merged[0], once):
+        assert abs(rank(a) - share) <= 2.3 / 512 * 2 and abs(rank(b) - share) <= 2.3 / 512 * 2
+    # As long as a sketch holds all its values, quantiles are those of the values.
+    small = spark.createDataFrame([(D(2025, 1, 1 + i % 5), float(i * 37 % 1001)) for i in range(1001)], "date date, v double")
+    got = sketches.merged(sketches.made(small, "v", ["date"]), []).select(sketches.quantiles(shares)).first()[0]
+    assert got == [float(max(0, math.ceil(s * 1001) - 1)) for s in shares]
+    # Kept sketches: a day's news replace that day's sketch and leave the others.
+    path = f"{tmp_path}/sketches"
+    sketches.kept(small, "v", path)
+    again = sketches.kept(spark.createDataFrame([(D(2025, 1, 2), 5000.0)], "date date, v double"), "v", path)
+    assert {r["date"].day: r["n"] for r in again.collect()} == {1: 201, 2: 1, 3: 200, 4: 200, 5: 200}
+    assert sketches.merged(again, []).select(sketches.quantiles([1.0])).first()[0] == [5000.0]
+
+
 # Boosting
 
 
