@@ -155,11 +155,10 @@ def with_validation(rows: DataFrame, days: int = 7) -> DataFrame:
 
 def fit_price(rows: DataFrame, rounds: int = 15, depth: int = 4, seed: int = 3, validation_days: int | None = None, tolerance: float = 0.01):
     """Boosted trees on features and class probabilities; with ``validation_days`` rounds end once those days' error no longer falls."""
-    boost = GBTRegressor(featuresCol="features", labelCol="smf_try", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=seed)
+    boost = GBTRegressor(featuresCol="features", labelCol="smf_try", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=seed, validationTol=tolerance)
     known = weighted(rows)
     if validation_days:
-        known = with_validation(known, validation_days)
-        boost = boost.setValidationIndicatorCol("is_validation").setValidationTol(tolerance)
+        known, boost = with_validation(known, validation_days), boost.setValidationIndicatorCol("is_validation")
     return Pipeline(stages=[VectorAssembler(inputCols=PRICE_FEATURES, outputCol="features"), boost]).fit(known)
 
 

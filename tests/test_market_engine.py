@@ -326,8 +326,13 @@ def test_price_boosting_stops_early_and_sees_no_later_day(features):
     assert all(r["validation_error"] >= 0 for r in rows)
 
 
-def test_the_race_finds_what_the_whole_grid_finds(features):
-    grid = [{"trees": 1, "depth": 1}, {"trees": 3, "depth": 2}, {"trees": 8, "depth": 4}, {"trees": 10, "depth": 5}]
+def test_the_race_finds_what_the_whole_grid_finds(spark):
+    """A table whose classes take two splits, so that sets differ by more than noise."""
+    noise = [F.rand(i).alias(c) for i, c in enumerate(forecast.DIRECTION_FEATURES)]
+    hours = spark.range(60 * 24).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 24).cast("int")).alias("date"), (F.col("id") % 24).cast("int").alias("hour"), F.lit(1.0).alias("smf_try"), *noise)
+    high, dear = F.col("forecasted_load_mwh") > 0.5, F.col("ptf_try") > 0.5
+    features = hours.withColumn("system_direction", F.when(high & dear, "ENERGY_DEFICIT").when(~high & dear, "ENERGY_SURPLUS").otherwise("IN_BALANCE"))
+    grid = [{"trees": 1, "depth": 1}, {"trees": 40, "depth": 6}, {"trees": 2, "depth": 1}, {"trees": 1, "depth": 2}]
     whole, raced = forecast.search(features, grid, folds=3).collect(), forecast.race(features, grid, folds=3).collect()
     assert sum(r["fits"] for r in whole) == 12 and sum(r["fits"] for r in raced) == 7
     assert raced[0]["grid_row"] == whole[0]["grid_row"] and raced[0]["accuracy"] == pytest.approx(whole[0]["accuracy"])
