@@ -1,5 +1,7 @@
 """The pipeline's stages against the operators' own verdicts, and the registered text queries."""
 
+import os
+
 import duckdb
 import pytest
 from brute import brute_matches, jaccard_roots
@@ -9,7 +11,7 @@ import corpus_pipeline
 from gridlake.llm import queries, quality_rules
 from gridlake.llm.runtime import documents
 
-TABLES = "documents benchmark labels conversations"
+TABLES = "documents benchmark labels conversations embeddings"
 
 
 def ids(df):
@@ -44,11 +46,33 @@ def test_stages_take_an_empty_table(spark, sf):
         assert stage(spark, docs, sf).count() == 0
 
 
+def test_stages_on_awkward_rows(spark, sf):
+    """Null, empty, very long and repeated texts, null ids and columns whose names the stages use themselves."""
+    long = "word " * 20_000 + "token = 'abcdef123456'"
+    rows = [(1, None), (2, ""), (3, "some words that are said here"), (3, "some words that are said here"), (4, long), (5, long + " and"), (None, "no id but words enough to be a text"), (6, " \n\t "), (7, "secret: hunter22 and more"), (8, "Ünï¢ødé 漢字 🎉")]
+    clash = {"lang": "en", "source": "s", "n_chars": 5, "node": 1, "root": 2, "keys": "k", "fingerprint": 3, "spans": "x", "base": "b", "found": 4, "n_words": 6, "kept": False, "ids": "i", "own_id": 7, "is_first": True, "text_hash": 8}
+    docs = spark.createDataFrame([(*r, *clash.values()) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, node int, root int, keys string, fingerprint int, spans string, base string, found int, n_words int, kept boolean, ids string, own_id int, is_first boolean, text_hash int")
+    out = {name: stage(spark, docs, sf) for name, stage in corpus_pipeline.STAGES}
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert out[name].columns == docs.columns, name
+        assert {tuple(r)[2:4] for r in out[name].collect()} <= {("en", "s")}
+    assert ids(out["quality_rules"]) <= {3, 4, 5, 7, 8, None}
+    near = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out["simhash_near_dedup"].collect())
+    assert near == [(False, i) for i in (1, 3, 4, 7, 8)] + [(True, 0)]
+    assert len(out["benchmark_decontamination"].collect()) == len(rows)
+    cut = {r["doc_id"]: r for r in out["secret_scan"].collect()}
+    assert cut[4]["text"] == "word " * 20_000 + "[SECRET]'" and cut[7]["text"] == "[SECRET] and more" and cut[1]["text"] is None
+    assert all(r["text"] is None or r["n_chars"] == len(r["text"]) for r in cut.values())
+    coded = [r for r in out["byte_bpe"].collect()]
+    assert len(coded) == len(rows) and {r["n_tokens"] for r in coded if r["doc_id"] in (1, 2)} == {0}
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_twins(spark, sf, name):
     con = duckdb.connect()
     for table in TABLES.split():
-        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+        files = f"{sf}/{table}.parquet"
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{files}{'/*.parquet' if os.path.isdir(files) else ''}')")
     found, twin = queries.QUERIES[name](spark, sf), con.sql(queries.ORACLE_SQL[name])
     columns = sorted(found.columns)
     assert columns == sorted(twin.columns)
@@ -57,4 +81,4 @@ def test_twins(spark, sf, name):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
