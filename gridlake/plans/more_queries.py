@@ -119,7 +119,7 @@ _add("NO9_lead_source", lambda lake: normalize.lead_source(lake["interim_mcp"].s
 _add("NO11_latest_snapshot", _snapshots, f"SELECT organization_id, CASE WHEN organization_id % 2 = 0 THEN organization_name ELSE 'old' END AS organization_name, CASE WHEN organization_id % 2 = 0 THEN DATE '{AS_OF}' ELSE DATE '2024-01-01' END AS ds FROM participants")
 _add("NO12_outage_instants", lambda lake: bronze.normalise(lake.silver["outages"].drop("_record_hash").withColumns({c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ssXXX") for c in ("caseStartDate", "caseEndDate")}), bronze.JOBS["outages"]).select("id", "year", "month", "day").distinct(), "SELECT id::BIGINT AS id, strftime(start_time, '%Y') AS year, strftime(start_time, '%m') AS month, strftime(start_time, '%d') AS day FROM outages")
 _add("NO19_renamed_cities", _cities, "SELECT (date::TIMESTAMP + hour * INTERVAL 1 HOUR - INTERVAL 3 HOUR) AS date, CASE city_name WHEN 'city0' THEN 'istanbul' WHEN 'city1' THEN 'izmir' WHEN 'city2' THEN 'konya' ELSE 'ankara' END AS city, temperature_celsius AS temperature_2m FROM weather", "date", "city")
-_add("NO20_empty_guard", _guard)
+_add("NO20_empty_guard", _guard, "SELECT 'smf' AS source, count(*) = 0 AS skipped FROM smf UNION ALL SELECT 'none', count(*) FILTER (false) = 0 FROM smf")
 _add("IN6_predictions", _predictions, _told, "predicted_date", "hour")
 _add("IN8_create_if_missing", _created, "SELECT 0::BIGINT AS n_before, count(*) AS n_after FROM smf")
 _add("IN10_result_rows", _results, "WITH o AS (SELECT ['a', 'b', 'c'][hour % 3 + 1] AS model, avg(smf_try) AS score FROM smf GROUP BY 1), n AS (SELECT ['c', 'd'][hour % 2 + 1] AS model, avg(smf_try) + 1 AS score FROM smf GROUP BY 1) SELECT * FROM n UNION ALL SELECT * FROM o WHERE model NOT IN (SELECT model FROM n)", "model")

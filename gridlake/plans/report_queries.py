@@ -63,7 +63,7 @@ _profile = ", ".join(f"avg({c}) AS mean_{c}" for c in ("forecasted_load_mwh", "f
 _add("BI16_residual_profile", reports.residual_profile, f"SELECT hour, {_profile}, count(*) AS n FROM ({RESIDUAL}) GROUP BY 1", "hour", "n")
 _add("BI16_residual_monthly", reports.residual_monthly, f"SELECT {_month}, {_profile}, count(*) AS n FROM ({RESIDUAL}) GROUP BY 1", "year_month", "n")
 _add("BI17_shock_months", lambda lake: reports.shock_months(lake, AS_OF), f"SELECT {_month}, avg(total_outage_mwh) AS mean_outage_mwh, avg(supply_shock_index) AS mean_shock, count(*) FILTER (supply_shock_index > 1) AS risk_days, count(*) AS n FROM ({SHOCK}) GROUP BY 1", "year_month", "risk_days", "n")
-_add("BI18_outlook_spine", _predicted(lambda lake, p: reports.outlook_spine(lake, p, NOW)))
+_add("BI18_outlook_spine", _predicted(lambda lake, p: reports.outlook_spine(lake, p, NOW)), f"SELECT datetime, smf_try, p AS predicted_smf, coalesce(smf_try, p) AS value, CASE WHEN smf_try IS NOT NULL THEN 'realized' WHEN p IS NOT NULL THEN 'model' ELSE 'none' END AS value_source FROM (SELECT unnest(generate_series(TIMESTAMP '{NOW}' - INTERVAL 7 HOUR, TIMESTAMP '{NOW}' + INTERVAL 16 HOUR, INTERVAL 1 HOUR)) AS datetime) LEFT JOIN (SELECT date::TIMESTAMP + (hour - 3) * INTERVAL 1 HOUR AS datetime, smf_try FROM smf) USING (datetime) LEFT JOIN (SELECT date::TIMESTAMP + (hour - 3) * INTERVAL 1 HOUR AS datetime, p FROM {_told}) USING (datetime)", "datetime", "value_source")
 _add("BI19_lag_correlations", reports.lag_correlations, "WITH l AS (SELECT smf_try AS v, lag(smf_try, 5) OVER (ORDER BY date, hour) AS a, lag(smf_try, 24) OVER (ORDER BY date, hour) AS b, lag(smf_try, 168) OVER (ORDER BY date, hour) AS c FROM smf) SELECT 1 AS k, corr(v, a) AS corr_5h, corr(v, b) AS corr_24h, corr(v, c) AS corr_168h FROM l", "k")
 ORACLE_SQL["BI19_lag_correlations"] = f"SELECT * EXCLUDE (k) FROM ({ORACLE_SQL['BI19_lag_correlations']})"
 _add("BI20_confusion", _predicted(reports.confusion), f"SELECT c AS system_direction, count(*) FILTER (d = 'ENERGY_DEFICIT') AS ENERGY_DEFICIT, count(*) FILTER (d = 'ENERGY_SURPLUS') AS ENERGY_SURPLUS, count(*) FILTER (d = 'IN_BALANCE') AS IN_BALANCE FROM (VALUES ('ENERGY_DEFICIT'), ('ENERGY_SURPLUS'), ('IN_BALANCE')) AS t(c) LEFT JOIN (SELECT system_direction, d FROM {_told} JOIN system_direction USING (date, hour)) ON c = system_direction GROUP BY 1")
@@ -134,7 +134,7 @@ _add("DQ5_accepted_range", lambda lake: quality.accepted_range(lake["imbalance"]
 _add("DQ6_hourly_gaps", lambda lake: quality.hourly_gaps(lake["pricing"], AS_OF), f"SELECT d::DATE AS date, h::INT AS hour FROM (SELECT unnest(generate_series(min(date), DATE '{AS_OF}' - 3, INTERVAL 1 DAY)) AS d FROM pricing), range(24) AS r(h) WHERE NOT EXISTS (SELECT 1 FROM pricing p WHERE p.date = d::DATE AND p.hour = h)")
 _add("DQ7_price_positive", lambda lake: quality.accepted_range(lake["order_up"].select("date", "hour", "net_mwh"), "net_mwh", least=0), "SELECT date, hour, net_mwh FROM order_up WHERE net_mwh < 0", "date", "hour")
 _add("DQ8_generation_floor", lambda lake: quality.accepted_range(lake["generation"].select("date", "hour", "total_generation_mwh"), "total_generation_mwh", least=100), "SELECT date, hour, total_generation_mwh FROM generation WHERE total_generation_mwh < 100", "date", "hour")
-_add("DQ9_check_results", lambda lake: quality.check_results({("usd_not_null", "warn"): quality.not_null(lake["pricing"], "ptf_usd"), ("trade_unique", "error"): quality.unique(lake["idm_transactions"], "id"), ("load_gaps", "warn"): quality.hourly_gaps(lake["load_estimation"], AS_OF)}))
+_add("DQ9_check_results", lambda lake: quality.check_results({("usd_not_null", "warn"): quality.not_null(lake["pricing"], "ptf_usd"), ("trade_unique", "error"): quality.unique(lake["idm_transactions"], "id"), ("load_gaps", "warn"): quality.hourly_gaps(lake["load_estimation"], AS_OF)}), f"SELECT 'usd_not_null' AS \"check\", 'warn' AS severity, count(*) AS failures FROM pricing WHERE ptf_usd IS NULL UNION ALL SELECT 'trade_unique', 'error', count(*) FROM (SELECT id FROM idm_transactions GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'load_gaps', 'warn', count(*) FROM (SELECT unnest(generate_series(min(date), DATE '{AS_OF}' - 3, INTERVAL 1 DAY)) AS d FROM load_estimation), range(24) AS r(h) WHERE NOT EXISTS (SELECT 1 FROM load_estimation p WHERE p.date = d::DATE AND p.hour = h)")
 _add("DQ10_freshness", lambda lake: quality.freshness(lake.silver["smf"], "smf", "date", AS_OF, 24, 48), f"SELECT 'smf' AS source, max(t) AS last, date_diff('hour', max(t), TIMESTAMP '{AS_OF}') AS age_hours, CASE WHEN date_diff('hour', max(t), TIMESTAMP '{AS_OF}') > 48 THEN 'error' WHEN date_diff('hour', max(t), TIMESTAMP '{AS_OF}') > 24 THEN 'warn' ELSE 'ok' END AS status FROM slv WHERE sum_purchase IS NOT NULL")
 _add("DQ11_coverage", _score, _cover, "table_name", "min_date", "max_date", "n_rows", "n_days", "n_hours", "days_stale", "status")
 _add("DQ12_short_days", lambda lake: quality.short_days(lake["pricing"]), "SELECT date, count(*) AS n_rows FROM pricing GROUP BY 1 HAVING count(*) < 24 ORDER BY 2, 1 LIMIT 20")

@@ -221,7 +221,8 @@ _add("IO2_read_drift_safe", _drift, "SELECT o_orderkey, CASE WHEN o_orderkey % 2
 _add("IO4_list_files", _listed, "SELECT count(*) AS n_rows, sum(value) AS total FROM events", "n_rows")
 _add("IO5_flatten_envelope", _envelope, "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem", "l_orderkey", "l_linenumber")
 _add("IO7_touched_partitions", _round_trip, f"SELECT date, hour, id, price_try + CASE WHEN date = DATE '2024-01-05' THEN 1000 ELSE 0 END AS price_try, quantity_mwh FROM ({_trade_sql})", "date", "hour", "id")
-_add("IO9_run_jobs", _batch)
+_runs = {"pricing": "sum_view IS NOT NULL", "smf": "sum_purchase IS NOT NULL", "system_direction": "sum_view IS NOT NULL OR sum_click IS NOT NULL"}
+_add("IO9_run_jobs", _batch, " UNION ALL ".join(f"SELECT '{n}' AS source, 'OK' AS status, count(DISTINCT t) AS n_rows FROM slv WHERE {c}" for n, c in _runs.items()) + " UNION ALL SELECT 'dams', 'EMPTY', 0 UNION ALL SELECT 'weather', 'FAILED', 0")
 _add("IO10_register_tables", _registered, "SELECT year(date)::INT AS year, month(date)::INT AS month, day(date)::INT AS day, count(*) AS n FROM idm_transactions GROUP BY 1, 2, 3")
 _add("IO11_lookback_rewrite", _lookback, _smf_late, "date", "hour")
 _add("IO12_integers_to_double", lambda lake: bronze.integers_to_double(lake.silver.table("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")), "SELECT l_orderkey::DOUBLE AS l_orderkey, l_linenumber::DOUBLE AS l_linenumber, l_quantity FROM lineitem")
