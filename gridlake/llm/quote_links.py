@@ -3,7 +3,7 @@
 A line's quote level is the number of ``>`` it begins with. Consecutive lines of one level are a quoted passage; the
 rest of a message, without lines that only announce a quote, is its own text. Passages and own texts are normalised
 (lower case, single blanks) and hashed: a passage joins the message of its conversation that first said it, as a whole,
-as a paragraph, or line by line. A message replies to the origin of its outermost linked passage, the later one of
+as a paragraph, or line by line (single lines of under ``MIN_LINE`` code points are too common to link on their own). A message replies to the origin of its outermost linked passage, the later one of
 several; without one it replies to the turn before it.
 
 Replies make a tree. ``position`` numbers a conversation's turns in reply order: a message that replies to an older one

@@ -9,6 +9,9 @@ level each key hashes to one bit, keys alone on theirs are placed and the others
 the rank of its bit over all levels, so n keys have the slots 0 to n - 1. Each slot stores a 32-bit fingerprint of its
 key, which tells foreign keys apart, and its first document and number of documents (several rows may share an id).
 
+There are as many shards as shuffle partitions, and a task holds the ids of one shard's documents and their counts, so
+``spark.sql.shuffle.partitions`` has to grow with the number of documents.
+
 Files carry a random part in their name, and only those that a finished task reports are read, so tasks may run twice.
 Null and empty texts have the end id alone; a null id is a key of its own and stands first. Other columns are ignored.
 """
