@@ -300,11 +300,21 @@ def similar_links(docs: DataFrame, sketched: DataFrame, text_col: str, width: in
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         some = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-        both = some.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+        if some.count() <= max_broadcast:
+            # Only the sets of candidates move, to their pair; sets that no pair asks for stay where they are.
+            ends = some.select("a", "b", F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(True).alias("first")), F.struct(F.col("b").alias("node"), F.lit(False).alias("first")))).alias("e"))
+            met_pairs = sets.join(F.broadcast(ends.select("a", "b", "e.*")), "node").groupBy("a", "b")
+            both = met_pairs.agg(F.max(F.when(F.col("first"), F.col("hashes"))).alias("x"), F.max(F.when(~F.col("first"), F.col("hashes"))).alias("y"))
+        else:
+            both = some.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
         return both.select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a binary, b binary")
 
-    found, before, turn = None, None, 0
-    while True:
+    found: DataFrame | None = None
+    before, turn, over = 0.0, 0, False
+
+    def next_roots() -> DataFrame:
+        """The components after one more turn; nothing but them is kept of it."""
+        nonlocal before, over
         known = state.withColumn("root", F.col("node")) if found is None else state.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
         now = rows.join(known.withColumn("mark", F.xxhash64("root")).drop("root"), "node")
         now = written(now, "rooted-rows")
@@ -313,22 +323,25 @@ def similar_links(docs: DataFrame, sketched: DataFrame, text_col: str, width: in
         open_keys = written(each.where("n * n > own"), "open-keys")
         open_pairs = open_keys.agg(F.sum((F.col("n") * F.col("n") - F.col("own")).cast("double")), F.sum("n")).collect()[0]
         if open_pairs[0] is None:
+            over = True
             return found if found is not None else sketched.sparkSession.createDataFrame([], "node binary, root binary")
-        last = turn and (open_pairs[0] <= 16 * open_pairs[1] or open_pairs[0] > before / 2)
+        over = bool(turn and (open_pairs[0] <= 16 * open_pairs[1] or open_pairs[0] > before / 2))
         before = open_pairs[0]
-        if last:
+        if over:
             links = _dealt(now, sets, open_keys, chunk or CHUNK).mapInArrow(_near_pairs(similarity), "a binary, b binary")
         else:
-            member = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(turn * CENTRES + k)), "node", "mark", "size", "print"))  # noqa: B023, E731
+            member = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(turn * CENTRES + k)), "node", "mark", "size", "print"))
             centres = now.join(open_keys.select("key"), "key", "left_semi").groupBy("key").agg(*[member(k).alias(f"c{k}") for k in range(CENTRES)])
             links = confirmed(now.join(written(centres, "centres"), "key").mapInArrow(_near_centres(similarity), "a binary, b binary"))
         edges = written(links, "confirmed")
         if found is not None:
             edges = edges.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        found = kept(sketched.sparkSession, lambda: components(edges), "roots")  # noqa: B023  called at once
-        if last:
-            return found
+        return components(edges)
+
+    while not over:
+        found = kept(sketched.sparkSession, next_roots, "roots")
         turn += 1
+    return found
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, similarity: float = SIMILARITY, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
