@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import dealt, written
 
 TYPES = ["view", "purchase", "click", "signup", "error"]
 #: Fuel columns of the plan tables, in the order in which test data fills them.
@@ -169,7 +169,10 @@ class Silver:
 
     def _dams(self) -> DataFrame:
         places = self.table("supplier").join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", "s_name", "r_name")
-        level = self.table("lineitem").groupBy(recent("l_shipdate").alias("date"), F.col("l_suppkey").alias("s_suppkey")).agg(F.sum("l_quantity").alias("activeVolume"))
+        lines = self.table("lineitem")
+        # By reservoir alone, so that later steps by (date, reservoir) and by reservoir need no exchange of their own.
+        shipped = dealt(lines.select(recent("l_shipdate").alias("date"), F.col("l_suppkey").alias("s_suppkey"), "l_quantity"), lines.count(), "s_suppkey")
+        level = shipped.groupBy("date", "s_suppkey").agg(F.sum("l_quantity").alias("activeVolume"))
         named = level.join(places, "s_suppkey")
         return named.select("date", F.col("s_suppkey").alias("damId"), F.col("r_name").alias("basinName"), F.col("s_name").alias("damName"), "activeVolume", F.md5(F.concat_ws("|", F.unix_timestamp("date"), "s_suppkey")).alias("_record_hash"))
 

@@ -23,3 +23,11 @@ def written(df: DataFrame) -> DataFrame:
     path = folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, rows: int, *keys: str, each: int = 400_000) -> DataFrame:
+    """``df`` by ``keys`` in partitions of about ``each`` of its ``rows``, which grow in number and not in size with the table.
+
+    Spark joins small partitions up to a size in compressed bytes, and short keys and sums of many rows take few of them.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)), *keys)

@@ -3,13 +3,16 @@
 import datetime as dt
 import math
 import random
+import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from gridlake.operators import incremental, ranking, swap
 from gridlake.plans import boosting, forecast, hourly, model_store, registry, staging
-from gridlake.sources import files
+from gridlake.sources import files, shared
+from gridlake.sources.bindings import Silver
 from gridlake.streaming import market as streams
 
 D = dt.date
@@ -360,3 +363,36 @@ def test_stored_models_score_as_before_and_refuse_other_features(spark, features
     # A save that stopped before its card was there doesn't count.
     files.put_text(spark, f"{path}/direction/version=00003/model.json", "{}")
     assert model_store.load(spark, path, "direction", forecast.DIRECTION_FEATURES)[1].version == 2 and staging.MODELS
+
+
+def test_partitions_of_dealt_rows_grow_in_number_only(spark):
+    rows = spark.range(3000).select((F.col("id") % 100).alias("k"))
+    held = shared.dealt(rows, 3000, "k", each=100).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.collect_set("k").alias("ks")).collect()
+    assert max(r["n"] for r in held) < 3000 / 4 and sum(len(r["ks"]) for r in held) == 100
+    assert shared.dealt(rows, 3000, "k", each=100).rdd.getNumPartitions() == 30
+
+
+@pytest.mark.parametrize("name", ["SI25_dams", "ST26_dams", "MA14_hydro_risk", "BI28_volume_movers"])
+def test_reservoirs_are_dealt_once_by_their_rows(spark, sf, name):
+    """One task never holds all reservoirs, whatever the session's number of shuffle partitions; small tables' broadcasts are off."""
+    large = {"spark.sql.shuffle.partitions": "1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    held = {k: spark.conf.get(k) for k in large}
+    try:
+        for k, v in large.items():
+            spark.conf.set(k, v)
+        places = Silver(spark, sf)["dams"].groupBy(F.spark_partition_id().alias("p")).count().collect()
+        plan = registry.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(places) > 1 and "REPARTITION_BY_NUM" in plan
+    # Rows lie by reservoir already, so nothing is moved by reservoir and day or by reservoir again.
+    assert not re.search(r"Exchange hashpartitioning\([^)]*dam_?id#\d+L?, [^)]*\), ENSURE_REQUIREMENTS", plan, re.I)
+    con = duckdb.connect()
+    for table in ("region", "nation", "supplier", "lineitem"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+    plain = lambda v: f"{v:.6g}" if isinstance(v, float) else str(v)
+    found, twin = registry.QUERIES[name](spark, sf), con.sql(registry.ORACLE_SQL[name])
+    columns = sorted(found.columns)
+    wanted = twin.select(*[f'"{c}"' for c in columns]).fetchall()
+    assert sorted([plain(r[c]) for c in columns] for r in found.collect()) == sorted([plain(v) for v in row] for row in wanted)
