@@ -207,14 +207,22 @@ def merit_order(lake: Lake) -> DataFrame:
     return on_hour(lake["supply_demand_curve"], prices(lake)).withColumn("supply_status", F.when(inside, "In Merit (Eşleşti)").otherwise("Out of Merit (Eşleşmedi)"))
 
 
+def outage_spans(lake: Lake) -> DataFrame:
+    """Capacity and number of outages by first and last day, written once a lake: plans below read it several times."""
+    if not hasattr(lake, "_outage_spans"):
+        days = [F.to_date("start_time").alias("first"), F.to_date("end_time").alias("until")]
+        lake._outage_spans = written(lake["outages"].where("end_time > start_time").groupBy(*days).agg(F.sum("outage_capacity_mwh").alias("mw"), F.count("*").alias("n")))
+    return lake._outage_spans
+
+
 def outage_days(lake: Lake, as_of) -> DataFrame:
     """Capacity lost on each day: a span adds at its start and takes off after its end, and a running sum over days adds up.
 
-    Two rows per span and one per day of the calendar, however long spans are.
+    Two rows per pair of days and one per day of the calendar, however long spans are.
     """
-    last = F.least(F.to_date("end_time"), F.lit(as_of).cast("date"))
-    spans = lake["outages"].where("end_time > start_time").select(F.to_date("start_time").alias("first"), last.alias("last"), "outage_capacity_mwh").where("last >= first")
-    edges = spans.select(F.explode(F.array(F.struct(C("first").alias("date"), C("outage_capacity_mwh").alias("mw"), F.lit(1).alias("n")), F.struct(F.date_add("last", 1).alias("date"), (-C("outage_capacity_mwh")).alias("mw"), F.lit(-1).alias("n")))).alias("e"))
+    last = F.least("until", F.lit(as_of).cast("date"))
+    spans = outage_spans(lake).select("first", last.alias("last"), "mw", "n").where("last >= first")
+    edges = spans.select(F.explode(F.array(F.struct(C("first").alias("date"), "mw", "n"), F.struct(F.date_add("last", 1).alias("date"), (-C("mw")).alias("mw"), (-C("n")).alias("n")))).alias("e"))
     daily = edges.groupBy("e.date").agg(F.sum("e.mw").alias("mw"), F.sum("e.n").alias("n"))
     calendar = daily.agg(F.min("date").alias("a"), F.max("date").alias("b")).where("a IS NOT NULL").select(F.explode(F.sequence("a", "b")).alias("date"))
     running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)

@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridlake.operators import incremental, ranking, swap
-from gridlake.plans import boosting, forecast, hourly, model_store, registry, staging
+from gridlake.plans import boosting, forecast, hourly, marts, model_store, registry, staging
+from gridlake.plans.oracles import AS_OF
 from gridlake.sources import files, shared
 from gridlake.sources.bindings import Silver
 from gridlake.streaming import market as streams
@@ -396,3 +397,14 @@ def test_reservoirs_are_dealt_once_by_their_rows(spark, sf, name):
     columns = sorted(found.columns)
     wanted = twin.select(*[f'"{c}"' for c in columns]).fetchall()
     assert sorted([plain(r[c]) for c in columns] for r in found.collect()) == sorted([plain(v) for v in row] for row in wanted)
+
+
+def test_outages_are_settled_once_for_all_that_read_them(spark, sf):
+    """Features, their calendar and the forward features read a table of days, not the outages again; days are those of every outage by itself."""
+    lake = staging.Lake(Silver(spark, sf))
+    found = [marts.outage_days(lake, day) for day in (AS_OF, "2024-01-20")]
+    for days, as_of in zip(found, (AS_OF, "2024-01-20"), strict=True):
+        assert not {"lineitem", "orders"} & {f.rpartition("/")[2].removesuffix(".parquet") for f in days.inputFiles()}
+        whole = lake["outages"].where("end_time > start_time").withColumn("last", F.least(F.to_date("end_time"), F.lit(as_of).cast("date"))).where("last >= to_date(start_time)")
+        each = whole.select(F.explode(F.sequence(F.to_date("start_time"), "last")).alias("date"), "outage_capacity_mwh").groupBy("date").agg(F.sum("outage_capacity_mwh").alias("mw"))
+        assert {r[0]: r[1] for r in days.collect()} == pytest.approx({r[0]: r[1] for r in each.collect()})
