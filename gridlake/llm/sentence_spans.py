@@ -9,8 +9,8 @@ single blanks, so that among 10^13 spans a chance match has a probability of abo
 All spans of all documents are counted by hash, with partial counts before the shuffle. Only repeated ones go on: each
 one's first place (least ``doc_id``, then sentence) is a grouped minimum, and sentences that any later place covers are
 removed from their documents. A hot passage is therefore one row before it is joined, and its join can be split. What is
-to be removed is broadcast if it has at most ``MAX_BROADCAST`` spans; then no text moves. Else texts are joined to it by
-a shuffle.
+to be removed is broadcast if it has at most ``MAX_BROADCAST`` spans; then no text moves. Else texts of documents that
+lose something are joined to it by a shuffle; a bitmap tells most others, whose texts stay where they are.
 
 Null and empty texts have no sentences. Rows alike in id and text are one document and get equal results: what one of
 them keeps, all keep. Other columns are ignored.
@@ -32,6 +32,8 @@ from .runtime import kept, slices, written
 
 SENTENCES, WORDS, LONG, PIECE = 2, 20, 32, 4
 MAX_BROADCAST = 2_000_000
+#: Words of 64 bits that tell which documents lose something; about 40 MB as a broadcast table.
+MAX_WORDS = 1 << 20
 CUT = re.compile(r"(?<=[.!?])\s+|\n\s*")
 WORD = re.compile(r"\S+")
 
@@ -116,14 +118,30 @@ def span_table(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> D
 def later_places(table: DataFrame) -> DataFrame:
     """The places of repeated spans that aren't their first ones, and the document of the first."""
     key = ["high", "low"]
+    # Half of the hash is enough to leave most spans behind; the few that share it by chance are first places of their own.
     # Written, so that both sides of the joins are plain exchanges and Spark can split a hot span's partition.
-    repeated = written(table.groupBy(*key).count().where("count > 1").select(*key), "repeated-keys")
-    places = written(table.join(repeated, key, "left_semi"), "repeated-spans")
+    repeated = written(table.groupBy("high").count().where("count > 1").select("high"), "repeated-keys")
+    places = written(table.join(repeated, "high", "left_semi"), "repeated-spans")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_key", "first")
     first = written(places.groupBy(*key).agg(F.min(place).alias("origin")), "first-places")
     return places.join(first, key).where(place != F.col("origin")).select("doc_id", "doc_key", "first", "stop", F.col("origin.doc_id").alias("origin_id"))
 
 
+def parted(docs: DataFrame, gone: DataFrame, most: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
+    """Documents that ``gone`` (_id, _key) may hold, and those that it surely doesn't.
+
+    The documents of ``gone`` set bits of a bitmap, 16 to 32 bits for each, in at most ``most`` words of 64, which is broadcast. About
+    one in 16 of the others, or more where the bitmap is full, shares a bit.
+    """
+    words = min(most, 1 << (gone.count() // 4).bit_length())
+    at = lambda *c: F.pmod(F.xxhash64(*c), F.lit(64 * words))
+    bits = gone.select(at("_id", "_key").alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(_at & 63 as int)))").alias("_bits"))
+    placed = docs.withColumn("_at", at("doc_id", "doc_key"))
+    marked = placed.join(F.broadcast(bits), F.shiftright("_at", 6) == F.col("_word"), "left")
+    may = F.coalesce(F.expr("(shiftright(_bits, cast(_at & 63 as int)) & 1) = 1"), F.lit(False))
+    return marked.where(may).select(docs.columns), marked.where(~may).select(docs.columns)
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES, words: int = WORDS, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """Per row: ``doc_id``, ``text`` without repeated sentences, ``n_sentences``, ``removed`` (sentence numbers), ``repeats_of``."""
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("doc_key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -134,8 +152,13 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     gone = kept(docs.sparkSession, repeats, "removed").withColumnsRenamed({"doc_id": "_id", "doc_key": "_key"})
     size = gone.agg(F.sum(F.size("gone") + F.size("repeats_of"))).collect()[0][0] or 0
-    side = F.broadcast(gone) if size <= max_broadcast else gone
-    both = keyed.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_key") == F.col("_key")), "left").select("doc_id", "text", "gone", "repeats_of")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_key") == F.col("_key"))
+    joined = lambda rows, side: rows.join(side, same, "left").select("doc_id", "text", "gone", "repeats_of")
+    if size <= max_broadcast:
+        both = joined(keyed, F.broadcast(gone))
+    else:
+        moved, still = parted(keyed, gone)
+        both = joined(moved, gone).unionByName(still.select("doc_id", "text", *[F.lit(None).cast(gone.schema[c].dataType).alias(c) for c in ("gone", "repeats_of")]))
     schema = T.StructType([both.schema["doc_id"], both.schema["text"], T.StructField("n_sentences", T.LongType()), T.StructField("removed", T.ArrayType(T.IntegerType())), both.schema["repeats_of"]])
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -373,6 +373,24 @@ def test_repeated_passages_go_and_short_phrases_stay(spark):
     assert found[9]["n_removed"] == found[10]["n_removed"] == found[11]["n_removed"] == 0
 
 
+def test_half_a_hash_in_common_removes_nothing(spark):
+    rows = [(d, d, 0, 2, 7, low) for d, low in ((1, 1), (2, 2), (3, 3), (4, 3), (5, 3))] + [(6, 6, 0, 2, 8, 1)]
+    table = spark.createDataFrame(rows, "doc_id long, doc_key long, first int, stop int, high long, low long")
+    assert sorted((r["doc_id"], r["origin_id"]) for r in sentence_spans.later_places(table).collect()) == [(4, 3), (5, 3)]
+
+
+def test_texts_without_repeats_do_not_move(spark):
+    """Those that lose something are told surely, most others are left where they are; also ids that are null."""
+    docs = spark.range(4000).select(F.when(F.col("id") != 5, F.col("id")).alias("doc_id"), (F.col("id") * 3).alias("doc_key"), F.lit("x").alias("text"))
+    gone = docs.where("doc_key % 30 = 0 OR doc_id IS NULL").select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key"))
+    moved, still = sentence_spans.parted(docs, gone)
+    assert {r["_key"] for r in gone.collect()} <= {r["doc_key"] for r in moved.collect()}
+    assert still.count() > 3000 and moved.count() + still.count() == 4000
+    # A bitmap that is full tells nothing, and loses nothing.
+    moved, still = sentence_spans.parted(docs, gone, most=1)
+    assert {r["_key"] for r in gone.collect()} <= {r["doc_key"] for r in moved.collect()} and moved.count() + still.count() == 4000
+
+
 def test_the_end_of_a_passage_is_covered():
     rng = random.Random(9)
     word = lambda: f"w{rng.randrange(10**6)}"
