@@ -176,9 +176,12 @@ class Silver:
         named = level.join(places, "s_suppkey")
         return named.select("date", F.col("s_suppkey").alias("damId"), F.col("r_name").alias("basinName"), F.col("s_name").alias("damName"), "activeVolume", F.md5(F.concat_ws("|", F.unix_timestamp("date"), "s_suppkey")).alias("_record_hash"))
 
-    def _lines(self) -> DataFrame:
+    def _lines(self, *keys: str) -> DataFrame:
         hour = F.col("l_partkey") % 24
-        lines = self.table("lineitem").join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        lines = self.table("lineitem")
+        # While rows are narrow, so that dedup by keys that hold these needs no exchange of wide rows.
+        lines = dealt(lines, lines.count(), *keys) if keys else lines
+        lines = lines.join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         # Shipping days begin at Istanbul midnight.
         at = recent("l_shipdate") + F.make_dt_interval(hours=(hour - 3).cast("int"))
         return lines.withColumns({"date": at, "time": F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":00")), "_record_hash": F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int")))})
@@ -189,7 +192,7 @@ class Silver:
 
     def _kgup_bulk_by_org(self) -> DataFrame:
         fuels = [F.when(F.col("l_linenumber") % len(PLAN_FUELS) == i, F.col("l_quantity")).otherwise(0.0).alias(f) for i, f in enumerate(PLAN_FUELS)]
-        return self._lines().select("date", "time", F.col("l_suppkey").alias("orgId"), F.col("l_partkey").alias("uevcbId"), F.concat(F.lit("unit"), F.col("l_partkey")).alias("uevcbName"), F.col("l_quantity").alias("toplam"), *fuels, "_record_hash")
+        return self._lines("l_suppkey", "l_partkey").select("date", "time", F.col("l_suppkey").alias("orgId"), F.col("l_partkey").alias("uevcbId"), F.concat(F.lit("unit"), F.col("l_partkey")).alias("uevcbName"), F.col("l_quantity").alias("toplam"), *fuels, "_record_hash")
 
     def _supply_demand(self) -> DataFrame:
         part = self.table("part")

@@ -408,3 +408,10 @@ def test_outages_are_settled_once_for_all_that_read_them(spark, sf):
         whole = lake["outages"].where("end_time > start_time").withColumn("last", F.least(F.to_date("end_time"), F.lit(as_of).cast("date"))).where("last >= to_date(start_time)")
         each = whole.select(F.explode(F.sequence(F.to_date("start_time"), "last")).alias("date"), "outage_capacity_mwh").groupBy("date").agg(F.sum("outage_capacity_mwh").alias("mw"))
         assert {r[0]: r[1] for r in days.collect()} == pytest.approx({r[0]: r[1] for r in each.collect()})
+
+
+def test_bulk_plans_move_while_rows_are_narrow(spark, sf):
+    """Lines are dealt by organisation and unit before fuels, texts and the second copy are there; nothing moves after."""
+    plan = registry.QUERIES["SI9_kgup_bulk_by_org"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    moves = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+    assert moves and all("REPARTITION_BY_NUM" in x for x in moves)
