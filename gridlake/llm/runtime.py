@@ -11,7 +11,8 @@ from contextvars import ContextVar
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _own_dirs: dict[str, str] = {}
@@ -56,13 +57,31 @@ def kept(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> Data
     finally:
         _scratch.reset(token)
         for path in made[:-1] if out is not None else made:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(spark, path)
     if (outer := _scratch.get()) is not None:
         outer.append(made[-1])
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def in_turns(df: DataFrame, key: Column, turns: int, name: str) -> Iterator[DataFrame]:
+    """Write ``df`` once, dealt by ``key`` into ``turns`` tables, and give them one by one; each is deleted when the next is asked for."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    (turn,) = free_names(df, "turn")
+    dealt = df.withColumn(turn, F.pmod(key, F.lit(turns)).cast("int"))
+    (dealt.write.partitionBy(turn) if turns > 1 else dealt.write).parquet(path)
+    if (made := _scratch.get()) is not None:
+        made.append(path)
+    table = spark.read.schema(dealt.schema).parquet(path)
+    for k in range(turns):
+        yield table.where(F.col(turn) == k).select(df.columns)
+        _delete(spark, f"{path}/{turn}={k}" if turns > 1 else path)
+
+
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path, which may be a URI in any store that pyarrow knows."""
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + os.path.abspath(uri.removeprefix("file:")))

@@ -6,11 +6,13 @@ space and at line ends; one of over ``LONG`` words is cut where its words' check
 are cut alike wherever they stand. Spans are compared by the 128-bit hash of their words, lower-cased and joined by
 single blanks, so that among 10^13 spans a chance match has a probability of about 10^-13.
 
-All spans of all documents are counted by hash, with partial counts before the shuffle. Only repeated ones go on: each
-one's first place (least ``doc_id``, then sentence) is a grouped minimum, and sentences that any later place covers are
-removed from their documents. A hot passage is therefore one row before it is joined, and its join can be split. What is
-to be removed is broadcast if it has at most ``MAX_BROADCAST`` spans; then no text moves. Else texts of documents that
-lose something are joined to it by a shuffle; a bitmap tells most others, whose texts stay where they are.
+All spans of all documents are counted by half of their hash, with partial counts before the shuffle, in turns of some 50
+million. A bitmap of the repeated halves, which is broadcast, leaves most other spans behind where they are, and a turn's
+spans are deleted. Each repeated span's first place (least ``doc_id``, then sentence) is a grouped minimum, and sentences that
+any later place covers are removed from their documents. A hot passage is therefore one row before it is joined, and its join
+can be split. What is to be removed, as ranges of sentences, is broadcast if these and the documents they repeat are at most
+``MAX_BROADCAST``; then no text moves. Else texts of documents that lose something are joined to it by a shuffle; a bitmap
+tells most others, whose texts stay where they are.
 
 Null and empty texts have no sentences. Rows alike in id and text are one document and get equal results: what one of
 them keeps, all keep. Other columns are ignored.
@@ -21,6 +23,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import pyarrow as pa
 import xxhash
@@ -28,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import kept, slices, written
+from .runtime import in_turns, kept, slices, written
 
 SENTENCES, WORDS, LONG, PIECE = 2, 20, 32, 4
 MAX_BROADCAST = 2_000_000
-#: Words of 64 bits that tell which documents lose something; about 40 MB as a broadcast table.
+#: Words of 64 bits that tell which documents lose something, or which spans of a turn repeat; about 40 MB as a broadcast table.
 MAX_WORDS = 1 << 20
+#: Characters of text whose spans are counted in a turn: some 50 million spans, so that the bitmap of those that repeat isn't full.
+TURN = 1 << 30
 CUT = re.compile(r"(?<=[.!?])\s+|\n\s*")
 WORD = re.compile(r"\S+")
 
@@ -115,40 +120,67 @@ def span_table(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> D
     return docs.mapInArrow(cut, schema)
 
 
-def later_places(table: DataFrame) -> DataFrame:
-    """The places of repeated spans that aren't their first ones, and the document of the first."""
+def may_be_in(rows: DataFrame, columns: list[str], keys: DataFrame, most: int = MAX_WORDS) -> DataFrame:
+    """``rows`` with a column ``_may``: whether the values of ``columns`` may be a row of ``keys``, which has as many columns. It is true for all that are.
+
+    The keys set bits of a bitmap, 16 to 32 bits for each, in at most ``most`` words of 64, which is broadcast. About one in 16 of the
+    other rows, or more where the bitmap is full, shares a bit.
+    """
+    words = min(most, 1 << (keys.count() // 4).bit_length())
+    at = lambda c: F.pmod(F.xxhash64(*c), F.lit(64 * words))
+    bits = keys.select(at(keys.columns).alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(_at & 63 as int)))").alias("_bits"))
+    marked = rows.withColumn("_at", at(columns)).join(F.broadcast(bits), F.shiftright("_at", 6) == F.col("_word"), "left")
+    return marked.select(*rows.columns, F.coalesce(F.expr("(shiftright(_bits, cast(_at & 63 as int)) & 1) = 1"), F.lit(False)).alias("_may"))
+
+
+def likely_repeated(table: DataFrame, most: int = MAX_WORDS) -> DataFrame:
+    """All spans that share half of their hash with another one, and a few others. Only halves of hashes are shuffled, to count them."""
+    halves = written(table.groupBy("high").count().where("count > 1").select("high"), "repeated-keys")
+    return may_be_in(table, ["high"], halves, most).where("_may").drop("_may")
+
+
+def repeated_spans(docs: DataFrame, least: int = SENTENCES, words: int = WORDS, turn: int = TURN) -> DataFrame:
+    """``likely_repeated`` of all spans of documents, which are dealt by their hashes into one turn for each ``turn`` characters of text."""
+    turns = 1 + (docs.agg(F.sum(F.length("text"))).collect()[0][0] or 0) // turn
+    tables = in_turns(span_table(docs, least, words), F.col("high"), turns, "spans")
+    return reduce(DataFrame.unionByName, [kept(docs.sparkSession, partial(likely_repeated, x), "repeated-spans") for x in tables])
+
+
+def later_places(places: DataFrame) -> DataFrame:
+    """The places of repeated spans that aren't their first ones, and the document of the first. Spans that don't repeat are first places of their own."""
     key = ["high", "low"]
-    # Half of the hash is enough to leave most spans behind; the few that share it by chance are first places of their own.
-    # Written, so that both sides of the joins are plain exchanges and Spark can split a hot span's partition.
-    repeated = written(table.groupBy("high").count().where("count > 1").select("high"), "repeated-keys")
-    places = written(table.join(repeated, "high", "left_semi"), "repeated-spans")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_key", "first")
-    first = written(places.groupBy(*key).agg(F.min(place).alias("origin")), "first-places")
+    # Written, so that both sides of the join are plain exchanges and Spark can split a hot span's partition.
+    first = written(places.groupBy(*key).agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-places")
     return places.join(first, key).where(place != F.col("origin")).select("doc_id", "doc_key", "first", "stop", F.col("origin.doc_id").alias("origin_id"))
 
 
-def parted(docs: DataFrame, gone: DataFrame, most: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
-    """Documents that ``gone`` (_id, _key) may hold, and those that it surely doesn't.
+def removals(places: DataFrame) -> DataFrame:
+    """Per document that loses something: ``gone``, ranges of sentences (first, stop) that don't touch, and ``repeats_of``, from ``later_places``.
 
-    The documents of ``gone`` set bits of a bitmap, 16 to 32 bits for each, in at most ``most`` words of 64, which is broadcast. About
-    one in 16 of the others, or more where the bitmap is full, shares a bit.
+    A document's spans in order of their starts are in order of their ends too, as each is the shortest from its start or to its
+    end. So a range begins where a span starts after the end of the one before.
     """
-    words = min(most, 1 << (gone.count() // 4).bit_length())
-    at = lambda *c: F.pmod(F.xxhash64(*c), F.lit(64 * words))
-    bits = gone.select(at("_id", "_key").alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(_at & 63 as int)))").alias("_bits"))
-    placed = docs.withColumn("_at", at("doc_id", "doc_key"))
-    marked = placed.join(F.broadcast(bits), F.shiftright("_at", 6) == F.col("_word"), "left")
-    may = F.coalesce(F.expr("(shiftright(_bits, cast(_at & 63 as int)) & 1) = 1"), F.lit(False))
-    return marked.where(may).select(docs.columns), marked.where(~may).select(docs.columns)
+    both = F.shiftleft(F.col("first").cast("long"), 32) + F.col("stop")
+    gathered = places.groupBy("doc_id", "doc_key").agg(F.sort_array(F.collect_set(both)).alias("_all"), F.sort_array(F.collect_set("origin_id")).alias("repeats_of"))
+    starts = F.expr("filter(_all, (x, i) -> i = 0 or shiftright(x, 32) > (_all[i - 1] & 4294967295))")
+    stops = F.expr("filter(_all, (x, i) -> i = size(_all) - 1 or shiftright(_all[i + 1], 32) > (x & 4294967295))")
+    ranges = F.zip_with(starts, stops, lambda a, b: F.struct(F.shiftright(a, 32).cast("int").alias("first"), b.bitwiseAND(F.lit(4294967295)).cast("int").alias("stop")))
+    return gathered.select("doc_id", "doc_key", ranges.alias("gone"), "repeats_of")
+
+
+def parted(docs: DataFrame, gone: DataFrame, most: int = MAX_WORDS) -> tuple[DataFrame, DataFrame]:
+    """Documents that ``gone`` (_id, _key) may hold, and those that it surely doesn't."""
+    marked = may_be_in(docs, ["doc_id", "doc_key"], gone.select("_id", "_key"), most)
+    return marked.where("_may").drop("_may"), marked.where("NOT _may").drop("_may")
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES, words: int = WORDS, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES, words: int = WORDS, max_broadcast: int = MAX_BROADCAST, turn: int = TURN) -> DataFrame:
     """Per row: ``doc_id``, ``text`` without repeated sentences, ``n_sentences``, ``removed`` (sentence numbers), ``repeats_of``."""
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("doc_key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def repeats() -> DataFrame:
-        places = later_places(written(span_table(keyed, least, words), "spans"))
-        return places.groupBy("doc_id", "doc_key").agg(F.collect_set(F.struct("first", "stop")).alias("gone"), F.sort_array(F.collect_set("origin_id")).alias("repeats_of"))
+        return removals(later_places(repeated_spans(keyed, least, words, turn)))
 
     gone = kept(docs.sparkSession, repeats, "removed").withColumnsRenamed({"doc_id": "_id", "doc_key": "_key"})
     size = gone.agg(F.sum(F.size("gone") + F.size("repeats_of"))).collect()[0][0] or 0

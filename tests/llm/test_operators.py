@@ -1,6 +1,7 @@
 """Operators against brute force, on the smallest tables and on a table of awkward rows."""
 
 import hashlib
+import itertools
 import json
 import math
 import os
@@ -391,6 +392,46 @@ def test_texts_without_repeats_do_not_move(spark):
     assert {r["_key"] for r in gone.collect()} <= {r["doc_key"] for r in moved.collect()} and moved.count() + still.count() == 4000
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spans_that_do_not_repeat_stay_where_they_are(spark):
+    """Only halves of hashes are shuffled to tell which spans repeat; a few others may pass, and are first places."""
+    one = spark.range(4000).selectExpr("id AS doc_id", "id AS doc_key", "0 AS first", "2 AS stop", "IF(id % 100 = 1, id - 1, id) AS high", "7L AS low")
+    table = sentence_spans.written(one.union(one.where("doc_id = 7").selectExpr("doc_id", "doc_key", "first", "stop", "high", "8L AS low")), "some")
+    likely = sentence_spans.likely_repeated(table)
+    assert "Exchange hashpartitioning(high" not in plan_of(likely)
+    found = {r["doc_id"] for r in likely.collect()}
+    assert {k for k in range(4000) if k % 100 < 2} | {7} <= found and len(found) < 1000
+    for some in (likely, table, sentence_spans.likely_repeated(table, most=1)):
+        assert sorted((r["doc_id"], r["origin_id"]) for r in sentence_spans.later_places(some).collect()) == [(k + 1, k) for k in range(0, 4000, 100)]
+
+
+def test_spans_in_turns_are_the_same_spans(docs, odd):
+    for table in (docs, odd):
+        one, many = (multiset(map(repr, sentence_spans.deduplicated(table, turn=n).collect())) for n in (1 << 40, 1 + table.agg(F.sum(F.length("text"))).first()[0] // 3))
+        assert one == many
+
+
+def test_a_long_passage_is_one_range(spark):
+    """A copy of 300 sentences is one range and one origin in what is broadcast, so no text is shuffled for it; ranges are those of the spans."""
+    passage = " ".join(f"Sentence number {n} says word{n} and word{n + 1} again." for n in range(300))
+    rows = [(d, f"Own start of {d}. {passage} Own end {d}.") for d in (1, 2)]
+    report = sentence_spans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), max_broadcast=4)
+    # Where texts move, those that stay are a union with them.
+    assert "Union" not in plan_of(report) and [len(by_id(report)[d]["removed"]) for d in (1, 2)] == [0, 300]
+    rng = random.Random(4)
+    drawn = {d: [x[:2] for x in sentence_spans.spans(" ".join(" ".join(["w"] * rng.randrange(1, 30)) + "." for _ in range(60))) if rng.random() < d / 40] for d in range(1, 41)}
+    places = [(d, d, a, b, o) for d, found in drawn.items() for a, b in found for o in (3, 1)]
+    made = sentence_spans.removals(spark.createDataFrame(places, "doc_id long, doc_key long, first int, stop int, origin_id long")).collect()
+    assert {r["doc_id"] for r in made} == {d for d in drawn if drawn[d]}
+    for row in made:
+        gone = [tuple(x) for x in row["gone"]]
+        assert sorted({k for a, b in drawn[row["doc_id"]] for k in range(a, b)}) == [k for a, b in gone for k in range(a, b)]
+        assert all(b < c for (_, b), (c, _) in itertools.pairwise(gone)) and row["repeats_of"] == [1, 3]
+
+
 def test_the_end_of_a_passage_is_covered():
     rng = random.Random(9)
     word = lambda: f"w{rng.randrange(10**6)}"
