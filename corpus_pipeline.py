@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import bpe_tree, near_copies, quality_rules, secrets, suffixes
-from gridlake.llm.runtime import documents, written
+from gridlake.llm.runtime import SMALL_SLICE, documents, written
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit) of each document, with digests of ids and of the bytes decoded from them."""
-    coded = bpe_tree.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = bpe_tree.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, max_bytes=SMALL_SLICE)
     return bpe_tree.token_digests(coded, "ids")
 
 

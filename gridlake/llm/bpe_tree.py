@@ -149,14 +149,14 @@ def packed(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF) -> DataFrame:
-    """Per row: ``doc_id``, ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` (binary, from the ids)."""
+def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF, max_bytes: int = 4 << 20) -> DataFrame:
+    """Per row: ``doc_id``, ``ids`` (binary, little-endian unsigned 32-bit) and ``decoded`` (binary, from the ids); a task holds ids of ``max_bytes`` of text."""
     keys = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = T.StructType([keys.schema["doc_id"], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", max_bytes):
             ids, back = [], []
             for text in part.column("text"):
                 found = encode(vocab, text.as_py(), leaf)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .runtime import free_names, kept, slices, written
+from .runtime import SMALL_SLICE, free_names, kept, slices, written
 from .simhash import SEED, near_lanes, packed_lanes, planes_of, shifted
 
 WORDS, SIMILARITY = 5, 0.8
@@ -93,7 +93,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
     schema = T.StructType([rows.schema["id"], rows.schema["text_hash"], *[T.StructField(*k) for k in kinds]])
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SMALL_SLICE):
             sets = [shingle_set(x, width) for x in part.column("text").cast(pa.binary()).to_pylist()]
             held = [x.tobytes() for x in sets]
             keys = pa.array([band_keys(x).view(np.int64) if len(x) else [] for x in sets], pa.list_(pa.int64()))
@@ -116,7 +116,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, met: DataFrame, text_col: str, wi
     rows = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text")).join(side, "text_hash", "left_semi").select("text")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SMALL_SLICE):
             # Exact copies stand for one node, of which one is enough here.
             held = dict.fromkeys(part.column("text").cast(pa.binary()).to_pylist())
             sets = {xxhash.xxh3_128_digest(x): x for x in (shingle_set(t, width).tobytes() for t in held)}

@@ -16,6 +16,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,7 +119,8 @@ def cascade_order(docs: DataFrame, rules: list[Rule], text_col: str = "text", sa
     taken = sampled(docs, text_col, sample_rows).collect()
     if not taken:
         return rules
-    sample = docs.sparkSession.createDataFrame(taken, "text string").coalesce(1)
+    # From an Arrow table: rows are pickled by Python workers, which then stay in the executors' memory while the rules run.
+    sample = docs.sparkSession.createDataFrame(pa.table({"text": pa.array([r["text"] for r in taken], pa.string())})).coalesce(1)
     found = (ratings if rated is None else rated)(sample, rules)
     return [r.rule for r in sorted(found, key=lambda r: (-r.rejected / r.seconds, r.rule.name))]
 

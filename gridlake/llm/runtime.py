@@ -99,6 +99,10 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: What tasks cut batches by where their arrays take many times a text's bytes, or rows of text are put out again.
+SMALL_SLICE = 1 << 19
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

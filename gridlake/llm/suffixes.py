@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import new_folder, opened, slices, written
+from .runtime import SMALL_SLICE, new_folder, opened, slices, written
 
 WIDTH = 10
 BLOCK_BYTES = 4 << 20
@@ -316,7 +316,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     files = written_blocks(benchmark, "item_id", "text", width, block_bytes)
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text_col):
+        for part in slices(batches, text_col, SMALL_SLICE):
             hashed, counts = word_hashes(part.column(text_col).fill_null(""))
             dirty = np.zeros(part.num_rows, bool)
             for file in files:

@@ -1,14 +1,16 @@
 """The pipeline's stages against the operators' own verdicts, and the registered text queries."""
 
 import os
+from types import SimpleNamespace
 
 import duckdb
+import pyarrow as pa
 import pytest
 from brute import brute_matches, jaccard_roots
 
 import __spark_entry__
 import corpus_pipeline
-from gridlake.llm import queries, quality_rules
+from gridlake.llm import queries, quality_rules, suffixes
 from gridlake.llm.runtime import documents
 
 TABLES = "documents benchmark labels conversations embeddings"
@@ -67,6 +69,27 @@ def test_stages_on_awkward_rows(spark, sf):
     assert len(coded) == len(rows) and {r["n_tokens"] for r in coded if r["doc_id"] in (1, 2)} == {0}
 
 
+def test_rated_sample_needs_no_python_worker(spark, sf):
+    """The sample that rules are rated on is a table of the JVM: pickled rows start Python workers on the executors."""
+    plans = []
+
+    def rated(sample, rules):
+        plans.append(sample._jdf.queryExecution().toString())
+        return [quality_rules.Rating(r, 0.5, 1.0) for r in rules]
+
+    quality_rules.cascade_order(documents(spark, sf), quality_rules.BASE_RULES, rated=rated)
+    assert len(plans) == 1 and "LocalTableScan" in plans[0] and "ExistingRDD" not in plans[0]
+
+
+def test_decontamination_puts_out_little_text_at_once(spark, sf):
+    """However many rows Spark sends at once, a task looks at and gives back half a megabyte of text."""
+    docs = SimpleNamespace(schema=None, mapInArrow=lambda cleaned, schema: cleaned)
+    cleaned = suffixes.decontaminated(docs, documents(spark, sf, "benchmark"))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": ["word " * 2000] * 300})
+    parts = list(cleaned([batch]))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch])) and max(p.nbytes for p in parts) < 1 << 20
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_twins(spark, sf, name):
     con = duckdb.connect()
